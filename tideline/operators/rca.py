@@ -42,19 +42,6 @@ MTTR_FEW_CAUSES = 15
 MTTR_MANY_CAUSES = 30
 MTTR_MANUAL = 120
 FEW_CAUSES = 2
-TEXT_NULL = "High null rate in '{col}': {metric} (threshold: {threshold})"
-TEXT_VOLUME = "Row count anomaly: {rows} rows (expected: {threshold})"
-TEXT_REFERENTIAL = "Referential integrity broken for '{col}': {metric} orphaned records"
-TEXT_OTHER = "{check_name} failed: {metric} vs {threshold}"
-TEXT_ERROR = "{check_name} could not be evaluated (check error)"
-TEXT_UPSTREAM = "{check_name} failed (value: {metric})"
-TEXT_ANOMALY = "{check_name} anomaly: {metric} vs baseline {mean}"
-REC_NULL = "Investigate null spike in '{col}' column - check upstream data source"
-REC_VOLUME = "Verify data ingestion for {dataset} - possible incomplete load"
-REC_REFERENTIAL = "Update reference data or fix FK constraint on '{col}'"
-REC_CAUSE = "Check {cause_dataset} - {reason}"
-
-KIND_ORDER = {"source": 0, "upstream": 1, "baseline": 1, "self": 2}
 GROUP = ["run_id", "dataset", "partition"]
 
 
@@ -203,8 +190,8 @@ def suspected_causes(
     ranked = g.orderBy(F.col("confidence").desc(), kind_ord, "upstream_ord", "item", "reason")
     return causes.select(
         "*",
-        F.row_number().over(insertion).alias("cause_ord"),
-        F.row_number().over(ranked).alias("cause_rank"),
+        F.row_number().over(insertion).cast("bigint").alias("cause_ord"),
+        F.row_number().over(ranked).cast("bigint").alias("cause_rank"),
         F.when(F.col("confidence") > HIGH_CONFIDENCE, F.lit("high")).otherwise(F.lit("medium")).alias("band"),
     )
 
@@ -222,14 +209,16 @@ def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
     ``Check <dataset> - <reason>`` per cause found in another dataset.
     """
     f = failures.select(*GROUP, "check_name", "check_type")
-    col = _check_column(F.col("check_name"))
+    name = F.col("check_name")
     text = (
         F.when(F.col("check_type") == "null_check",
-               F.concat(F.lit("Investigate null spike in '"), col, F.lit("' column - check upstream data source")))
+               F.concat(F.lit("Investigate null spike in '"), strip_prefix(name, NULL_PREFIX),
+                        F.lit("' column - check upstream data source")))
         .when(F.col("check_type") == "volume",
               F.concat(F.lit("Verify data ingestion for "), F.col("dataset"), F.lit(" - possible incomplete load")))
         .when(F.col("check_type") == "referential",
-              F.concat(F.lit("Update reference data or fix FK constraint on '"), col, F.lit("'")))
+              F.concat(F.lit("Update reference data or fix FK constraint on '"), strip_prefix(name, REF_PREFIX),
+                       F.lit("'")))
     )
     per_check = f.select(*GROUP, F.lit(0).alias("__sec"), F.col("check_name").alias("__k"), F.lit(0).alias("__o"),
                          text.alias("recommendation")).where(F.col("recommendation").isNotNull())
@@ -239,7 +228,7 @@ def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
     )
     both = per_check.unionByName(per_cause)
     w = Window.partitionBy(*GROUP).orderBy("__sec", "__k", "__o", "recommendation")
-    return both.select(*GROUP, F.row_number().over(w).alias("rec_no"), "recommendation")
+    return both.select(*GROUP, F.row_number().over(w).cast("bigint").alias("rec_no"), "recommendation")
 
 
 def mttr(targets: DataFrame, causes: DataFrame) -> DataFrame:

@@ -141,6 +141,10 @@ res AS (
   {order_check_sql(fx.RUN_ID, fx.RUN_TS, 'bad_stats')}
   UNION ALL
   {revenue_check_sql(fx.RUN_ID, fx.RUN_TS, 'rev_stats')}),
+res_strict AS (
+  {order_check_sql(fx.RUN_ID, fx.RUN_TS, 'bad_stats')}
+  UNION ALL
+  {revenue_check_sql(fx.RUN_ID, fx.RUN_TS, 'rev_stats', fx.STRICT_REV_VOLUME)}),
 res2 AS (
   SELECT * FROM res
   UNION ALL
@@ -150,8 +154,148 @@ res2 AS (
 """
 
 
+def lineage_cte() -> str:
+    decls = list(fx.REFERENCE_LINEAGE) + list(fx.SHAPES_LINEAGE)
+    ds = ", ".join(f"('{d['dataset']}', {i})" for i, d in enumerate(decls))
+    ed = ", ".join(
+        f"('{d['dataset']}', '{u}', {j})" for d in decls for j, u in enumerate(d.get("upstream") or [])
+    )
+    cr = ", ".join(
+        f"('{d['dataset']}', '{c}', {j})" for d in decls for j, c in enumerate(d.get("critical_columns") or [])
+    )
+    off = fx.PART_ORD_OFFSET
+    return f"""
+lin_datasets AS (
+  SELECT dataset, CAST(decl_ord AS BIGINT) AS decl_ord FROM (VALUES {ds}) t(dataset, decl_ord)
+  UNION ALL SELECT 'ds_' || p_partkey, CAST(p_partkey + {off} AS BIGINT) FROM part),
+lin_edges AS (
+  SELECT dataset, upstream, CAST(ord AS INTEGER) AS ord FROM (VALUES {ed}) t(dataset, upstream, ord)
+  UNION ALL SELECT 'ds_' || p_partkey, 'ds_' || (p_partkey // 2), 0 FROM part WHERE p_partkey > 0),
+lin_critical AS (
+  SELECT dataset, "column", CAST(ord AS INTEGER) AS ord FROM (VALUES {cr}) t(dataset, "column", ord)),
+lin_nodes AS (SELECT dataset AS n FROM lin_edges UNION SELECT upstream FROM lin_edges),
+lin_walk(dataset, upstream, depth) AS (
+  SELECT dataset, upstream, 1 FROM lin_edges
+  UNION ALL
+  SELECT w.dataset, e.upstream, w.depth + 1 FROM lin_walk w JOIN lin_edges e ON e.dataset = w.upstream
+  WHERE w.depth < (SELECT COUNT(*) FROM lin_nodes)),
+lin_closure AS (SELECT dataset, upstream, MIN(depth) AS depth FROM lin_walk GROUP BY dataset, upstream)
+"""
+
+
+def baseline_cte(name: str, hist: str, window: int = 30) -> str:
+    return f"""
+{name}_r AS (
+  SELECT *, row_number() OVER (PARTITION BY dataset, check_name ORDER BY "partition", "timestamp", run_id) AS rn,
+         rank() OVER (PARTITION BY dataset, check_name ORDER BY "partition") - 1 AS nb
+  FROM {hist}),
+{name}_p AS (SELECT DISTINCT dataset, check_name, "partition", nb FROM {name}_r),
+{name} AS (
+  SELECT p.dataset, p.check_name, p."partition", AVG(h.metric_value) AS baseline_mean,
+         MAX(h.metric_value) AS baseline_max, COUNT(h.metric_value) AS baseline_rows
+  FROM {name}_p p LEFT JOIN {name}_r h
+    ON h.dataset = p.dataset AND h.check_name = p.check_name AND h.rn BETWEEN p.nb - {window - 1} AND p.nb
+  GROUP BY p.dataset, p.check_name, p."partition")
+"""
+
+
+Q = "'"  # a single quote inside SQL text literals
+
+
+def explain_sql(alias: str = "") -> str:
+    a = f"{alias}." if alias else ""
+    m, n, t, th = f"{a}metric_value", f"{a}check_name", f"{a}check_type", f"{a}threshold"
+    return (
+        f"(CASE WHEN {m} = -1.0 THEN {n} || ' could not be evaluated (check error)'"
+        f" WHEN {t} = 'null_check' THEN 'High null rate in {Q}{Q}' || replace({n}, 'null_rate_', '') || '{Q}{Q}: '"
+        f" || printf('%.2f', {m} * 100.0) || '% (threshold: ' || printf('%.2f', TRY_CAST({th} AS DOUBLE) * 100.0) || '%)'"
+        f" WHEN {t} = 'volume' THEN 'Row count anomaly: ' || CAST(CAST(trunc({m}) AS BIGINT) AS VARCHAR)"
+        f" || ' rows (expected: ' || {th} || ')'"
+        f" WHEN {t} = 'referential' THEN 'Referential integrity broken for {Q}{Q}' || replace({n}, 'ref_integrity_', '')"
+        f" || '{Q}{Q}: ' || printf('%.2f', {m} * 100.0) || '% orphaned records'"
+        f" ELSE {n} || ' failed: ' || CAST({m} AS VARCHAR) || ' vs ' || {th} END)"
+    )
+
+
+def rca_cte(p: str, hist: str) -> str:
+    """Causes (``{p}_causes``), recommendations, impact and MTTR over ``hist``."""
+    g = 'run_id, dataset, "partition"'
+    kind_ord = "CASE kind WHEN 'source' THEN 0 WHEN 'self' THEN 2 ELSE 1 END"
+    rec_null = f"'Investigate null spike in {Q}{Q}' || replace(check_name, 'null_rate_', '') || '{Q}{Q} column - check upstream data source'"
+    rec_ref = f"'Update reference data or fix FK constraint on {Q}{Q}' || replace(check_name, 'ref_integrity_', '') || '{Q}{Q}'"
+    return baseline_cte(f"{p}_base", hist) + f""",
+{p}_fails AS (SELECT {g}, check_name, check_type, metric_value, threshold FROM {hist} WHERE NOT passed),
+{p}_targets AS (SELECT DISTINCT {g} FROM {p}_fails),
+{p}_hasup AS (SELECT DISTINCT dataset FROM lin_edges),
+{p}_r2 AS (
+  SELECT f.run_id, f.dataset, f."partition", f.dataset AS cause_dataset, {explain_sql('f')} AS reason,
+         CAST(0.95 AS DOUBLE) AS confidence, 'source' AS kind, -1 AS upstream_ord, f.check_name AS item
+  FROM {p}_fails f WHERE f.dataset NOT IN (SELECT dataset FROM {p}_hasup)),
+{p}_tu AS (SELECT t.run_id, t.dataset, t."partition", e.upstream, e.ord
+           FROM {p}_targets t JOIN lin_edges e ON e.dataset = t.dataset),
+{p}_uf AS (SELECT dataset AS upstream, "partition", check_name AS u_check, check_type AS u_type, metric_value AS u_metric
+           FROM {hist} WHERE NOT passed),
+{p}_r3 AS (
+  SELECT tu.run_id, tu.dataset, tu."partition", tu.upstream AS cause_dataset,
+         uf.u_check || ' failed (value: ' || printf('%.4f', uf.u_metric) || ')' AS reason,
+         CAST(0.90 AS DOUBLE) AS confidence, 'upstream' AS kind, tu.ord AS upstream_ord, uf.u_check AS item
+  FROM {p}_tu tu JOIN {p}_uf uf ON uf.upstream = tu.upstream AND uf."partition" = tu."partition"
+  WHERE uf.u_type IN ('volume', 'referential')
+     OR EXISTS (SELECT 1 FROM lin_critical c WHERE c.dataset = tu.dataset
+                AND c."column" = replace(replace(uf.u_check, 'null_rate_', ''), 'ref_integrity_', ''))),
+{p}_clean AS (SELECT * FROM {p}_tu tu WHERE NOT EXISTS (
+  SELECT 1 FROM {p}_uf uf WHERE uf.upstream = tu.upstream AND uf."partition" = tu."partition")),
+{p}_r4 AS (
+  SELECT c.run_id, c.dataset, c."partition", c.upstream AS cause_dataset,
+         h.check_name || ' anomaly: ' || printf('%.4f', h.metric_value) || ' vs baseline '
+           || printf('%.4f', b.baseline_mean) AS reason,
+         CAST(0.70 AS DOUBLE) AS confidence, 'baseline' AS kind, c.ord AS upstream_ord, h.check_name AS item
+  FROM {p}_clean c JOIN {hist} h ON h.dataset = c.upstream AND h."partition" = c."partition"
+  JOIN {p}_base b ON b.dataset = h.dataset AND b.check_name = h.check_name AND b."partition" = h."partition"
+  WHERE b.baseline_rows > 0 AND (h.metric_value > b.baseline_mean * 2 OR h.metric_value > b.baseline_max)),
+{p}_found AS (SELECT {g} FROM {p}_r3 UNION SELECT {g} FROM {p}_r4),
+{p}_r5 AS (
+  SELECT f.run_id, f.dataset, f."partition", f.dataset AS cause_dataset, {explain_sql('f')} AS reason,
+         CAST(0.75 AS DOUBLE) AS confidence, 'self' AS kind, -1 AS upstream_ord, f.check_name AS item
+  FROM {p}_fails f WHERE f.dataset IN (SELECT dataset FROM {p}_hasup)
+    AND NOT EXISTS (SELECT 1 FROM {p}_found x
+                    WHERE x.run_id = f.run_id AND x.dataset = f.dataset AND x."partition" = f."partition")),
+{p}_c0 AS (
+  SELECT * FROM {p}_r2 UNION ALL SELECT * FROM {p}_r3 UNION ALL SELECT * FROM {p}_r4 UNION ALL SELECT * FROM {p}_r5),
+{p}_causes AS (
+  SELECT *,
+    row_number() OVER (PARTITION BY {g} ORDER BY {kind_ord}, upstream_ord, item, reason) AS cause_ord,
+    row_number() OVER (PARTITION BY {g} ORDER BY confidence DESC, {kind_ord}, upstream_ord, item, reason) AS cause_rank,
+    CASE WHEN confidence > 0.85 THEN 'high' ELSE 'medium' END AS band
+  FROM {p}_c0),
+{p}_rec0 AS (
+  SELECT {g}, 0 AS sec, check_name AS k, 0 AS o,
+    CASE check_type
+      WHEN 'null_check' THEN {rec_null}
+      WHEN 'volume' THEN 'Verify data ingestion for ' || dataset || ' - possible incomplete load'
+      WHEN 'referential' THEN {rec_ref}
+    END AS recommendation
+  FROM {p}_fails
+  UNION ALL
+  SELECT {g}, 1, '', cause_ord, 'Check ' || cause_dataset || ' - ' || reason
+  FROM {p}_causes WHERE cause_dataset <> dataset),
+{p}_recs AS (
+  SELECT {g}, row_number() OVER (PARTITION BY {g} ORDER BY sec, k, o, recommendation) AS rec_no, recommendation
+  FROM {p}_rec0 WHERE recommendation IS NOT NULL),
+{p}_impact AS (
+  SELECT t.run_id, t.dataset, t."partition", c.dataset AS impacted_dataset, c.depth
+  FROM {p}_targets t JOIN lin_closure c ON c.upstream = t.dataset),
+{p}_mttr AS (
+  SELECT t.run_id, t.dataset, t."partition", COALESCE(n.n, 0) AS n_causes,
+         CASE WHEN COALESCE(n.n, 0) <= 2 THEN 15 ELSE 30 END AS estimated_mttr, 120 AS manual_mttr,
+         120 - CASE WHEN COALESCE(n.n, 0) <= 2 THEN 15 ELSE 30 END AS time_saved
+  FROM {p}_targets t LEFT JOIN (SELECT {g}, COUNT(*) AS n FROM {p}_causes GROUP BY ALL) n
+    ON n.run_id = t.run_id AND n.dataset = t.dataset AND n."partition" = t."partition")
+"""
+
+
 def with_fixtures(body: str, extra_ctes: str = "") -> str:
-    ctes = fixtures_cte().rstrip()
+    ctes = fixtures_cte().rstrip() + ",\n" + lineage_cte().strip()
     if extra_ctes:
         ctes += ",\n" + extra_ctes.strip()
-    return f"WITH {ctes}\n{body}"
+    return f"WITH RECURSIVE {ctes}\n{body}"

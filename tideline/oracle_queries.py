@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.oracle import H, check_rows, order_check_sql, with_fixtures
+from tideline.oracle import H, baseline_cte, check_rows, order_check_sql, rca_cte, with_fixtures
 from tideline.plans import fixtures as fx
 
 RES_COLS = 'run_id, dataset, "partition", check_name, check_type, passed, metric_value, threshold, "timestamp"'
@@ -81,3 +81,156 @@ SQL["checkpoint_upsert"] = with_fixtures(
           AND dataset NOT IN (SELECT dataset FROM res2 WHERE run_id = '{fx.RUN2_ID}')
         GROUP BY dataset"""
 )
+
+# --- runs -----------------------------------------------------------------
+SQL["run_all_datasets"] = with_fixtures("SELECT * FROM res")
+SQL["run_without_diagnostics"] = SQL["run_all_datasets"]
+SQL["run_summary"] = with_fixtures(
+    "SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE passed) AS passed, "
+    "COUNT(*) FILTER (WHERE NOT passed) AS failed FROM res"
+)
+SQL["run_incremental"] = with_fixtures(
+    f"""SELECT CASE WHEN "partition" <= '2024-01-20' THEN 'run-a' ELSE 'run-b' END AS run_id,
+               dataset, "partition", check_name, check_type, passed, metric_value, threshold,
+               CASE WHEN "partition" <= '2024-01-20' THEN TIMESTAMP '{fx.RUN_TS}' ELSE TIMESTAMP '{fx.RUN2_TS}' END
+               AS "timestamp"
+        FROM res"""
+)
+
+# --- lineage --------------------------------------------------------------
+SQL["lineage_edges"] = with_fixtures(
+    "SELECT e.dataset, e.upstream, e.ord, d.decl_ord FROM lin_edges e LEFT JOIN lin_datasets d USING (dataset)"
+)
+SQL["lineage_upstream"] = with_fixtures("SELECT dataset, upstream, ord FROM lin_edges")
+SQL["lineage_downstream"] = with_fixtures(
+    "SELECT e.upstream AS dataset, e.dataset AS downstream, d.decl_ord AS ord "
+    "FROM lin_edges e LEFT JOIN lin_datasets d ON d.dataset = e.dataset"
+)
+SQL["lineage_all_upstream"] = with_fixtures("SELECT dataset, upstream, depth FROM lin_closure")
+SQL["lineage_all_downstream"] = with_fixtures(
+    "SELECT upstream AS dataset, dataset AS downstream, depth FROM lin_closure"
+)
+SQL["lineage_critical"] = with_fixtures('SELECT dataset, "column", ord FROM lin_critical')
+SQL["lineage_listing"] = with_fixtures(
+    """SELECT d.dataset, u.depends_on IS NULL AS is_source, COALESCE(u.depends_on, '') AS depends_on,
+              COALESCE(w.feeds_into, '') AS feeds_into
+       FROM lin_datasets d
+       LEFT JOIN (SELECT dataset, string_agg(upstream, ', ' ORDER BY ord, upstream) AS depends_on
+                  FROM lin_edges GROUP BY dataset) u ON u.dataset = d.dataset
+       LEFT JOIN (SELECT e.upstream AS dataset, string_agg(e.dataset, ', ' ORDER BY x.decl_ord, e.dataset) AS feeds_into
+                  FROM lin_edges e LEFT JOIN lin_datasets x ON x.dataset = e.dataset GROUP BY e.upstream) w
+         ON w.dataset = d.dataset"""
+)
+
+# --- baselines ------------------------------------------------------------
+_B = 'dataset, check_name, "partition", ROUND(baseline_mean, 9) AS baseline_mean, baseline_max, baseline_rows'
+SQL["baseline_window"] = with_fixtures(f"SELECT {_B} FROM b1", baseline_cte("b1", "res"))
+SQL["baseline_multi_run"] = with_fixtures(f"SELECT {_B} FROM b2", baseline_cte("b2", "res2"))
+SQL["baseline_anomalies"] = with_fixtures(
+    """SELECT h.run_id, h.dataset, h."partition", h.check_name, h.metric_value, ROUND(b.baseline_mean, 9) AS baseline_mean,
+              b.baseline_max, b.baseline_rows
+       FROM res2 h JOIN b2 b ON b.dataset = h.dataset AND b.check_name = h.check_name AND b."partition" = h."partition"
+       WHERE b.baseline_rows > 0 AND (h.metric_value > b.baseline_mean * 2 OR h.metric_value > b.baseline_max)""",
+    baseline_cte("b2", "res2"),
+)
+
+# --- root-cause analysis --------------------------------------------------
+_C = ('run_id, dataset, "partition", cause_dataset, reason, confidence, kind, upstream_ord, item, cause_ord, '
+      'cause_rank, band')
+SQL["rca_source"] = with_fixtures(f"SELECT {_C} FROM a_causes WHERE kind = 'source'", rca_cte("a", "res"))
+SQL["rca_upstream"] = with_fixtures(f"SELECT {_C} FROM a_causes WHERE kind = 'upstream'", rca_cte("a", "res"))
+SQL["rca_fallback"] = with_fixtures(
+    f"SELECT {_C} FROM s_causes WHERE dataset = '{fx.REVENUE}'", rca_cte("s", "res_strict")
+)
+SQL["rca_all"] = with_fixtures(f"SELECT {_C} FROM m_causes", rca_cte("m", "res2"))
+SQL["rca_impact"] = with_fixtures("SELECT * FROM a_impact", rca_cte("a", "res"))
+SQL["rca_recommendations"] = with_fixtures("SELECT * FROM s_recs", rca_cte("s", "res_strict"))
+SQL["rca_ranked"] = with_fixtures(
+    'SELECT run_id, dataset, "partition", cause_rank, cause_dataset, confidence, band, reason FROM s_causes',
+    rca_cte("s", "res_strict"),
+)
+SQL["rca_mttr"] = with_fixtures("SELECT * FROM s_mttr", rca_cte("s", "res_strict"))
+
+# --- fault injection ------------------------------------------------------
+SQL["inject_null_spike"] = with_fixtures(
+    f"SELECT order_id, CASE WHEN dt = '2024-01-10' AND {H} < 350.0 THEN NULL ELSE product_id END AS product_id, "
+    "amount, dt FROM raw"
+)
+SQL["inject_volume_drop"] = with_fixtures(f"SELECT * FROM raw WHERE dt <> '2024-01-15' OR {H} < 250.0")
+SQL["inject_ref_break"] = with_fixtures(
+    f"SELECT order_id, CASE WHEN dt = '2024-01-20' AND {H} < 180.0 THEN {fx.MISSING_KEY} ELSE product_id END "
+    "AS product_id, amount, dt FROM raw"
+)
+SQL["inject_scenarios"] = with_fixtures("SELECT * FROM bad")
+SQL["inject_exact_fraction"] = with_fixtures(
+    """SELECT order_id, CASE WHEN sel THEN NULL ELSE product_id END AS product_id, amount, dt FROM (
+         SELECT r.*, dt = '2024-01-10' AND
+                row_number() OVER (PARTITION BY dt ORDER BY md5(CAST(order_id AS VARCHAR)), order_id)
+                <= round_even(CAST(0.35 AS DOUBLE) * COUNT(*) OVER (PARTITION BY dt), 0) AS sel
+         FROM raw r)"""
+)
+
+# --- reports --------------------------------------------------------------
+SQL["report_summary"] = with_fixtures(
+    "SELECT dataset, COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE passed) AS passed, "
+    "COUNT(*) FILTER (WHERE NOT passed) AS failed FROM res GROUP BY dataset"
+)
+SQL["report_failed"] = with_fixtures(
+    'SELECT dataset, "partition", check_name, metric_value, threshold, "timestamp" FROM res2 WHERE NOT passed'
+)
+SQL["report_failed_projection"] = with_fixtures(
+    'SELECT dataset, "partition", check_name, metric_value FROM res WHERE NOT passed'
+)
+SQL["report_recent"] = with_fixtures(
+    'SELECT dataset, "partition", check_name, passed, metric_value, "timestamp", run_id FROM res2 '
+    'ORDER BY "timestamp" DESC, "partition" DESC, dataset, check_name, run_id LIMIT 10'
+)
+SQL["report_checkpoints"] = SQL["checkpoint_upsert"]
+SQL["run_impact"] = with_fixtures(
+    "SELECT COUNT(*) FILTER (WHERE NOT passed) AS failed_checks, "
+    "CAST(FLOOR(COUNT(*) FILTER (WHERE NOT passed) * 105 / 60) AS BIGINT) AS hours_saved FROM res"
+)
+SQL["metrics_scale"] = with_fixtures(
+    'SELECT COUNT(*) AS total_checks, COUNT(DISTINCT dataset) AS datasets_checked, '
+    'COUNT(DISTINCT "partition") AS partitions_checked FROM res2'
+)
+SQL["metrics_rows"] = with_fixtures(
+    """SELECT p.dataset, p.partitions, CAST(COALESCE(c.rpp, 0) AS BIGINT) AS rows_per_partition,
+              CAST(p.partitions * COALESCE(c.rpp, 0) AS BIGINT) AS estimated_rows,
+              CAST(COALESCE(m.measured_rows, 0) AS BIGINT) AS measured_rows
+       FROM (SELECT dataset, COUNT(DISTINCT "partition") AS partitions FROM res2 GROUP BY dataset) p
+       LEFT JOIN (VALUES ('orders_raw', 15000), ('revenue_daily', 1000)) c(dataset, rpp) ON c.dataset = p.dataset
+       LEFT JOIN (SELECT dataset, SUM(CAST(v AS BIGINT)) AS measured_rows FROM (
+                    SELECT dataset, "partition", FIRST(metric_value ORDER BY "timestamp" DESC, run_id DESC) AS v
+                    FROM res2 WHERE check_name = 'volume_check' GROUP BY dataset, "partition") GROUP BY dataset) m
+         ON m.dataset = p.dataset"""
+)
+_DET = """SELECT COUNT(*) FILTER (WHERE NOT passed) AS issues_detected,
+                 COUNT(DISTINCT CASE WHEN NOT passed THEN dataset || '/' || "partition" END) AS affected_partitions,
+                 (CASE WHEN COUNT(*) = 0 THEN 0.0 ELSE CAST(COUNT(*) FILTER (WHERE NOT passed) AS DOUBLE) / COUNT(*) END)
+                   * 100.0 AS failure_rate_pct
+          FROM res2"""
+SQL["metrics_detection"] = with_fixtures(_DET)
+SQL["metrics_impact"] = with_fixtures(
+    f"""SELECT 120 AS manual_mttr_min, 15 AS automated_mttr_min, 105 AS saved_per_incident_min,
+               CAST(affected_partitions * 105 AS BIGINT) AS total_saved_min,
+               CAST(affected_partitions * 105 AS DOUBLE) / 60.0 AS total_saved_hours,
+               CAST(87.5 AS DOUBLE) AS mttr_reduction_pct
+        FROM ({_DET})"""
+)
+SQL["metrics_types"] = with_fixtures(
+    'SELECT check_type, COUNT(*) AS "count", COUNT(*) FILTER (WHERE passed) AS passed, '
+    "COUNT(*) FILTER (WHERE NOT passed) AS failed FROM res2 GROUP BY check_type"
+)
+SQL["profile"] = with_fixtures(
+    f"""SELECT (SELECT COUNT(*) FROM (SELECT DISTINCT dt FROM raw UNION SELECT '{fx.EMPTY_PARTITION}')) AS n_partitions,
+               (SELECT MIN(dt) FROM raw) AS first_partition, '{fx.EMPTY_PARTITION}' AS last_partition,
+               4 AS n_columns, 'order_id, product_id, amount, dt' AS columns,
+               COUNT(*) FILTER (WHERE order_id IS NULL) AS nulls_order_id,
+               COUNT(*) FILTER (WHERE product_id IS NULL) AS nulls_product_id,
+               COUNT(*) FILTER (WHERE amount IS NULL) AS nulls_amount,
+               COUNT(*) FILTER (WHERE dt IS NULL) AS nulls_dt,
+               MIN(product_id) AS min_product_id, MAX(product_id) AS max_product_id,
+               MIN(amount) AS min_amount, MAX(amount) AS max_amount, COUNT(*) AS total_rows
+        FROM raw"""
+)

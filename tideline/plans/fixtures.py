@@ -34,6 +34,7 @@ REVENUE = "revenue_daily"
 BAD_VOLUME = (200, 600)
 REV_VOLUME = (100, 160)
 BIG_VOLUME = (500, 5000)
+STRICT_REV_VOLUME = (130, 160)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +118,12 @@ def res(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_results(spark, sf_dir).unionByName(rev_results(spark, sf_dir))
 
 
+def res_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run where revenue uses a stricter volume range (130-160), so it
+    also fails on days its upstream is clean (baseline and self-origin causes)."""
+    return bad_results(spark, sf_dir).unionByName(rev_results(spark, sf_dir, volume=STRICT_REV_VOLUME))
+
+
 def res_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: the faulty data, then a re-check of the clean data one day later."""
     r2 = bad_results(spark, sf_dir, RUN2_ID, RUN2_TS, source=raw(spark, sf_dir)).unionByName(
@@ -139,3 +146,57 @@ def raw_big(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ref_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"))
+
+
+# --- lineage fixtures -------------------------------------------------------
+# The reference's three datasets, a diamond and a 3-cycle.
+REFERENCE_LINEAGE = (
+    {"dataset": "orders_raw", "upstream": [], "description": "Raw order transactions from e-commerce platform"},
+    {"dataset": "products", "upstream": [], "description": "Product catalog"},
+    {
+        "dataset": "revenue_daily",
+        "upstream": ["orders_raw", "products"],
+        "description": "Daily revenue aggregated by product",
+        "transformation": "JOIN orders_raw with products ON product_id\nGROUP BY dt, product_id\nSUM(amount) as total_revenue\n",
+        "critical_columns": ["product_id", "amount"],
+    },
+)
+SHAPES_LINEAGE = (
+    {"dataset": "d_top", "upstream": []},
+    {"dataset": "d_left", "upstream": ["d_top"]},
+    {"dataset": "d_right", "upstream": ["d_top"]},
+    {"dataset": "d_bottom", "upstream": ["d_left", "d_right"]},
+    {"dataset": "cyc_a", "upstream": ["cyc_c"]},
+    {"dataset": "cyc_b", "upstream": ["cyc_a"]},
+    {"dataset": "cyc_c", "upstream": ["cyc_b"]},
+)
+PART_ORD_OFFSET = 10
+
+
+def reference_lineage(spark: SparkSession):
+    from tideline.sources.lineage import LineageGraph
+
+    return LineageGraph.from_records(spark, REFERENCE_LINEAGE)
+
+
+def lineage(spark: SparkSession, sf_dir: str):
+    """Reference graph + diamond + cycle + a graph from ``part``:
+    ``ds_<k>`` depends on ``ds_<k div 2>`` (no edge for the root ``k = 0``)."""
+    from tideline.sources.lineage import DECLARATION_SCHEMA, LineageGraph
+
+    fixed_ = LineageGraph.from_records(
+        spark, [dict(r, decl_ord=i) for i, r in enumerate(REFERENCE_LINEAGE + SHAPES_LINEAGE)]
+    )
+    k = F.col("p_partkey")
+    decl = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("ds_"), k.cast("string")).alias("dataset"),
+        F.when(k > 0, F.array(F.concat(F.lit("ds_"), F.expr("p_partkey div 2").cast("string"))))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("upstream"),
+        F.lit(None).cast("array<string>").alias("critical_columns"),
+        F.lit(None).cast("string").alias("description"),
+        F.lit(None).cast("string").alias("transformation"),
+        (k + F.lit(PART_ORD_OFFSET)).cast("long").alias("decl_ord"),
+    )
+    part_graph = LineageGraph.from_declarations(decl.select(*DECLARATION_SCHEMA.fieldNames()))
+    return fixed_.union(part_graph)

@@ -209,3 +209,317 @@ def checkpoint_upsert(spark, sf_dir):
         fx.res_two_runs(spark, sf_dir).where((F.col("run_id") == fx.RUN2_ID))
     )
     return upsert(first, second, CHECKPOINT_KEY)
+
+
+# --------------------------------------------------------------------------
+# runs
+def _specs(spark, sf_dir, bad_df=None, rev_df=None, rev_volume=fx.REV_VOLUME, extra=(fx.EMPTY_PARTITION,)):
+    from tideline.plans.runner import DatasetSpec
+
+    b = fx.bad(spark, sf_dir) if bad_df is None else bad_df
+    r = revenue_rollup(b) if rev_df is None else rev_df
+    return [
+        DatasetSpec(fx.ORDERS, b, fx.order_checks(fx.ref(spark, sf_dir)), extra_partitions=list(extra)),
+        DatasetSpec(fx.REVENUE, r, fx.revenue_checks(rev_volume)),
+    ]
+
+
+@query("run_all_datasets")
+def run_all_datasets(spark, sf_dir):
+    from tideline.plans.runner import QualityRunner
+
+    results, _ = QualityRunner(spark).plan(_specs(spark, sf_dir), fx.RUN_ID, fx.RUN_TS)
+    return results
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    from tideline.plans.runner import QualityRunner
+
+    return QualityRunner(spark).run(_specs(spark, sf_dir), fx.RUN_ID, fx.RUN_TS).summary
+
+
+@query("run_without_diagnostics")
+def run_without_diagnostics(spark, sf_dir):
+    from tideline.plans.runner import QualityRunner
+
+    out = QualityRunner(spark, lineage=None, enable_diagnostics=False).run(_specs(spark, sf_dir), fx.RUN_ID, fx.RUN_TS)
+    assert out.analysis is None
+    return out.results
+
+
+@query("run_incremental")
+def run_incremental(spark, sf_dir):
+    """Two runs against one store: the first sees data up to 2024-01-20, the
+    second the full data and checks only the partitions after the mark."""
+    from tideline.plans.runner import QualityRunner
+    from tideline.sources.store import ResultStore
+
+    store = ResultStore(spark, scratch_dir(spark, "store"))
+    runner = QualityRunner(spark, store, fx.reference_lineage(spark))
+    early = fx.bad(spark, sf_dir).where(F.col("dt") <= "2024-01-20")
+    runner.run(_specs(spark, sf_dir, bad_df=early, extra=()), "run-a", fx.RUN_TS)
+    runner.run(_specs(spark, sf_dir), "run-b", fx.RUN2_TS)
+    return store.results()
+
+
+# --------------------------------------------------------------------------
+# lineage
+@query("lineage_edges")
+def lineage_edges(spark, sf_dir):
+    g = fx.lineage(spark, sf_dir)
+    return g.edges.join(g.datasets.select("dataset", "decl_ord"), "dataset", "left").select(
+        "dataset", "upstream", "ord", "decl_ord"
+    )
+
+
+@query("lineage_upstream")
+def lineage_upstream(spark, sf_dir):
+    from tideline.operators.lineage import direct_upstream
+
+    return direct_upstream(fx.lineage(spark, sf_dir))
+
+
+@query("lineage_downstream")
+def lineage_downstream(spark, sf_dir):
+    from tideline.operators.lineage import direct_downstream
+
+    return direct_downstream(fx.lineage(spark, sf_dir))
+
+
+@query("lineage_all_upstream")
+def lineage_all_upstream(spark, sf_dir):
+    from tideline.operators.lineage import all_upstream
+
+    return all_upstream(fx.lineage(spark, sf_dir))
+
+
+@query("lineage_all_downstream")
+def lineage_all_downstream(spark, sf_dir):
+    from tideline.operators.lineage import all_downstream
+
+    return all_downstream(fx.lineage(spark, sf_dir))
+
+
+@query("lineage_critical")
+def lineage_critical(spark, sf_dir):
+    from tideline.operators.lineage import critical_columns
+
+    return critical_columns(fx.lineage(spark, sf_dir))
+
+
+@query("lineage_listing")
+def lineage_listing(spark, sf_dir):
+    from tideline.operators.lineage import listing
+
+    return listing(fx.lineage(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# baselines
+def _rounded(b):
+    return b.withColumn("baseline_mean", F.round("baseline_mean", 9))
+
+
+@query("baseline_window")
+def baseline_window(spark, sf_dir):
+    from tideline.operators.baseline import baseline
+
+    return _rounded(baseline(fx.res(spark, sf_dir)))
+
+
+@query("baseline_multi_run")
+def baseline_multi_run(spark, sf_dir):
+    from tideline.operators.baseline import baseline
+
+    return _rounded(baseline(fx.res_two_runs(spark, sf_dir)))
+
+
+@query("baseline_anomalies")
+def baseline_anomalies(spark, sf_dir):
+    from tideline.operators.baseline import anomalies
+
+    a = anomalies(fx.res_two_runs(spark, sf_dir))
+    return _rounded(a.select("run_id", "dataset", "partition", "check_name", "metric_value", "baseline_mean",
+                             "baseline_max", "baseline_rows"))
+
+
+# --------------------------------------------------------------------------
+# Root-cause analysis
+def _analysis(spark, sf_dir, results=None):
+    from tideline.operators.rca import analyze
+
+    res = fx.res(spark, sf_dir) if results is None else results
+    return analyze(res, fx.lineage(spark, sf_dir))
+
+
+CAUSE_COLS = ["run_id", "dataset", "partition", "cause_dataset", "reason", "confidence", "kind", "upstream_ord",
+              "item", "cause_ord", "cause_rank", "band"]
+
+
+@query("rca_source")
+def rca_source(spark, sf_dir):
+    return _analysis(spark, sf_dir).causes.where(F.col("kind") == "source").select(*CAUSE_COLS)
+
+
+@query("rca_upstream")
+def rca_upstream(spark, sf_dir):
+    return _analysis(spark, sf_dir).causes.where(F.col("kind") == "upstream").select(*CAUSE_COLS)
+
+
+@query("rca_fallback")
+def rca_fallback(spark, sf_dir):
+    """Stricter revenue volume: failures on days with a clean upstream give
+    baseline-anomaly causes, or self-origin causes when there are none."""
+    a = _analysis(spark, sf_dir, fx.res_strict(spark, sf_dir))
+    return a.causes.where(F.col("dataset") == fx.REVENUE).select(*CAUSE_COLS)
+
+
+@query("rca_all")
+def rca_all(spark, sf_dir):
+    return _analysis(spark, sf_dir, fx.res_two_runs(spark, sf_dir)).causes.select(*CAUSE_COLS)
+
+
+@query("rca_impact")
+def rca_impact(spark, sf_dir):
+    return _analysis(spark, sf_dir).impact
+
+
+@query("rca_recommendations")
+def rca_recommendations(spark, sf_dir):
+    return _analysis(spark, sf_dir, fx.res_strict(spark, sf_dir)).recommendations
+
+
+@query("rca_ranked")
+def rca_ranked(spark, sf_dir):
+    c = _analysis(spark, sf_dir, fx.res_strict(spark, sf_dir)).causes
+    return c.select("run_id", "dataset", "partition", "cause_rank", "cause_dataset", "confidence", "band", "reason")
+
+
+@query("rca_mttr")
+def rca_mttr(spark, sf_dir):
+    return _analysis(spark, sf_dir, fx.res_strict(spark, sf_dir)).mttr
+
+
+# --------------------------------------------------------------------------
+# Fault injection
+@query("inject_null_spike")
+def q_inject_null_spike(spark, sf_dir):
+    from tideline.operators.inject import inject_null_spike
+
+    return inject_null_spike(fx.raw(spark, sf_dir), "2024-01-10", "product_id", 0.35, key="order_id")
+
+
+@query("inject_volume_drop")
+def q_inject_volume_drop(spark, sf_dir):
+    from tideline.operators.inject import inject_volume_drop
+
+    return inject_volume_drop(fx.raw(spark, sf_dir), "2024-01-15", 0.25, key="order_id")
+
+
+@query("inject_ref_break")
+def q_inject_ref_break(spark, sf_dir):
+    from tideline.operators.inject import inject_referential_break
+
+    return inject_referential_break(fx.raw(spark, sf_dir), "2024-01-20", "product_id", 0.18, key="order_id",
+                                    missing=fx.MISSING_KEY)
+
+
+@query("inject_scenarios")
+def q_inject_scenarios(spark, sf_dir):
+    return fx.bad(spark, sf_dir)
+
+
+@query("inject_exact_fraction")
+def q_inject_exact(spark, sf_dir):
+    """Exact-count selection: round_half_even(0.35 * n) rows of 2024-01-10 by md5(order_id)."""
+    from tideline.operators.inject import inject_null_spike
+
+    return inject_null_spike(fx.raw(spark, sf_dir), "2024-01-10", "product_id", 0.35, key="order_id", how="exact")
+
+
+# --------------------------------------------------------------------------
+# reports
+@query("report_summary")
+def report_summary(spark, sf_dir):
+    from tideline.operators.reports import summary_by_dataset
+
+    return summary_by_dataset(fx.res(spark, sf_dir))
+
+
+@query("report_failed")
+def report_failed(spark, sf_dir):
+    from tideline.operators.reports import failed_checks
+
+    return failed_checks(fx.res_two_runs(spark, sf_dir))
+
+
+@query("report_failed_projection")
+def report_failed_projection(spark, sf_dir):
+    from tideline.operators.reports import failed_projection
+
+    return failed_projection(fx.res(spark, sf_dir))
+
+
+@query("report_recent")
+def report_recent(spark, sf_dir):
+    from tideline.operators.reports import recent_results
+
+    return recent_results(fx.res_two_runs(spark, sf_dir))
+
+
+@query("report_checkpoints")
+def report_checkpoints(spark, sf_dir):
+    from tideline.operators.reports import checkpoint_listing
+
+    return checkpoint_listing(checkpoint_upsert(spark, sf_dir))
+
+
+@query("run_impact")
+def q_run_impact(spark, sf_dir):
+    from tideline.operators.reports import run_impact
+
+    return run_impact(fx.res(spark, sf_dir))
+
+
+@query("metrics_scale")
+def metrics_scale(spark, sf_dir):
+    from tideline.operators.reports import scale_metrics
+
+    return scale_metrics(fx.res_two_runs(spark, sf_dir))
+
+
+@query("metrics_rows")
+def metrics_rows(spark, sf_dir):
+    from tideline.operators.reports import row_estimates
+
+    return row_estimates(fx.res_two_runs(spark, sf_dir))
+
+
+@query("metrics_detection")
+def metrics_detection(spark, sf_dir):
+    from tideline.operators.reports import detection_metrics
+
+    return detection_metrics(fx.res_two_runs(spark, sf_dir))
+
+
+@query("metrics_impact")
+def metrics_impact(spark, sf_dir):
+    from tideline.operators.reports import impact_metrics
+
+    return impact_metrics(fx.res_two_runs(spark, sf_dir))
+
+
+@query("metrics_types")
+def metrics_types(spark, sf_dir):
+    from tideline.operators.reports import type_breakdown
+
+    return type_breakdown(fx.res_two_runs(spark, sf_dir))
+
+
+@query("profile")
+def q_profile(spark, sf_dir):
+    from tideline.operators.reports import profile
+
+    root = raw_on_disk(spark, sf_dir)
+    return profile(read_dataset(spark, root), partitions=list_partitions(spark, root))
