@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.session import ensure_checkpoint_dir
+from tideline.session import ensure_checkpoint_dir, materialize
 from tideline.sources.lineage import LineageGraph
 
 
@@ -31,38 +31,64 @@ def critical_columns(g: LineageGraph) -> DataFrame:
     return g.critical.select("dataset", "column", "ord")
 
 
-def closure(g: LineageGraph, max_rounds: int = 10_000) -> DataFrame:
-    """All ``(dataset, upstream, depth)`` pairs of the transitive closure.
-
-    Breadth-first from every dataset at once: each round joins the newest
-    pairs to the edges, drops pairs already known (``left_anti``), and stops
-    when a round adds nothing, so cycles terminate.  ``depth`` is the length of
-    the shortest path.  A dataset on a cycle reaches itself; names only ever
-    mentioned as upstream are included.  Every round's result is checkpointed
-    to the shared checkpoint folder, which keeps plans short and lets a lost
-    executor's work be re-read instead of recomputed from round one.
+def closure(
+    g: LineageGraph,
+    seeds: DataFrame | None = None,
+    direction: str = "up",
+    max_rounds: int = 10_000,
+) -> DataFrame:
+    """Transitive closure pairs ``(dataset, upstream, depth)``.
+
+    Breadth-first from every dataset at once (or only from ``seeds``, a
+    one-column DataFrame of dataset names): each round joins the newest pairs
+    to the edges, drops pairs already known (``left_anti`` against the earlier
+    rounds), and stops when a round adds nothing, so cycles terminate.
+    ``depth`` is the length of the shortest path; a dataset on a cycle reaches
+    itself; names only ever mentioned as upstream are included.
+
+    ``direction="down"`` walks the reversed edges; the pairs are then
+    ``(dataset, downstream, depth)``.  Each round is checkpointed to the shared
+    checkpoint folder as a Parquet table (plans stay short and a lost executor's
+    output is re-read, not recomputed from the first round); known pairs are
+    never rewritten, so the work per round is that round's pairs.
     """
     spark = g.edges.sparkSession
     ensure_checkpoint_dir(spark)
-    edges = g.edges.select("dataset", "upstream").distinct()
-    step = edges.select(F.col("dataset").alias("__via"), F.col("upstream").alias("__next"))
-    known = edges.withColumn("depth", F.lit(1)).checkpoint(eager=True)
-    frontier = known
+    if direction == "up":
+        src, dst, out = "dataset", "upstream", "upstream"
+    elif direction == "down":
+        src, dst, out = "upstream", "dataset", "downstream"
+    else:
+        raise ValueError(direction)
+    edges = g.edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to")).distinct()
+    first = edges.select(F.col("__from").alias("dataset"), F.col("__to").alias(out))
+    if seeds is not None:
+        roots = seeds.select(F.col(seeds.columns[0]).alias("dataset")).distinct()
+        first = first.join(roots, "dataset", "left_semi")
+    edges = materialize(edges, "lineage-edges")
+    level = materialize(first.withColumn("depth", F.lit(1)), "closure")
+    levels = [level]
     depth = 1
     while depth < max_rounds:
         depth += 1
+        known = levels[0].select("dataset", out)
+        for lv in levels[1:]:
+            known = known.unionByName(lv.select("dataset", out))
         cand = (
-            frontier.join(step, frontier["upstream"] == step["__via"])
-            .select("dataset", F.col("__next").alias("upstream"))
+            level.join(edges, level[out] == edges["__from"])
+            .select("dataset", F.col("__to").alias(out))
             .distinct()
         )
-        new = cand.join(known, ["dataset", "upstream"], "left_anti").withColumn("depth", F.lit(depth))
-        new = new.checkpoint(eager=True)
+        new = cand.join(known, ["dataset", out], "left_anti").withColumn("depth", F.lit(depth))
+        new = materialize(new, "closure")
         if new.isEmpty():
             break
-        known = known.unionByName(new).checkpoint(eager=True)
-        frontier = new
-    return known
+        levels.append(new)
+        level = new
+    result = levels[0]
+    for lv in levels[1:]:
+        result = result.unionByName(lv)
+    return result
 
 
 def all_upstream(g: LineageGraph) -> DataFrame:
@@ -70,10 +96,9 @@ def all_upstream(g: LineageGraph) -> DataFrame:
     return closure(g)
 
 
-def all_downstream(g: LineageGraph, pairs: DataFrame | None = None) -> DataFrame:
-    """``(dataset, downstream, depth)`` (L4): the closure read the other way."""
-    c = closure(g) if pairs is None else pairs
-    return c.select(F.col("upstream").alias("dataset"), F.col("dataset").alias("downstream"), "depth")
+def all_downstream(g: LineageGraph, seeds: DataFrame | None = None) -> DataFrame:
+    """``(dataset, downstream, depth)`` (L4): the closure over reversed edges."""
+    return closure(g, seeds=seeds, direction="down")
 
 
 def listing(g: LineageGraph) -> DataFrame:

@@ -30,6 +30,7 @@ from tideline.functions.scalar import fixed, percent, py_float_text, strip_prefi
 from tideline.operators.baseline import DEFAULT_WINDOW, baseline
 from tideline.operators.checks import ERROR_METRIC, NULL_PREFIX, REF_PREFIX
 from tideline.operators.lineage import all_downstream
+from tideline.session import materialize as write_back
 from tideline.sources.lineage import LineageGraph
 
 # Fixed values of the analysis (kept identical to the reference's output).
@@ -196,10 +197,15 @@ def suspected_causes(
     )
 
 
-def downstream_impact(targets: DataFrame, graph: LineageGraph, pairs: DataFrame | None = None) -> DataFrame:
-    """``(run_id, dataset, partition, impacted_dataset, depth)``."""
-    down = all_downstream(graph, pairs).select("dataset", F.col("downstream").alias("impacted_dataset"), "depth")
-    return targets.select(*GROUP).distinct().join(down, "dataset").select(*GROUP, "impacted_dataset", "depth")
+def downstream_impact(targets: DataFrame, graph: LineageGraph) -> DataFrame:
+    """``(run_id, dataset, partition, impacted_dataset, depth)``.
+
+    The closure is walked only from the failed datasets, not the whole graph.
+    """
+    t = targets.select(*GROUP).distinct()
+    down = all_downstream(graph, seeds=t.select("dataset"))
+    down = down.select("dataset", F.col("downstream").alias("impacted_dataset"), "depth")
+    return t.join(down, "dataset").select(*GROUP, "impacted_dataset", "depth")
 
 
 def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
@@ -251,15 +257,26 @@ def analyze(
     graph: LineageGraph,
     failures: DataFrame | None = None,
     window: int = DEFAULT_WINDOW,
-    pairs: DataFrame | None = None,
+    materialize: bool = True,
 ) -> Analysis:
-    """The whole analysis for every failure group at once."""
+    """The whole analysis for every failure group at once.
+
+    ``results`` is read by several branches (failures, upstream failures,
+    current metrics, baselines); with ``materialize`` it is written once to the
+    shared checkpoint folder so an expensive upstream plan (e.g. the
+    checks themselves) runs once.  Result tables are small: one row per check
+    and partition.
+    """
+    if materialize:
+        results = write_back(results, "rca-history")
+        if failures is not None:
+            failures = write_back(failures, "rca-failures")
     fails = results.where(~F.col("passed")) if failures is None else failures
     causes = suspected_causes(results, graph, fails, window)
     targets = fails.select(*GROUP).distinct()
     return Analysis(
         causes=causes,
-        impact=downstream_impact(targets, graph, pairs),
+        impact=downstream_impact(targets, graph),
         recommendations=recommendations(fails, causes),
         mttr=mttr(targets, causes),
     )

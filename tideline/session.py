@@ -57,3 +57,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tideline-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage like ``checkpoint()`` but runs the plan once (a reliable
+    RDD checkpoint computes it a second time to save it), and the table
+    survives the loss of any executor.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
