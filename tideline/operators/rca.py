@@ -273,6 +273,8 @@ def analyze(
             failures = write_back(failures, "rca-failures")
     fails = results.where(~F.col("passed")) if failures is None else failures
     causes = suspected_causes(results, graph, fails, window)
+    if materialize:  # read by causes, recommendations and MTTR
+        causes = write_back(causes, "rca-causes")
     targets = fails.select(*GROUP).distinct()
     return Analysis(
         causes=causes,

@@ -47,8 +47,16 @@ class RunOutcome:
     run_id: str
     results: DataFrame
     summary: DataFrame
-    analysis: Analysis | None = None
     skipped: list[str] = field(default_factory=list)
+    _diagnose: object = None
+    _analysis: Analysis | None = None
+
+    @property
+    def analysis(self) -> Analysis | None:
+        """Root-cause analysis of the run's failures, built on first access."""
+        if self._analysis is None and self._diagnose is not None:
+            self._analysis = self._diagnose()
+        return self._analysis
 
 
 def run_summary(results: DataFrame) -> DataFrame:
@@ -94,8 +102,39 @@ class QualityRunner:
         return self.store.checkpoints()
 
     # -- planning --------------------------------------------------------
-    def pending(self, spec: DatasetSpec, checkpoints: DataFrame, history: DataFrame) -> list[str]:
-        """Sorted new partition names of one dataset (metadata-sized)."""
+    def _mark(self, checkpoints: DataFrame, name: str) -> str | None:
+        row = checkpoints.where(F.col("dataset") == F.lit(name)).select("last_checked_partition").collect()
+        return row[0][0] if row else None
+
+    def _checked(self, history: DataFrame, name: str) -> list[str]:
+        rows = history.where(F.col("dataset") == F.lit(name)).select("partition").distinct().collect()
+        return [r[0] for r in rows]
+
+    def scope(self, spec: DatasetSpec, checkpoints: DataFrame, history: DataFrame):
+        """(restricted rows, explicit partition list or None, extra names).
+
+        Only partition *names* reach the driver (the checkpoint value, or in
+        ``anti`` mode the checked names).  The rows are restricted by a
+        predicate on the partition column, which a file scan turns into
+        partition pruning; no extra pass lists a view's partitions.
+        """
+        p = F.col(spec.partition_col)
+        if self.mode == "watermark":
+            mark = self._mark(checkpoints, spec.name)
+            keep = (lambda v: True) if mark is None else (lambda v: v > mark)
+            df = spec.df if mark is None else spec.df.where(p > F.lit(mark))
+        elif self.mode == "anti":
+            done = set(self._checked(history, spec.name))
+            keep = lambda v: v not in done
+            df = spec.df.where(~p.isin(sorted(done))) if done else spec.df
+        else:
+            raise ValueError(f"unknown mode {self.mode!r}")
+        listed = None if spec.partitions is None else [v for v in spec.partitions if keep(v)]
+        extra = [v for v in spec.extra_partitions if keep(v)]
+        return df, listed, extra
+
+    def pending(self, spec: DatasetSpec, checkpoints: DataFrame, history: DataFrame) -> DataFrame:
+        """New partition names of one dataset as a DataFrame (S3)."""
         if spec.partitions is not None:
             parts = partitions_frame(self.spark, list(spec.partitions), spec.partition_col)
         else:
@@ -104,32 +143,33 @@ class QualityRunner:
                 parts = parts.unionByName(
                     partitions_frame(self.spark, list(spec.extra_partitions), spec.partition_col)
                 ).distinct()
-        new = new_partitions(
+        return new_partitions(
             parts, checkpoints, spec.name, partition_col=spec.partition_col, mode=self.mode, checked=history
         )
-        return [r[0] for r in new.collect()]
 
     def plan(
         self, specs: Sequence[DatasetSpec], run_id: str | None = None, run_ts=None
     ) -> tuple[DataFrame, list[str]]:
-        """Lazy results of one run over all datasets, and the skipped ones."""
+        """Lazy results of one run over all datasets, and the skipped ones
+        (datasets with an explicit partition list and nothing new in it)."""
         run_id = run_id or str(uuid.uuid4())
         run_ts = run_ts or _dt.datetime.now()
         cps, hist = self._checkpoints(), self._history()
         pieces, skipped = [], []
         for spec in specs:
-            todo = self.pending(spec, cps, hist)
-            if not todo:
+            df, listed, extra = self.scope(spec, cps, hist)
+            if listed is not None and not listed:
                 skipped.append(spec.name)
                 continue
             pieces.append(
                 check_results(
-                    spec.df,
+                    df,
                     spec.checks,
                     dataset=spec.name,
                     run_id=run_id,
                     run_ts=run_ts,
-                    partitions=todo,
+                    partitions=listed,
+                    extra_partitions=extra if listed is None else (),
                     partition_col=spec.partition_col,
                 )
             )
@@ -160,17 +200,21 @@ class QualityRunner:
                 self.store.save_results(self._salvage(specs, run_id, run_ts))
             results = self.store.results().where(F.col("run_id") == F.lit(run_id))
             self.store.update_checkpoints(checkpoints_from_results(results))
-        analysis = None
+        diagnose = None
         if self.enable_diagnostics:
             hist = self._history() if self.store is not None else results
-            analysis = analyze(hist, self.lineage, failures=results.where(~F.col("passed")))
-        return RunOutcome(run_id, results, run_summary(results), analysis, skipped)
+            fails = results.where(~F.col("passed"))
+
+            def diagnose():
+                return analyze(hist, self.lineage, failures=fails)
+
+        return RunOutcome(run_id, results, run_summary(results), skipped, diagnose)
 
     def _salvage(self, specs: Sequence[DatasetSpec], run_id: str, run_ts) -> DataFrame:
         cps, hist = self._checkpoints(), self._history()
         out = None
         for spec in specs:
-            for part in self.pending(spec, cps, hist):
+            for part in [r[0] for r in self.pending(spec, cps, hist).collect()]:
                 one = check_results(
                     spec.df, spec.checks, dataset=spec.name, run_id=run_id, run_ts=run_ts,
                     partitions=[part], partition_col=spec.partition_col,
