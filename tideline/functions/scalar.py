@@ -49,6 +49,8 @@ def py_float_text(x: Column | str) -> Column:
 
     Spark renders doubles like Java (``1.0E-5``, ``1.5E7``); Python switches to
     exponent form only below 1e-4 or from 1e16 on, with a two-digit exponent.
+    Digits come from the JVM's shortest-repr algorithm, which on Java 17 can
+    differ from Python's for a few subnormal values.
     """
     c = _col(x)
     a = F.abs(c)
@@ -64,7 +66,7 @@ def py_float_text(x: Column | str) -> Column:
         mant,
         F.lit("e"),
         F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(exp).cast("string"), 2, "0"),
+        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")),
     )
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
