@@ -10,8 +10,9 @@ rows are range-partitioned on ``(value, md5, key, rowid)``, so any value spans
 as many tasks as its size needs; each task's rows are counted per value (at
 most #tasks + #values counter rows), a window over that small table gives each
 task's starting rank, and a row's rank is that start plus its position in the
-task.  The ranged rows are checkpointed to the shared checkpoint folder so both
-uses of them see the same positions even after an executor loss.
+task.  The ranged rows (with their task and position) are written once to the
+shared checkpoint folder, so both uses of them see the same positions even
+after an executor loss.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.session import ensure_checkpoint_dir
+from tideline.session import ensure_checkpoint_dir, materialize
 
 
 def exact_fraction(
@@ -47,12 +48,12 @@ def exact_fraction(
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [partition_col, "__h", key, "__rid"]
-    ranged = (
+    ranged = materialize(
         target.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("__pos", F.monotonically_increasing_id()),
+        "ranked-rows",
     )
     stats = ranged.groupBy("__pid", partition_col).agg(
         F.count(F.lit(1)).alias("__c"), F.min("__pos").alias("__first")
