@@ -40,9 +40,11 @@ def closure(
     """Transitive closure pairs ``(dataset, upstream, depth)``.
 
     Breadth-first from every dataset at once (or only from ``seeds``, a
-    one-column DataFrame of dataset names): each round joins the newest pairs
-    to the edges, drops pairs already known (``left_anti`` against the earlier
-    rounds), and stops when a round adds nothing, so cycles terminate.
+    one-column DataFrame of dataset names): each round joins the deepest pairs
+    found so far to the one- and two-hop edges (two levels per round), keeps
+    the shortest depth per pair, drops pairs already known (``left_anti``
+    against the earlier rounds), and stops when nothing new is two levels
+    down, so cycles terminate.
     ``depth`` is the length of the shortest path; a dataset on a cycle reaches
     itself; names only ever mentioned as upstream are included.
 
@@ -60,35 +62,47 @@ def closure(
         src, dst, out = "upstream", "dataset", "downstream"
     else:
         raise ValueError(direction)
-    edges = g.edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to")).distinct()
+    edges = materialize(
+        g.edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to")).distinct(), "lineage-edges"
+    )
+    # two-hop edges: every round advances the frontier by two levels
+    e1, e2 = edges.alias("e1"), edges.alias("e2")
+    hop2 = materialize(
+        e1.join(e2, F.col("e1.__to") == F.col("e2.__from"))
+        .select(F.col("e1.__from").alias("__from"), F.col("e2.__to").alias("__to"))
+        .distinct(),
+        "lineage-hop2",
+    )
     first = edges.select(F.col("__from").alias("dataset"), F.col("__to").alias(out))
     if seeds is not None:
         roots = seeds.select(F.col(seeds.columns[0]).alias("dataset")).distinct()
         first = first.join(roots, "dataset", "left_semi")
-    edges = materialize(edges, "lineage-edges")
-    level = materialize(first.withColumn("depth", F.lit(1)), "closure")
-    levels = [level]
-    depth = 1
+    levels = [materialize(first.withColumn("depth", F.lit(1)), "closure")]
+    frontier, depth = levels[0], 1
     while depth < max_rounds:
-        depth += 1
         known = levels[0].select("dataset", out)
         for lv in levels[1:]:
             known = known.unionByName(lv.select("dataset", out))
-        cand = (
-            level.join(edges, level[out] == edges["__from"])
-            .select("dataset", F.col("__to").alias(out))
-            .distinct()
-        )
-        new = cand.join(known, ["dataset", out], "left_anti").withColumn("depth", F.lit(depth))
-        new = materialize(new, "closure")
-        if new.isEmpty():
-            break
+
+        def step(hops: DataFrame, d: int) -> DataFrame:
+            return frontier.join(hops, frontier[out] == hops["__from"]).select(
+                "dataset", F.col("__to").alias(out), F.lit(d).alias("depth")
+            )
+
+        cand = step(edges, depth + 1).unionByName(step(hop2, depth + 2))
+        cand = cand.groupBy("dataset", out).agg(F.min("depth").alias("depth"))
+        new = materialize(cand.join(known, ["dataset", out], "left_anti"), "closure")
+        depth += 2
+        # pairs two levels down are the next frontier; if there are none,
+        # pairs one level down have no unknown successors either
+        frontier = new.where(F.col("depth") == depth)
         levels.append(new)
-        level = new
+        if frontier.isEmpty():
+            break
     result = levels[0]
     for lv in levels[1:]:
         result = result.unionByName(lv)
-    return result
+    return result.select("dataset", out, F.col("depth").cast("int").alias("depth"))
 
 
 def all_upstream(g: LineageGraph) -> DataFrame:
