@@ -102,3 +102,12 @@ def test_rca_branches(spark):
     assert recs[1] == "Check src - null_rate_k failed (value: 0.4000)"
     m = {r.partition: r.estimated_mttr for r in a.mttr.where("dataset = 'mid'").collect()}
     assert m == {"p1": 15, "p2": 15, "p3": 15}
+
+
+def test_closure_one_and_two_hop_rounds_agree(spark):
+    g = LineageGraph.from_records(spark, GRAPH + [{"dataset": f"n{i}", "upstream": [f"n{i - 1}"]} for i in range(1, 9)])
+    assert _pairs(closure(g, two_hop=True)) == _pairs(closure(g, two_hop=False))
+    seeds = spark.createDataFrame([("n0",), ("top",)], "d string")
+    a = _pairs(closure(g, seeds=seeds, direction="down", two_hop=True), "dataset", "downstream")
+    b = _pairs(closure(g, seeds=seeds, direction="down", two_hop=False), "dataset", "downstream")
+    assert a == b and ("n0", "n8", 8) in a

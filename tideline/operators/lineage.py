@@ -36,6 +36,7 @@ def closure(
     seeds: DataFrame | None = None,
     direction: str = "up",
     max_rounds: int = 10_000,
+    two_hop: bool | None = None,
 ) -> DataFrame:
     """Transitive closure pairs ``(dataset, upstream, depth)``.
 
@@ -65,14 +66,18 @@ def closure(
     edges = materialize(
         g.edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to")).distinct(), "lineage-edges"
     )
-    # two-hop edges: every round advances the frontier by two levels
-    e1, e2 = edges.alias("e1"), edges.alias("e2")
-    hop2 = materialize(
-        e1.join(e2, F.col("e1.__to") == F.col("e2.__from"))
-        .select(F.col("e1.__from").alias("__from"), F.col("e2.__to").alias("__to"))
-        .distinct(),
-        "lineage-hop2",
-    )
+    # two-hop edges let a round advance two levels; worth it for a walk from
+    # every dataset, not for a few seeds (the default follows that)
+    span = 2 if (two_hop if two_hop is not None else seeds is None) else 1
+    hop2 = None
+    if span == 2:
+        e1, e2 = edges.alias("e1"), edges.alias("e2")
+        hop2 = materialize(
+            e1.join(e2, F.col("e1.__to") == F.col("e2.__from"))
+            .select(F.col("e1.__from").alias("__from"), F.col("e2.__to").alias("__to"))
+            .distinct(),
+            "lineage-hop2",
+        )
     first = edges.select(F.col("__from").alias("dataset"), F.col("__to").alias(out))
     if seeds is not None:
         roots = seeds.select(F.col(seeds.columns[0]).alias("dataset")).distinct()
@@ -89,12 +94,13 @@ def closure(
                 "dataset", F.col("__to").alias(out), F.lit(d).alias("depth")
             )
 
-        cand = step(edges, depth + 1).unionByName(step(hop2, depth + 2))
-        cand = cand.groupBy("dataset", out).agg(F.min("depth").alias("depth"))
+        cand = step(edges, depth + 1)
+        if hop2 is not None:
+            cand = cand.unionByName(step(hop2, depth + 2)).groupBy("dataset", out).agg(F.min("depth").alias("depth"))
         new = materialize(cand.join(known, ["dataset", out], "left_anti"), "closure")
-        depth += 2
-        # pairs two levels down are the next frontier; if there are none,
-        # pairs one level down have no unknown successors either
+        depth += span
+        # the deepest new pairs are the next frontier; with two-hop rounds, if
+        # there are none, pairs one level down have no unknown successors either
         frontier = new.where(F.col("depth") == depth)
         levels.append(new)
         if frontier.isEmpty():
