@@ -234,3 +234,28 @@ SQL["profile"] = with_fixtures(
                MIN(amount) AS min_amount, MAX(amount) AS max_amount, COUNT(*) AS total_rows
         FROM raw"""
 )
+
+SQL["check_lineitem_monthly"] = with_fixtures(
+    "SELECT * FROM (" + check_rows(fx.RUN_ID, fx.RUN_TS, "lineitem_monthly", "big_stats", [
+        ("null_rate_order_id", "null_check", "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n0 AS DOUBLE) / n END)",
+         "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n0 AS DOUBLE) / n END) <= 0.0", "0.0"),
+        ("null_rate_product_id", "null_check", "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n1 AS DOUBLE) / n END)",
+         "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n1 AS DOUBLE) / n END) <= 0.05", "0.05"),
+        ("null_rate_amount", "null_check", "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n2 AS DOUBLE) / n END)",
+         "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n2 AS DOUBLE) / n END) <= 0.05", "0.05"),
+        ("volume_check", "volume", "n", f"n BETWEEN {fx.BIG_VOLUME[0]} AND {fx.BIG_VOLUME[1]}",
+         f"{fx.BIG_VOLUME[0]}-{fx.BIG_VOLUME[1]}"),
+        ("ref_integrity_product_id", "referential", "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n4 AS DOUBLE) / n END)",
+         "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n4 AS DOUBLE) / n END) = 0.0", "0.0"),
+    ]) + ")",
+    extra_ctes="""big AS (
+      SELECT l_orderkey AS order_id, l_partkey AS product_id, l_extendedprice AS amount,
+             strftime(l_shipdate, '%Y-%m') AS dt FROM lineitem),
+    big_stats AS (
+      SELECT b.dt, COUNT(*) AS n, COUNT(*) FILTER (WHERE b.order_id IS NULL) AS n0,
+             COUNT(*) FILTER (WHERE b.product_id IS NULL) AS n1, COUNT(*) FILTER (WHERE b.amount IS NULL) AS n2,
+             COUNT(*) FILTER (WHERE p.k IS NULL) AS n4
+      FROM big b LEFT JOIN (SELECT DISTINCT p_partkey AS k FROM part WHERE p_partkey IS NOT NULL) p
+        ON b.product_id = p.k
+      GROUP BY b.dt)""",
+)

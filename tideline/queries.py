@@ -523,3 +523,17 @@ def q_profile(spark, sf_dir):
 
     root = raw_on_disk(spark, sf_dir)
     return profile(read_dataset(spark, root), partitions=list_partitions(spark, root))
+
+
+@query("check_lineitem_monthly")
+def check_lineitem_monthly(spark, sf_dir):
+    """All five checks over ``lineitem`` as month partitions, FK to ``part``."""
+    checks = [
+        NullRateCheck("order_id", 0.0),
+        NullRateCheck("product_id", 0.05),
+        NullRateCheck("amount", 0.05),
+        VolumeCheck(*fx.BIG_VOLUME),
+        ReferentialCheck("product_id", fx.ref_big(spark, sf_dir), "product_id"),
+    ]
+    return check_results(fx.raw_big(spark, sf_dir), checks, dataset="lineitem_monthly", run_id=fx.RUN_ID,
+                         run_ts=fx.RUN_TS)
