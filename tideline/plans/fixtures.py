@@ -71,13 +71,6 @@ def rev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_rollup(bad(spark, sf_dir))
 
 
-def raw_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition list of ``raw``/``bad``: every day with rows plus the empty day."""
-    from tideline.sources.partitions import partitions_of
-
-    return partitions_of(raw(spark, sf_dir), "dt", extra=[EMPTY_PARTITION])
-
-
 def order_checks(reference: DataFrame, volume=BAD_VOLUME):
     return [
         NullRateCheck("order_id", threshold=0.0),
