@@ -80,3 +80,13 @@ def test_diagnosis_is_lazy_and_optional(spark):
     spec = DatasetSpec("orders", df, [NullRateCheck("product_id", 0.0)])
     off = QualityRunner(spark, enable_diagnostics=False).run([spec], run_id="x")
     assert off.analysis is None
+
+
+def test_tolerant_read_limited_to_requested_partitions(spark, tmp_root):
+    _write(spark, tmp_root, [(1, 5, 1.0, "2024-01-01"), (3, 6, 1.0, "2024-01-03")])
+    spark.createDataFrame([(2, None, 2.0)], "order_id long, product_id double, amount double").write.parquet(
+        f"{tmp_root}/dt=2024-01-02")
+    df = read_dataset(spark, tmp_root, tolerant=True, partitions=["2024-01-02", "2024-01-03"])
+    assert sorted(r.order_id for r in df.collect()) == [2, 3]
+    plain = read_dataset(spark, tmp_root, partitions=["2024-01-01"])
+    assert [r.order_id for r in plain.collect()] == [1]

@@ -261,9 +261,9 @@ def analyze(
 ) -> Analysis:
     """The whole analysis for every failure group at once.
 
-    ``results`` is read by several branches (failures, upstream failures,
-    current metrics, baselines); with ``materialize`` it is written once to the
-    shared checkpoint folder so an expensive upstream plan (e.g. the
+    ``results`` and the lineage tables are read by several branches (failures,
+    upstream failures, current metrics, baselines); with ``materialize`` they
+    are written once to the shared checkpoint folder so an expensive upstream plan (e.g. the
     checks themselves) runs once.  Result tables are small: one row per check
     and partition.
     """
@@ -271,6 +271,7 @@ def analyze(
         results = write_back(results, "rca-history")
         if failures is not None:
             failures = write_back(failures, "rca-failures")
+        graph = graph.materialized()
     fails = results.where(~F.col("passed")) if failures is None else failures
     causes = suspected_causes(results, graph, fails, window)
     if materialize:  # read by causes, recommendations and MTTR

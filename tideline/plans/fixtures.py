@@ -37,8 +37,15 @@ BIG_VOLUME = (500, 5000)
 STRICT_REV_VOLUME = (130, 160)
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's parquet table (read-only inputs: one scan definition per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,12 +61,21 @@ def resolve(df: DataFrame, checks: Sequence[Check]) -> _Plan:
         good = all(x in cols for x in c.columns())
         if good and isinstance(c, ReferentialCheck):
             good = c.reference is not None and c.reference_key in c.reference.columns
-        if good and c.aggregates():
-            try:
-                df.agg(*[e.alias(f"__probe{j}") for j, e in enumerate(c.aggregates().values())]).schema
-            except Exception:
-                good = False
         (ok if good else errors).append((i, c))
+    # analyse every aggregate at once; only on failure look for the culprit
+    exprs = [(i, e) for i, c in ok for e in c.aggregates().values()]
+    if exprs:
+        try:
+            df.agg(*[e.alias(f"__probe{j}") for j, (_, e) in enumerate(exprs)]).schema
+        except Exception:
+            bad = set()
+            for i, c in ok:
+                try:
+                    df.agg(*[e.alias(f"__probe{j}") for j, e in enumerate(c.aggregates().values())]).schema
+                except Exception:
+                    bad.add(i)
+            errors += [(i, c) for i, c in ok if i in bad]
+            ok = [(i, c) for i, c in ok if i not in bad]
     return _Plan(ok, errors)
 
 

@@ -103,6 +103,8 @@ class QualityRunner:
 
     # -- planning --------------------------------------------------------
     def _mark(self, checkpoints: DataFrame, name: str) -> str | None:
+        if self.store is not None:
+            return self.store.checkpoint_value(name)
         row = checkpoints.where(F.col("dataset") == F.lit(name)).select("last_checked_partition").collect()
         return row[0][0] if row else None
 
@@ -195,10 +197,10 @@ class QualityRunner:
         results, skipped = self.plan(specs, run_id, run_ts)
         if self.store is not None:
             try:
-                self.store.save_results(results)
+                seq = self.store.save_results(results)
             except Exception:  # noqa: BLE001 - isolate the failing dataset/partition
-                self.store.save_results(self._salvage(specs, run_id, run_ts))
-            results = self.store.results().where(F.col("run_id") == F.lit(run_id))
+                seq = self.store.save_results(self._salvage(specs, run_id, run_ts))
+            results = self.store.written(seq)
             self.store.update_checkpoints(checkpoints_from_results(results))
         diagnose = None
         if self.enable_diagnostics:

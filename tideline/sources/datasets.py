@@ -31,6 +31,7 @@ def read_dataset(
     pattern: str | None = DATE_PATTERN,
     tolerant: bool = False,
     contract: T.StructType | None = None,
+    partitions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Scan a whole partitioned dataset.
 
@@ -44,15 +45,22 @@ def read_dataset(
     are grouped by footer schema, each group is one scan cast to ``contract``
     (default: the first partition's schema) and the groups are unioned.  The
     number of scans is the number of distinct schemas, not of partitions.
+    Footers are read only for ``partitions`` when given (e.g. the new ones of
+    an incremental run), so the driver-side work follows the increment.
     """
     if not tolerant:
         schema = _with_string_partition(spark, path, partition_col)
         df = spark.read.schema(schema).option("basePath", path).parquet(path)
         if pattern:
             df = df.where(F.col(partition_col).rlike(f"^(?:{pattern})$"))
+        if partitions is not None:
+            df = df.where(F.col(partition_col).isin(list(partitions)))
         return df
 
     parts = list_partitions(spark, path, partition_col, pattern=pattern)
+    if partitions is not None:
+        wanted = set(partitions)
+        parts = [p for p in parts if p in wanted]
     groups: dict[str, list[str]] = {}
     schemas: dict[str, T.StructType] = {}
     for value in parts:

@@ -77,6 +77,17 @@ class LineageGraph:
         decl = raw.withColumn("decl_ord", F.monotonically_increasing_id())
         return LineageGraph.from_declarations(decl)
 
+    def materialized(self) -> "LineageGraph":
+        """The three tables written once to the shared checkpoint folder, for
+        plans that read the graph from several branches."""
+        from tideline.session import materialize
+
+        return LineageGraph(
+            materialize(self.datasets, "lineage-datasets"),
+            materialize(self.edges, "lineage-edges"),
+            materialize(self.critical, "lineage-critical"),
+        )
+
     def union(self, other: "LineageGraph") -> "LineageGraph":
         return LineageGraph(
             self.datasets.unionByName(other.datasets),

@@ -121,9 +121,27 @@ class ResultStore:
         df = latest_by_key(self._read(self.checkpoints_path, CHECKPOINT_SCHEMA), CHECKPOINT_KEY, [F.col(SEQ).desc()])
         return df.select(*CHECKPOINT_SCHEMA.fieldNames())
 
+    def written(self, seq: int) -> DataFrame:
+        """The rows of one ``save_results`` call (unique keys, no dedupe needed)."""
+        return self.raw_results().where(F.col(SEQ) == F.lit(seq)).select(*RESULT_SCHEMA.fieldNames())
+
     def last_checkpoint(self, dataset: str) -> DataFrame:
         return self.checkpoints().where(F.col("dataset") == F.lit(dataset))
 
+    def checkpoint_value(self, dataset: str) -> str | None:
+        """The dataset's last checked partition (S9): a top-1 read, no shuffle."""
+        if not self._exists(self.checkpoints_path):
+            return None
+        rows = (
+            self._read(self.checkpoints_path, CHECKPOINT_SCHEMA)
+            .where(F.col("dataset") == F.lit(dataset))
+            .orderBy(F.col(SEQ).desc())
+            .select("last_checked_partition")
+            .limit(1)
+            .collect()
+        )
+        return rows[0][0] if rows else None
+
     def save_results(self, results: DataFrame, seq: int | None = None) -> int:
         """Append one version of ``results`` (S7); returns its sequence number."""
         seq = time.time_ns() if seq is None else seq
