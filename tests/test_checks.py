@@ -99,3 +99,13 @@ def test_one_scan_for_all_checks(spark, tmp_root):
     checks = [NullRateCheck("order_id"), NullRateCheck("amount"), VolumeCheck(1, 100), ReferentialCheck("product_id", ref)]
     plan = check_results(fact, checks, dataset="o", run_id="r")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1, plan
+
+
+def test_orphan_rows_both_paths_with_a_hot_key(spark):
+    ref = spark.createDataFrame([(k,) for k in range(10)] + [(3,)], "product_id long")
+    rows = [(i, 3, 1.0, "d") for i in range(60)] + [(100, 42, 1.0, "d"), (101, None, 1.0, "d")]
+    df = _orders(spark, rows)
+    for cap in (None, 0):
+        got = orphan_rows(df, ReferentialCheck("product_id", ref), broadcast_rows=cap)
+        assert sorted(r.order_id for r in got.collect()) == [100, 101]
+        assert got.columns == df.columns

@@ -111,3 +111,20 @@ def test_closure_one_and_two_hop_rounds_agree(spark):
     a = _pairs(closure(g, seeds=seeds, direction="down", two_hop=True), "dataset", "downstream")
     b = _pairs(closure(g, seeds=seeds, direction="down", two_hop=False), "dataset", "downstream")
     assert a == b and ("n0", "n8", 8) in a
+
+
+def test_lineage_from_json_lines(spark, tmp_root):
+    import json
+
+    path = tmp_root.replace("file:", "") + ".jsonl"
+    with open(path, "w") as fh:
+        for r in [{"dataset": "orders_raw", "upstream": []},
+                  {"dataset": "revenue_daily", "upstream": ["orders_raw", "products"],
+                   "critical_columns": ["product_id", "amount"], "description": "Daily revenue"}]:
+            fh.write(json.dumps(r) + "\n")
+    g = LineageGraph.from_json(spark, path)
+    assert [(r.dataset, r.upstream, r.ord) for r in g.edges.orderBy("ord").collect()] == [
+        ("revenue_daily", "orders_raw", 0), ("revenue_daily", "products", 1)]
+    assert [r.column for r in g.critical.orderBy("ord").collect()] == ["product_id", "amount"]
+    rows = {r.dataset: r for r in listing(g).collect()}
+    assert rows["orders_raw"].is_source and rows["orders_raw"].feeds_into == "revenue_daily"

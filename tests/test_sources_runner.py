@@ -90,3 +90,20 @@ def test_tolerant_read_limited_to_requested_partitions(spark, tmp_root):
     assert sorted(r.order_id for r in df.collect()) == [2, 3]
     plain = read_dataset(spark, tmp_root, partitions=["2024-01-01"])
     assert [r.order_id for r in plain.collect()] == [1]
+
+
+def test_unreadable_partition_yields_error_rows_not_a_failed_run(spark, tmp_root):
+    data = f"{tmp_root}/orders"
+    _write(spark, data, [(1, 1, 1.0, "2024-01-01"), (2, 2, 1.0, "2024-01-02")])
+    _mkdir(spark, f"{data}/dt=2024-01-03")
+    with open(f"{data}/dt=2024-01-03/part-corrupt.parquet".replace("file:", ""), "wb") as fh:
+        fh.write(b"this is not parquet")
+    store = ResultStore(spark, f"{tmp_root}/store")
+    spec = DatasetSpec("orders", read_dataset(spark, data), [NullRateCheck("product_id", 0.0), VolumeCheck(1, 5)],
+                       partitions=list_partitions(spark, data))
+    out = QualityRunner(spark, store).run([spec], run_id="r")
+    rows = {(r.partition, r.check_name): r for r in out.results.collect()}
+    assert rows[("2024-01-01", "volume_check")].passed
+    assert rows[("2024-01-03", "volume_check")].metric_value == -1.0
+    assert rows[("2024-01-03", "null_rate_product_id")].threshold == "0.0"
+    assert not rows[("2024-01-03", "volume_check")].passed

@@ -199,12 +199,19 @@ class ExpressionCheck(Check):
         return self.threshold_text
 
 
-def orphan_rows(df: DataFrame, check: ReferentialCheck) -> DataFrame:
+def orphan_rows(df: DataFrame, check: ReferentialCheck, broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose foreign key has no reference match.
 
-    A plain ``left_anti`` join: Catalyst picks broadcast or sort-merge from the
-    reference size, and AQE splits a skewed fact partition if one key is hot.
+    The reference side is reduced to its distinct non-null keys.  When an
+    action has proved that set small it is broadcast, so the fact is never
+    shuffled and a hot key costs nothing extra; otherwise it is a shuffled
+    ``left_anti`` join, where AQE splits a fact partition made large by one
+    hot key across several tasks.
     """
-    ref = check.reference
-    cond = df[check.foreign_key] == ref[check.reference_key]
-    return df.join(ref, cond, "left_anti")
+    from tideline.plans.broadcast import at_most, max_broadcast_rows
+
+    keys = check.reference_keys("__rk")
+    limit = max_broadcast_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
+    if at_most(keys, limit):
+        keys = F.broadcast(keys)
+    return df.join(keys, df[check.foreign_key] == keys["__rk"], "left_anti")
