@@ -107,3 +107,22 @@ def test_unreadable_partition_yields_error_rows_not_a_failed_run(spark, tmp_root
     assert rows[("2024-01-03", "volume_check")].metric_value == -1.0
     assert rows[("2024-01-03", "null_rate_product_id")].threshold == "0.0"
     assert not rows[("2024-01-03", "volume_check")].passed
+
+
+def test_generate_revenue_job_and_report_bundles(spark, tmp_root):
+    from tideline.operators.reports import metrics_report, results_report, run_report
+    from tideline.operators.rollup import generate_revenue
+
+    src, out = f"{tmp_root}/orders", f"{tmp_root}/revenue"
+    _write(spark, src, [(1, 1, 2.5, "2024-01-01"), (2, 1, 1.25, "2024-01-01"), (3, None, 4.0, "2024-01-02")])
+    assert generate_revenue(spark, src, out) == 2
+    rev = {(r.dt, r.product_id): (r.total_revenue, r.order_count) for r in read_dataset(spark, out).collect()}
+    assert rev == {("2024-01-01", 1): (3.75, 2), ("2024-01-02", None): (4.0, 1)}
+    store = ResultStore(spark, f"{tmp_root}/store")
+    out_run = QualityRunner(spark, store).run(
+        [DatasetSpec("orders", read_dataset(spark, src), [NullRateCheck("product_id", 0.0)])], run_id="r")
+    rep = run_report(out_run.results)
+    assert rep["impact"].collect()[0].failed_checks == 1
+    rr = results_report(store.results(), store.checkpoints())
+    assert rr["checkpoints"].collect()[0].last_checked_partition == "2024-01-02"
+    assert metrics_report(store.results())["scale"].collect()[0].total_checks == 2

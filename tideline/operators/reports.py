@@ -171,3 +171,34 @@ def profile(
         F.count(F.lit(1)).alias("total_rows"),
     ]
     return df.agg(*aggs)
+
+
+# --- report bundles: one DataFrame per section ------------------------------
+def run_report(results: DataFrame) -> dict[str, DataFrame]:
+    """Q1: the run report (summary by dataset, failed checks, impact)."""
+    return {
+        "summary": summary_by_dataset(results),
+        "failed": failed_projection(results),
+        "impact": run_impact(results),
+    }
+
+
+def results_report(results: DataFrame, checkpoints: DataFrame, recent: int = 10) -> dict[str, DataFrame]:
+    """Q2: the results report (summary, checkpoints, most recent, failed)."""
+    return {
+        "summary": summary_by_dataset(results),
+        "checkpoints": checkpoint_listing(checkpoints),
+        "recent": recent_results(results, recent),
+        "failed": failed_checks(results),
+    }
+
+
+def metrics_report(results: DataFrame) -> dict[str, DataFrame]:
+    """Q3: system metrics (scale, rows, detection, impact, check-type mix)."""
+    return {
+        "scale": scale_metrics(results),
+        "rows": row_estimates(results),
+        "detection": detection_metrics(results),
+        "impact": impact_metrics(results),
+        "types": type_breakdown(results),
+    }

@@ -37,3 +37,23 @@ def revenue_rollup(
 
 def write_revenue(revenue: DataFrame, path: str, partition_col: str = "dt", dynamic: bool = True) -> None:
     write_partitioned(revenue, path, partition_col, dynamic=dynamic)
+
+
+def generate_revenue(spark, orders_path: str, out_path: str, *, dynamic: bool = False, partitions=None) -> int:
+    """The roll-up job: scan orders, aggregate, write partitioned.
+
+    ``dynamic=False`` replaces the whole output like a full rebuild;
+    ``dynamic=True`` with ``partitions`` rebuilds only those days.  Returns the
+    number of rows written, counted from the written table (the aggregate is
+    not computed twice).
+    """
+    from pyspark.sql import functions as F
+
+    from tideline.sources.datasets import read_dataset
+
+    orders = read_dataset(spark, orders_path, partitions=partitions)
+    write_revenue(revenue_rollup(orders), out_path, dynamic=dynamic)
+    written = spark.read.parquet(out_path)
+    if partitions is not None:
+        written = written.where(F.col("dt").cast("string").isin(list(partitions)))
+    return written.count()
