@@ -6,7 +6,7 @@ dataset's answer is a filter on them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tideline.session import ensure_checkpoint_dir, materialize
@@ -97,14 +97,19 @@ def closure(
         cand = step(edges, depth + 1)
         if hop2 is not None:
             cand = cand.unionByName(step(hop2, depth + 2)).groupBy("dataset", out).agg(F.min("depth").alias("depth"))
-        new = materialize(cand.join(known, ["dataset", out], "left_anti"), "closure")
         depth += span
         # the deepest new pairs are the next frontier; with two-hop rounds, if
-        # there are none, pairs one level down have no unknown successors either
-        frontier = new.where(F.col("depth") == depth)
+        # there are none, pairs one level down have no unknown successors either.
+        # Their count is observed while the round is written: no extra job.
+        seen = Observation(f"closure-round-{depth}")
+        fresh = cand.join(known, ["dataset", out], "left_anti").observe(
+            seen, F.count_if(F.col("depth") == depth).alias("deepest")
+        )
+        new = materialize(fresh, "closure")
         levels.append(new)
-        if frontier.isEmpty():
+        if not seen.get["deepest"]:
             break
+        frontier = new.where(F.col("depth") == depth)
     result = levels[0]
     for lv in levels[1:]:
         result = result.unionByName(lv)
