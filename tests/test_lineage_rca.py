@@ -128,3 +128,24 @@ def test_lineage_from_json_lines(spark, tmp_root):
     assert [r.column for r in g.critical.orderBy("ord").collect()] == ["product_id", "amount"]
     rows = {r.dataset: r for r in listing(g).collect()}
     assert rows["orders_raw"].is_source and rows["orders_raw"].feeds_into == "revenue_daily"
+
+
+def test_rca_options_latest_run_and_error_free_baseline(spark):
+    g = LineageGraph.from_records(spark, [{"dataset": "src", "upstream": []},
+                                          {"dataset": "out", "upstream": ["src"]}])
+    rows = [
+        ("r1", "src", "p1", "volume_check", "volume", False, 1, "2024-01-01 00:00:00"),   # old failure
+        ("r2", "src", "p1", "volume_check", "volume", True, 100, "2024-01-02 00:00:00"),  # re-check passed
+        ("r2", "out", "p1", "volume_check", "volume", False, 3, "2024-01-02 00:00:00"),
+    ]
+    res = _res(spark, rows)
+    fails = res.where("dataset = 'out'")
+    every = {(r.cause_dataset, r.kind) for r in analyze(res, g, failures=fails).causes.collect()}
+    assert every == {("src", "upstream")}
+    latest = {(r.cause_dataset, r.kind)
+              for r in analyze(res, g, failures=fails, upstream_runs="latest").causes.collect()}
+    assert latest == {("out", "self")}
+    err = [("r", "u", f"p{i}", "c", "t", True, v, "2024-01-01 00:00:00") for i, v in enumerate([5, -1, 5])]
+    keep = {r.partition: r.baseline_mean for r in baseline(_res(spark, err)).collect()}
+    drop = {r.partition: r.baseline_mean for r in baseline(_res(spark, err), exclude_errors=True).collect()}
+    assert keep["p2"] == 2.0 and drop["p2"] == 5.0 and "p1" not in drop

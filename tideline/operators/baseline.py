@@ -19,15 +19,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.checks import ERROR_METRIC
+
 DEFAULT_WINDOW = 30
 
 
-def baseline(history: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
+def baseline(history: DataFrame, window: int = DEFAULT_WINDOW, exclude_errors: bool = False) -> DataFrame:
     """``(dataset, check_name, partition, baseline_mean, baseline_max, baseline_rows)``.
 
     Partitions with no earlier rows get ``baseline_rows = 0`` and NULL stats.
+    ``exclude_errors`` leaves error rows (metric -1.0) out of the window (by
+    default they count, as in the reference); a partition with nothing but
+    error rows then has no baseline row.
     """
     key = ["dataset", "check_name"]
+    if exclude_errors:
+        history = history.where(F.col("metric_value") != F.lit(ERROR_METRIC))
     order = Window.partitionBy(*key).orderBy("partition", "timestamp", "run_id")
     trailing = order.rowsBetween(-(window - 1), 0)
     h = history.select(*key, "partition", "timestamp", "run_id", "metric_value")
@@ -53,14 +60,16 @@ def baseline(history: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     )
 
 
-def anomalies(history: DataFrame, current: DataFrame | None = None, window: int = DEFAULT_WINDOW) -> DataFrame:
+def anomalies(
+    history: DataFrame, current: DataFrame | None = None, window: int = DEFAULT_WINDOW, exclude_errors: bool = False
+) -> DataFrame:
     """Current rows whose metric exceeds twice the baseline mean or its max.
 
     ``current`` defaults to every history row.  Rows need at least one earlier
     row.  A drop is never anomalous here, as in the reference rule.
     """
     cur = history if current is None else current
-    b = baseline(history, window)
+    b = baseline(history, window, exclude_errors)
     j = cur.join(b, ["dataset", "check_name", "partition"], "inner")
     anomalous = (F.col("metric_value") > F.col("baseline_mean") * 2) | (F.col("metric_value") > F.col("baseline_max"))
     return j.where((F.col("baseline_rows") > 0) & anomalous)

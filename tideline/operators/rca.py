@@ -109,9 +109,17 @@ def suspected_causes(
     graph: LineageGraph,
     failures: DataFrame | None = None,
     window: int = DEFAULT_WINDOW,
+    upstream_runs: str = "all",
+    exclude_errors: bool = False,
 ) -> DataFrame:
     """``(run_id, dataset, partition, cause_dataset, reason, confidence, kind,
-    upstream_ord, item, cause_ord, cause_rank, band)`` (R1-R5, R9)."""
+    upstream_ord, item, cause_ord, cause_rank, band)`` (R1-R5, R9).
+
+    ``upstream_runs="all"`` (default, as the reference) counts upstream
+    failures of every run of the partition; ``"latest"`` only those of the
+    upstream's most recent run of it.  ``exclude_errors`` keeps error rows out
+    of the baselines.
+    """
     fails = results.where(~F.col("passed")) if failures is None else failures
     fails = fails.select(*GROUP, "check_name", "check_type", "metric_value", "threshold")
     targets = fails.select(*GROUP).distinct()
@@ -124,7 +132,17 @@ def suspected_causes(
 
     # Failed rows of a direct upstream in the same partition, any run
     tu = targets.join(edges, "dataset")
-    up_fail = results.where(~F.col("passed")).select(
+    upstream_rows = results
+    if upstream_runs == "latest":
+        newest = Window.partitionBy("dataset", "partition")
+        upstream_rows = (
+            results.withColumn("__newest", F.max(F.struct("timestamp", "run_id")).over(newest))
+            .where(F.struct("timestamp", "run_id") == F.col("__newest"))
+            .drop("__newest")
+        )
+    elif upstream_runs != "all":
+        raise ValueError(f"unknown upstream_runs {upstream_runs!r}")
+    up_fail = upstream_rows.where(~F.col("passed")).select(
         F.col("dataset").alias("upstream"),
         "partition",
         F.col("check_name").alias("u_check"),
@@ -154,7 +172,7 @@ def suspected_causes(
     current = results.select(
         F.col("dataset").alias("upstream"), "partition", "check_name", "metric_value"
     )
-    base = baseline(results, window).withColumnRenamed("dataset", "upstream")
+    base = baseline(results, window, exclude_errors).withColumnRenamed("dataset", "upstream")
     r4_rows = (
         clean.join(current, ["upstream", "partition"])
         .join(base, ["upstream", "check_name", "partition"])
@@ -258,6 +276,8 @@ def analyze(
     failures: DataFrame | None = None,
     window: int = DEFAULT_WINDOW,
     materialize: bool = True,
+    upstream_runs: str = "all",
+    exclude_errors: bool = False,
 ) -> Analysis:
     """The whole analysis for every failure group at once.
 
@@ -273,7 +293,7 @@ def analyze(
             failures = write_back(failures, "rca-failures")
         graph = graph.materialized()
     fails = results.where(~F.col("passed")) if failures is None else failures
-    causes = suspected_causes(results, graph, fails, window)
+    causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors)
     if materialize:  # read by causes, recommendations and MTTR
         causes = write_back(causes, "rca-causes")
     targets = fails.select(*GROUP).distinct()
