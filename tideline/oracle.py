@@ -217,10 +217,17 @@ def explain_sql(alias: str = "") -> str:
     )
 
 
-def rca_cte(p: str, hist: str) -> str:
-    """Causes (``{p}_causes``), recommendations, impact and MTTR over ``hist``."""
+def rca_cte(p: str, hist: str, latest: bool = False) -> str:
+    """Causes (``{p}_causes``), recommendations, impact and MTTR over ``hist``.
+
+    ``latest``: upstream failures only from the newest run of each partition.
+    """
     g = 'run_id, dataset, "partition"'
     kind_ord = "CASE kind WHEN 'source' THEN 0 WHEN 'self' THEN 2 ELSE 1 END"
+    up_src = hist
+    if latest:
+        up_src = (f'(SELECT * FROM {hist} QUALIFY rank() OVER (PARTITION BY dataset, "partition" '
+                  f'ORDER BY "timestamp" DESC, run_id DESC) = 1)')
     rec_null = f"'Investigate null spike in {Q}{Q}' || replace(check_name, 'null_rate_', '') || '{Q}{Q} column - check upstream data source'"
     rec_ref = f"'Update reference data or fix FK constraint on {Q}{Q}' || replace(check_name, 'ref_integrity_', '') || '{Q}{Q}'"
     return baseline_cte(f"{p}_base", hist) + f""",
@@ -234,7 +241,7 @@ def rca_cte(p: str, hist: str) -> str:
 {p}_tu AS (SELECT t.run_id, t.dataset, t."partition", e.upstream, e.ord
            FROM {p}_targets t JOIN lin_edges e ON e.dataset = t.dataset),
 {p}_uf AS (SELECT dataset AS upstream, "partition", check_name AS u_check, check_type AS u_type, metric_value AS u_metric
-           FROM {hist} WHERE NOT passed),
+           FROM {up_src} WHERE NOT passed),
 {p}_r3 AS (
   SELECT tu.run_id, tu.dataset, tu."partition", tu.upstream AS cause_dataset,
          uf.u_check || ' failed (value: ' || printf('%.4f', uf.u_metric) || ')' AS reason,

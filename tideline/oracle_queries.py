@@ -259,3 +259,4 @@ SQL["check_lineitem_monthly"] = with_fixtures(
         ON b.product_id = p.k
       GROUP BY b.dt)""",
 )
+SQL["rca_latest_run"] = with_fixtures(f"SELECT {_C} FROM l_causes", rca_cte("l", "res2", latest=True))

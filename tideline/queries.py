@@ -537,3 +537,13 @@ def check_lineitem_monthly(spark, sf_dir):
     ]
     return check_results(fx.raw_big(spark, sf_dir), checks, dataset="lineitem_monthly", run_id=fx.RUN_ID,
                          run_ts=fx.RUN_TS)
+
+
+@query("rca_latest_run")
+def rca_latest_run(spark, sf_dir):
+    """Two runs; upstream failures count only from the upstream's newest run,
+    where the re-check of clean data passed."""
+    from tideline.operators.rca import analyze
+
+    a = analyze(fx.res_two_runs(spark, sf_dir), fx.lineage(spark, sf_dir), upstream_runs="latest")
+    return a.causes.select(*CAUSE_COLS)
