@@ -291,7 +291,7 @@ def analyze(
         results = write_back(results, "rca-history")
         if failures is not None:
             failures = write_back(failures, "rca-failures")
-        graph = graph.materialized()
+        graph = graph.materialized(with_datasets=False)
     fails = results.where(~F.col("passed")) if failures is None else failures
     causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors)
     if materialize:  # read by causes, recommendations and MTTR

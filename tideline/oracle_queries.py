@@ -260,3 +260,7 @@ SQL["check_lineitem_monthly"] = with_fixtures(
       GROUP BY b.dt)""",
 )
 SQL["rca_latest_run"] = with_fixtures(f"SELECT {_C} FROM l_causes", rca_cte("l", "res2", latest=True))
+SQL["stream_checks"] = with_fixtures(
+    f"""SELECT * REPLACE ('stream-0' AS run_id) FROM ({order_check_sql(fx.RUN_ID, fx.RUN_TS, 'bad_stats')})
+        WHERE "partition" <> '{fx.EMPTY_PARTITION}'"""
+)

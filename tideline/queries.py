@@ -547,3 +547,26 @@ def rca_latest_run(spark, sf_dir):
 
     a = analyze(fx.res_two_runs(spark, sf_dir), fx.lineage(spark, sf_dir), upstream_runs="latest")
     return a.causes.select(*CAUSE_COLS)
+
+
+@query("stream_checks")
+def q_stream_checks(spark, sf_dir):
+    """The fused checks as a Structured Streaming job over an on-disk copy of
+    ``bad``: one availableNow micro-batch sees every partition with files."""
+    from pyspark.sql import types as T
+
+    from tideline.sources.store import ResultStore
+    from tideline.streaming import stream_checks
+
+    root = scratch_dir(spark, "stream-orders")
+    fx.bad(spark, sf_dir).write.partitionBy("dt").parquet(root)
+    schema = T.StructType([
+        T.StructField("order_id", T.LongType()),
+        T.StructField("product_id", T.LongType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("dt", T.StringType()),
+    ])
+    store = ResultStore(spark, scratch_dir(spark, "stream-store"))
+    stream_checks(spark, root, schema, fx.order_checks(fx.ref(spark, sf_dir)), dataset=fx.ORDERS, store=store,
+                  checkpoint_location=scratch_dir(spark, "stream-ckpt"), run_prefix="stream", run_ts=fx.RUN_TS)
+    return store.results()

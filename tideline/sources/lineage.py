@@ -77,13 +77,14 @@ class LineageGraph:
         decl = raw.withColumn("decl_ord", F.monotonically_increasing_id())
         return LineageGraph.from_declarations(decl)
 
-    def materialized(self) -> "LineageGraph":
-        """The three tables written once to the shared checkpoint folder, for
-        plans that read the graph from several branches."""
+    def materialized(self, with_datasets: bool = True) -> "LineageGraph":
+        """The tables written once to the shared checkpoint folder, for plans
+        that read the graph from several branches (``datasets`` only when
+        asked: the analysis does not read it)."""
         from tideline.session import materialize
 
         return LineageGraph(
-            materialize(self.datasets, "lineage-datasets"),
+            self.datasets if not with_datasets else materialize(self.datasets, "lineage-datasets"),
             materialize(self.edges, "lineage-edges"),
             materialize(self.critical, "lineage-critical"),
         )

@@ -41,6 +41,7 @@ def stream_checks(
     partition_col: str = "dt",
     pattern: str | None = DATE_PATTERN,
     run_prefix: str | None = None,
+    run_ts=None,
     trigger_available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ):
@@ -59,7 +60,8 @@ def stream_checks(
 
     def check_batch(batch: DataFrame, batch_id: int) -> None:
         results = check_results(
-            batch, checks, dataset=dataset, run_id=f"{prefix}-{batch_id}", partition_col=partition_col
+            batch, checks, dataset=dataset, run_id=f"{prefix}-{batch_id}", run_ts=run_ts,
+            partition_col=partition_col,
         )
         store.save_results(results, seq=batch_id)
         written = store.results().where(F.col("run_id") == f"{prefix}-{batch_id}")
