@@ -104,13 +104,18 @@ def test_rca_branches(spark):
     assert m == {"p1": 15, "p2": 15, "p3": 15}
 
 
-def test_closure_one_and_two_hop_rounds_agree(spark):
-    g = LineageGraph.from_records(spark, GRAPH + [{"dataset": f"n{i}", "upstream": [f"n{i - 1}"]} for i in range(1, 9)])
-    assert _pairs(closure(g, two_hop=True)) == _pairs(closure(g, two_hop=False))
+def test_closure_round_spans_agree(spark):
+    chain = [{"dataset": f"n{i}", "upstream": [f"n{i - 1}"]} for i in range(1, 12)]
+    shortcut = [{"dataset": "n12", "upstream": ["n11", "n2"]}]  # a short and a long path to n12
+    g = LineageGraph.from_records(spark, GRAPH + chain + shortcut)
+    one = _pairs(closure(g, hops=1))
+    assert ("n12", "n2", 1) in one and ("n12", "n0", 3) in one
+    for k in (2, 3, 4):
+        assert _pairs(closure(g, hops=k)) == one, k
     seeds = spark.createDataFrame([("n0",), ("top",)], "d string")
-    a = _pairs(closure(g, seeds=seeds, direction="down", two_hop=True), "dataset", "downstream")
-    b = _pairs(closure(g, seeds=seeds, direction="down", two_hop=False), "dataset", "downstream")
-    assert a == b and ("n0", "n8", 8) in a
+    a = _pairs(closure(g, seeds=seeds, direction="down", hops=4), "dataset", "downstream")
+    b = _pairs(closure(g, seeds=seeds, direction="down", hops=1), "dataset", "downstream")
+    assert a == b and ("n0", "n11", 11) in a and ("n0", "n12", 3) in a
 
 
 def test_lineage_from_json_lines(spark, tmp_root):

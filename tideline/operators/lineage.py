@@ -36,24 +36,28 @@ def closure(
     seeds: DataFrame | None = None,
     direction: str = "up",
     max_rounds: int = 10_000,
-    two_hop: bool | None = None,
+    hops: int | None = None,
 ) -> DataFrame:
     """Transitive closure pairs ``(dataset, upstream, depth)``.
 
     Breadth-first from every dataset at once (or only from ``seeds``, a
-    one-column DataFrame of dataset names): each round joins the deepest pairs
-    found so far to the one- and two-hop edges (two levels per round), keeps
-    the shortest depth per pair, drops pairs already known (``left_anti``
-    against the earlier rounds), and stops when nothing new is two levels
-    down, so cycles terminate.
-    ``depth`` is the length of the shortest path; a dataset on a cycle reaches
-    itself; names only ever mentioned as upstream are included.
-
-    ``direction="down"`` walks the reversed edges; the pairs are then
-    ``(dataset, downstream, depth)``.  Each round is checkpointed to the shared
-    checkpoint folder as a Parquet table (plans stay short and a lost executor's
-    output is re-read, not recomputed from the first round); known pairs are
-    never rewritten, so the work per round is that round's pairs.
+    one-column DataFrame of dataset names).  A round joins the deepest pairs
+    found so far (the frontier, all at depth ``d``) to a table of shortest
+    hop counts ``1..hops`` between datasets, keeps the smallest depth per pair,
+    drops pairs already known (``left_anti`` against the earlier rounds), and
+    writes the rest.  Any pair at distance ``d+1 .. d+hops`` has a shortest path
+    through a frontier dataset, so the depths are exact; when nothing new is
+    ``hops`` levels down, nothing deeper exists and the loop stops (cycles
+    terminate).  ``depth`` is the length of the shortest path; a dataset on a
+    cycle reaches itself; names only ever mentioned as upstream are included.
+
+    ``hops`` defaults to 4 for a walk from every dataset (fewer rounds) and 1
+    for a few seeds (no hop table to build).  ``direction="down"`` walks the
+    reversed edges; the pairs are then ``(dataset, downstream, depth)``.  Each
+    round is written once as a Parquet table in the shared checkpoint folder
+    (plans stay short and a lost executor's output is re-read, not recomputed
+    from the first round); known pairs are never rewritten, and the size of
+    the next frontier is observed while the round is written.
     """
     spark = g.edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -63,44 +67,44 @@ def closure(
         src, dst, out = "upstream", "dataset", "downstream"
     else:
         raise ValueError(direction)
+    span = hops if hops is not None else (4 if seeds is None else 1)
+    if span < 1:
+        raise ValueError("hops must be >= 1")
     edges = materialize(
         g.edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to")).distinct(), "lineage-edges"
     )
-    # two-hop edges let a round advance two levels; worth it for a walk from
-    # every dataset, not for a few seeds (the default follows that)
-    span = 2 if (two_hop if two_hop is not None else seeds is None) else 1
-    hop2 = None
-    if span == 2:
-        e1, e2 = edges.alias("e1"), edges.alias("e2")
-        hop2 = materialize(
-            e1.join(e2, F.col("e1.__to") == F.col("e2.__from"))
-            .select(F.col("e1.__from").alias("__from"), F.col("e2.__to").alias("__to"))
-            .distinct(),
-            "lineage-hop2",
-        )
+    # shortest hop count (<= span) between any two datasets
+    steps = edges.withColumn("__hop", F.lit(1))
+    if span > 1:
+        level = steps
+        for k in range(2, span + 1):
+            nxt = level.alias("a").join(edges.alias("b"), F.col("a.__to") == F.col("b.__from")).select(
+                F.col("a.__from").alias("__from"), F.col("b.__to").alias("__to"), F.lit(k).alias("__hop")
+            )
+            level = materialize(nxt.distinct(), f"lineage-hop{k}")
+            steps = steps.unionByName(level)
+        steps = materialize(steps.groupBy("__from", "__to").agg(F.min("__hop").alias("__hop")), "lineage-hops")
+
     first = edges.select(F.col("__from").alias("dataset"), F.col("__to").alias(out))
     if seeds is not None:
         roots = seeds.select(F.col(seeds.columns[0]).alias("dataset")).distinct()
         first = first.join(roots, "dataset", "left_semi")
     levels = [materialize(first.withColumn("depth", F.lit(1)), "closure")]
     frontier, depth = levels[0], 1
-    while depth < max_rounds:
+    rounds = 0
+    while rounds < max_rounds:
+        rounds += 1
         known = levels[0].select("dataset", out)
         for lv in levels[1:]:
             known = known.unionByName(lv.select("dataset", out))
-
-        def step(hops: DataFrame, d: int) -> DataFrame:
-            return frontier.join(hops, frontier[out] == hops["__from"]).select(
-                "dataset", F.col("__to").alias(out), F.lit(d).alias("depth")
-            )
-
-        cand = step(edges, depth + 1)
-        if hop2 is not None:
-            cand = cand.unionByName(step(hop2, depth + 2)).groupBy("dataset", out).agg(F.min("depth").alias("depth"))
+        cand = (
+            frontier.join(steps, frontier[out] == steps["__from"])
+            .groupBy("dataset", F.col("__to").alias(out))
+            .agg((F.min("__hop") + F.lit(depth)).alias("depth"))
+        )
         depth += span
-        # the deepest new pairs are the next frontier; with two-hop rounds, if
-        # there are none, pairs one level down have no unknown successors either.
-        # Their count is observed while the round is written: no extra job.
+        # pairs ``span`` levels down are the next frontier; their count is
+        # observed while the round is written, so no extra job is needed
         seen = Observation(f"closure-round-{depth}")
         fresh = cand.join(known, ["dataset", out], "left_anti").observe(
             seen, F.count_if(F.col("depth") == depth).alias("deepest")
