@@ -109,3 +109,15 @@ def test_orphan_rows_both_paths_with_a_hot_key(spark):
         got = orphan_rows(df, ReferentialCheck("product_id", ref), broadcast_rows=cap)
         assert sorted(r.order_id for r in got.collect()) == [100, 101]
         assert got.columns == df.columns
+
+
+def test_long_partition_lists_use_a_semi_join(spark, monkeypatch):
+    import tideline.plans.fused as fused
+
+    df = _orders(spark, [(i, 1, 1.0, f"d{i % 5}") for i in range(50)])
+    short = check_results(df, [VolumeCheck(0, 100)], dataset="o", run_id="r", partitions=["d1", "d2", "zz"])
+    monkeypatch.setattr(fused, "MAX_LITERAL_PARTITIONS", 2)
+    long_ = check_results(df, [VolumeCheck(0, 100)], dataset="o", run_id="r", partitions=["d1", "d2", "zz"])
+    a = sorted((r.partition, r.metric_value) for r in short.collect())
+    b = sorted((r.partition, r.metric_value) for r in long_.collect())
+    assert a == b == [("d1", 10.0), ("d2", 10.0), ("zz", 0.0)]

@@ -31,6 +31,9 @@ from tideline.sources.partitions import partitions_frame
 from tideline.sources.store import RESULT_SCHEMA
 
 N = "__n"
+# Partition lists up to this length are inlined as an IN list; longer ones
+# are broadcast and semi-joined.
+MAX_LITERAL_PARTITIONS = 2000
 
 
 def ts_literal(ts) -> Column:
@@ -121,7 +124,12 @@ def check_results(
     else:
         values = list(dict.fromkeys(str(v) for v in partitions))
         parts = partitions_frame(spark, values, partition_col)
-        fact = df.where(p.isin(values))  # static partition pruning on file scans
+        if len(values) <= MAX_LITERAL_PARTITIONS:
+            fact = df.where(p.isin(values))  # static partition pruning on file scans
+        else:
+            # a long list: a broadcast semi-join (its size is the list's length,
+            # known here), which dynamic partition pruning applies to file scans
+            fact = df.join(F.broadcast(parts), partition_col, "left_semi")
 
     needed = {partition_col}
     for _, c in plan.ok:

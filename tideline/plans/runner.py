@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.checks import Check
 from tideline.operators.rca import Analysis, analyze
-from tideline.plans.fused import check_results, error_results
+from tideline.plans.fused import MAX_LITERAL_PARTITIONS, check_results, error_results
 from tideline.sources.lineage import LineageGraph
 from tideline.sources.partitions import new_partitions, partitions_frame
 from tideline.sources.store import CHECKPOINT_SCHEMA, RESULT_SCHEMA, ResultStore, checkpoints_from_results
@@ -128,7 +128,13 @@ class QualityRunner:
         elif self.mode == "anti":
             done = set(self._checked(history, spec.name))
             keep = lambda v: v not in done
-            df = spec.df.where(~p.isin(sorted(done))) if done else spec.df
+            if not done:
+                df = spec.df
+            elif len(done) <= MAX_LITERAL_PARTITIONS:
+                df = spec.df.where(~p.isin(sorted(done)))
+            else:  # a known-size list of names: broadcast anti-join
+                names = partitions_frame(self.spark, sorted(done), spec.partition_col)
+                df = spec.df.join(F.broadcast(names), spec.partition_col, "left_anti")
         else:
             raise ValueError(f"unknown mode {self.mode!r}")
         listed = None if spec.partitions is None else [v for v in spec.partitions if keep(v)]
