@@ -1,6 +1,6 @@
 """Result and checkpoint tables.
 
-Both tables are append-only Parquet.  An "upsert" is a plain append of a new
+Both tables are append-only Parquet; results are partitioned by dataset.  An "upsert" is a plain append of a new
 version; readers keep the latest version per key with
 ``row_number() over (partition by key order by _seq desc) = 1``.  A retried
 write with the same key (e.g. the same ``run_id``) therefore overwrites its
@@ -106,7 +106,9 @@ class ResultStore:
         full = T.StructType(schema.fields + [T.StructField(SEQ, T.LongType(), True)])
         if not self._exists(path):  # S8: create-if-absent is an empty table
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(path)
+        # results are laid out as dataset=<name>/ directories: a filter on
+        # ``dataset`` prunes them
+        return self.spark.read.schema(full).parquet(path).select(*full.fieldNames())
 
     def raw_results(self) -> DataFrame:
         return self._read(self.results_path, RESULT_SCHEMA)
@@ -148,7 +150,11 @@ class ResultStore:
         (
             results.select(*RESULT_SCHEMA.fieldNames())
             .withColumn(SEQ, F.lit(seq).cast("long"))
+            # one file per dataset and write; a dataset's rows in one run are
+            # bounded by checks x new partitions, never by data volume
+            .repartition("dataset")
             .write.mode("append")
+            .partitionBy("dataset")
             .parquet(self.results_path)
         )
         return seq
