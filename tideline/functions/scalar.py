@@ -91,3 +91,19 @@ def threshold_text(value) -> str:
     if isinstance(value, int):
         return str(value)
     return str(float(value))
+
+
+def template(text: str, **fields: Column) -> Column:
+    """Fill a ``{name}`` text template with columns: ``concat`` of the pieces."""
+    import re as _re
+
+    parts: list[Column] = []
+    pos = 0
+    for m in _re.finditer(r"\{(\w+)\}", text):
+        if m.start() > pos:
+            parts.append(F.lit(text[pos:m.start()]))
+        parts.append(fields[m.group(1)])
+        pos = m.end()
+    if pos < len(text):
+        parts.append(F.lit(text[pos:]))
+    return F.concat(*parts)

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.scalar import fixed, percent, py_float_text, strip_prefix
+from tideline.functions.scalar import fixed, percent, py_float_text, strip_prefix, template
 from tideline.operators.baseline import DEFAULT_WINDOW, baseline
 from tideline.operators.checks import ERROR_METRIC, NULL_PREFIX, REF_PREFIX
 from tideline.operators.lineage import all_downstream
@@ -43,6 +43,19 @@ MTTR_FEW_CAUSES = 15
 MTTR_MANY_CAUSES = 30
 MTTR_MANUAL = 120
 FEW_CAUSES = 2
+# Explanation, reason and recommendation texts.
+TEXT_NULL = "High null rate in '{col}': {metric} (threshold: {threshold})"
+TEXT_VOLUME = "Row count anomaly: {rows} rows (expected: {threshold})"
+TEXT_REFERENTIAL = "Referential integrity broken for '{col}': {metric} orphaned records"
+TEXT_OTHER = "{check_name} failed: {metric} vs {threshold}"
+TEXT_UPSTREAM = "{check_name} failed (value: {metric})"
+TEXT_ANOMALY = "{check_name} anomaly: {metric} vs baseline {mean}"
+REC_NULL = "Investigate null spike in '{col}' column - check upstream data source"
+REC_VOLUME = "Verify data ingestion for {dataset} - possible incomplete load"
+REC_REFERENTIAL = "Update reference data or fix FK constraint on '{col}'"
+REC_CAUSE = "Check {cause_dataset} - {reason}"
+# Our own text for error rows (the reference raises while formatting them).
+TEXT_ERROR = "{check_name} could not be evaluated (check error)"
 GROUP = ["run_id", "dataset", "partition"]
 
 
@@ -62,19 +75,12 @@ def explain_failure(
     while formatting them.
     """
     t, n, m, th = F.col(check_type), F.col(check_name), F.col(metric), F.col(threshold)
-    null_text = F.concat(
-        F.lit("High null rate in '"), strip_prefix(n, NULL_PREFIX), F.lit("': "), percent(m),
-        F.lit(" (threshold: "), percent(th.try_cast("double")), F.lit(")"),
-    )
-    volume_text = F.concat(
-        F.lit("Row count anomaly: "), m.cast("bigint").cast("string"), F.lit(" rows (expected: "), th, F.lit(")")
-    )
-    ref_text = F.concat(
-        F.lit("Referential integrity broken for '"), strip_prefix(n, REF_PREFIX), F.lit("': "), percent(m),
-        F.lit(" orphaned records"),
-    )
-    other_text = F.concat(n, F.lit(" failed: "), py_float_text(m), F.lit(" vs "), th)
-    error_text = F.concat(n, F.lit(" could not be evaluated (check error)"))
+    null_text = template(TEXT_NULL, col=strip_prefix(n, NULL_PREFIX), metric=percent(m),
+                         threshold=percent(th.try_cast("double")))
+    volume_text = template(TEXT_VOLUME, rows=m.cast("bigint").cast("string"), threshold=th)
+    ref_text = template(TEXT_REFERENTIAL, col=strip_prefix(n, REF_PREFIX), metric=percent(m))
+    other_text = template(TEXT_OTHER, check_name=n, metric=py_float_text(m), threshold=th)
+    error_text = template(TEXT_ERROR, check_name=n)
     return (
         F.when(m == F.lit(ERROR_METRIC), error_text)
         .when(t == "null_check", null_text)
@@ -159,7 +165,7 @@ def suspected_causes(
     r3 = _cause(
         r3_rows,
         F.col("upstream"),
-        F.concat(F.col("u_check"), F.lit(" failed (value: "), fixed(F.col("u_metric"), 4), F.lit(")")),
+        template(TEXT_UPSTREAM, check_name=F.col("u_check"), metric=fixed(F.col("u_metric"), 4)),
         CONF_UPSTREAM,
         "upstream",
         F.col("ord"),
@@ -187,10 +193,8 @@ def suspected_causes(
     r4 = _cause(
         r4_rows,
         F.col("upstream"),
-        F.concat(
-            F.col("check_name"), F.lit(" anomaly: "), fixed(F.col("metric_value"), 4),
-            F.lit(" vs baseline "), fixed(F.col("baseline_mean"), 4),
-        ),
+        template(TEXT_ANOMALY, check_name=F.col("check_name"), metric=fixed(F.col("metric_value"), 4),
+                 mean=fixed(F.col("baseline_mean"), 4)),
         CONF_BASELINE,
         "baseline",
         F.col("ord"),
@@ -235,20 +239,15 @@ def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
     f = failures.select(*GROUP, "check_name", "check_type")
     name = F.col("check_name")
     text = (
-        F.when(F.col("check_type") == "null_check",
-               F.concat(F.lit("Investigate null spike in '"), strip_prefix(name, NULL_PREFIX),
-                        F.lit("' column - check upstream data source")))
-        .when(F.col("check_type") == "volume",
-              F.concat(F.lit("Verify data ingestion for "), F.col("dataset"), F.lit(" - possible incomplete load")))
-        .when(F.col("check_type") == "referential",
-              F.concat(F.lit("Update reference data or fix FK constraint on '"), strip_prefix(name, REF_PREFIX),
-                       F.lit("'")))
+        F.when(F.col("check_type") == "null_check", template(REC_NULL, col=strip_prefix(name, NULL_PREFIX)))
+        .when(F.col("check_type") == "volume", template(REC_VOLUME, dataset=F.col("dataset")))
+        .when(F.col("check_type") == "referential", template(REC_REFERENTIAL, col=strip_prefix(name, REF_PREFIX)))
     )
     per_check = f.select(*GROUP, F.lit(0).alias("__sec"), F.col("check_name").alias("__k"), F.lit(0).alias("__o"),
                          text.alias("recommendation")).where(F.col("recommendation").isNotNull())
     per_cause = causes.where(F.col("cause_dataset") != F.col("dataset")).select(
         *GROUP, F.lit(1).alias("__sec"), F.lit("").alias("__k"), F.col("cause_ord").alias("__o"),
-        F.concat(F.lit("Check "), F.col("cause_dataset"), F.lit(" - "), F.col("reason")).alias("recommendation"),
+        template(REC_CAUSE, cause_dataset=F.col("cause_dataset"), reason=F.col("reason")).alias("recommendation"),
     )
     both = per_check.unionByName(per_cause)
     w = Window.partitionBy(*GROUP).orderBy("__sec", "__k", "__o", "recommendation")

@@ -7,6 +7,7 @@ of this package's code.
 
 from __future__ import annotations
 
+from tideline.operators import rca
 from tideline.plans import fixtures as fx
 
 H = "((order_id * 7919 + 13) % 1000)"
@@ -202,18 +203,37 @@ def baseline_cte(name: str, hist: str, window: int = 30) -> str:
 Q = "'"  # a single quote inside SQL text literals
 
 
+def sql_template(text: str, **exprs: str) -> str:
+    """A ``{name}`` text template as a SQL ``||`` concatenation."""
+    import re
+
+    parts, pos = [], 0
+    for m in re.finditer(r"\{(\w+)\}", text):
+        if m.start() > pos:
+            parts.append("'" + text[pos:m.start()].replace("'", "''") + "'")
+        parts.append(f"({exprs[m.group(1)]})")
+        pos = m.end()
+    if pos < len(text):
+        parts.append("'" + text[pos:].replace("'", "''") + "'")
+    return "(" + " || ".join(parts) + ")"
+
+
 def explain_sql(alias: str = "") -> str:
     a = f"{alias}." if alias else ""
     m, n, t, th = f"{a}metric_value", f"{a}check_name", f"{a}check_type", f"{a}threshold"
+    pct = lambda x: f"printf('%.2f', {x} * 100.0) || '%'"
     return (
-        f"(CASE WHEN {m} = -1.0 THEN {n} || ' could not be evaluated (check error)'"
-        f" WHEN {t} = 'null_check' THEN 'High null rate in {Q}{Q}' || replace({n}, 'null_rate_', '') || '{Q}{Q}: '"
-        f" || printf('%.2f', {m} * 100.0) || '% (threshold: ' || printf('%.2f', TRY_CAST({th} AS DOUBLE) * 100.0) || '%)'"
-        f" WHEN {t} = 'volume' THEN 'Row count anomaly: ' || CAST(CAST(trunc({m}) AS BIGINT) AS VARCHAR)"
-        f" || ' rows (expected: ' || {th} || ')'"
-        f" WHEN {t} = 'referential' THEN 'Referential integrity broken for {Q}{Q}' || replace({n}, 'ref_integrity_', '')"
-        f" || '{Q}{Q}: ' || printf('%.2f', {m} * 100.0) || '% orphaned records'"
-        f" ELSE {n} || ' failed: ' || CAST({m} AS VARCHAR) || ' vs ' || {th} END)"
+        f"(CASE WHEN {m} = -1.0 THEN {sql_template(rca.TEXT_ERROR, check_name=n)}"
+        f" WHEN {t} = 'null_check' THEN "
+        + sql_template(rca.TEXT_NULL, col=f"replace({n}, 'null_rate_', '')", metric=pct(m),
+                       threshold=pct(f"TRY_CAST({th} AS DOUBLE)"))
+        + f" WHEN {t} = 'volume' THEN "
+        + sql_template(rca.TEXT_VOLUME, rows=f"CAST(CAST(trunc({m}) AS BIGINT) AS VARCHAR)", threshold=th)
+        + f" WHEN {t} = 'referential' THEN "
+        + sql_template(rca.TEXT_REFERENTIAL, col=f"replace({n}, 'ref_integrity_', '')", metric=pct(m))
+        + " ELSE "
+        + sql_template(rca.TEXT_OTHER, check_name=n, metric=f"CAST({m} AS VARCHAR)", threshold=th)
+        + " END)"
     )
 
 
@@ -228,8 +248,13 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
     if latest:
         up_src = (f'(SELECT * FROM {hist} QUALIFY rank() OVER (PARTITION BY dataset, "partition" '
                   f'ORDER BY "timestamp" DESC, run_id DESC) = 1)')
-    rec_null = f"'Investigate null spike in {Q}{Q}' || replace(check_name, 'null_rate_', '') || '{Q}{Q} column - check upstream data source'"
-    rec_ref = f"'Update reference data or fix FK constraint on {Q}{Q}' || replace(check_name, 'ref_integrity_', '') || '{Q}{Q}'"
+    rec_null = sql_template(rca.REC_NULL, col="replace(check_name, 'null_rate_', '')")
+    rec_ref = sql_template(rca.REC_REFERENTIAL, col="replace(check_name, 'ref_integrity_', '')")
+    rec_volume = sql_template(rca.REC_VOLUME, dataset="dataset")
+    rec_cause = sql_template(rca.REC_CAUSE, cause_dataset="cause_dataset", reason="reason")
+    upstream_reason = sql_template(rca.TEXT_UPSTREAM, check_name="uf.u_check", metric="printf('%.4f', uf.u_metric)")
+    anomaly_reason = sql_template(rca.TEXT_ANOMALY, check_name="h.check_name", metric="printf('%.4f', h.metric_value)",
+                                  mean="printf('%.4f', b.baseline_mean)")
     return baseline_cte(f"{p}_base", hist) + f""",
 {p}_fails AS (SELECT {g}, check_name, check_type, metric_value, threshold FROM {hist} WHERE NOT passed),
 {p}_targets AS (SELECT DISTINCT {g} FROM {p}_fails),
@@ -244,7 +269,7 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
            FROM {up_src} WHERE NOT passed),
 {p}_r3 AS (
   SELECT tu.run_id, tu.dataset, tu."partition", tu.upstream AS cause_dataset,
-         uf.u_check || ' failed (value: ' || printf('%.4f', uf.u_metric) || ')' AS reason,
+         {upstream_reason} AS reason,
          CAST(0.90 AS DOUBLE) AS confidence, 'upstream' AS kind, tu.ord AS upstream_ord, uf.u_check AS item
   FROM {p}_tu tu JOIN {p}_uf uf ON uf.upstream = tu.upstream AND uf."partition" = tu."partition"
   WHERE uf.u_type IN ('volume', 'referential')
@@ -254,8 +279,7 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
   SELECT 1 FROM {p}_uf uf WHERE uf.upstream = tu.upstream AND uf."partition" = tu."partition")),
 {p}_r4 AS (
   SELECT c.run_id, c.dataset, c."partition", c.upstream AS cause_dataset,
-         h.check_name || ' anomaly: ' || printf('%.4f', h.metric_value) || ' vs baseline '
-           || printf('%.4f', b.baseline_mean) AS reason,
+         {anomaly_reason} AS reason,
          CAST(0.70 AS DOUBLE) AS confidence, 'baseline' AS kind, c.ord AS upstream_ord, h.check_name AS item
   FROM {p}_clean c JOIN {hist} h ON h.dataset = c.upstream AND h."partition" = c."partition"
   JOIN {p}_base b ON b.dataset = h.dataset AND b.check_name = h.check_name AND b."partition" = h."partition"
@@ -279,12 +303,12 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
   SELECT {g}, 0 AS sec, check_name AS k, 0 AS o,
     CASE check_type
       WHEN 'null_check' THEN {rec_null}
-      WHEN 'volume' THEN 'Verify data ingestion for ' || dataset || ' - possible incomplete load'
+      WHEN 'volume' THEN {rec_volume}
       WHEN 'referential' THEN {rec_ref}
     END AS recommendation
   FROM {p}_fails
   UNION ALL
-  SELECT {g}, 1, '', cause_ord, 'Check ' || cause_dataset || ' - ' || reason
+  SELECT {g}, 1, '', cause_ord, {rec_cause}
   FROM {p}_causes WHERE cause_dataset <> dataset),
 {p}_recs AS (
   SELECT {g}, row_number() OVER (PARTITION BY {g} ORDER BY sec, k, o, recommendation) AS rec_no, recommendation

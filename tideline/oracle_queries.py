@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.oracle import H, baseline_cte, check_rows, order_check_sql, rca_cte, with_fixtures
+from tideline.oracle import H, baseline_cte, check_rows, explain_sql, order_check_sql, rca_cte, with_fixtures
 from tideline.plans import fixtures as fx
 
 RES_COLS = 'run_id, dataset, "partition", check_name, check_type, passed, metric_value, threshold, "timestamp"'
@@ -43,9 +43,7 @@ SQL["check_error_rows"] = with_fixtures(
       ])})"""
 )
 SQL["check_custom"] = with_fixtures(
-    f"""SELECT *, CASE WHEN metric_value = -1.0 THEN check_name || ' could not be evaluated (check error)'
-                       ELSE check_name || ' failed: ' || CAST(metric_value AS VARCHAR) || ' vs ' || threshold END
-                  AS explanation
+    f"""SELECT *, {explain_sql()} AS explanation
         FROM (
       {check_rows(fx.RUN_ID, fx.RUN_TS, fx.ORDERS, 'custom_stats', [
           ("high_amount_rate", "distribution", "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(nh AS DOUBLE) / n END)",
