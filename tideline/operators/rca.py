@@ -178,7 +178,10 @@ def suspected_causes(
     current = results.select(
         F.col("dataset").alias("upstream"), "partition", "check_name", "metric_value"
     )
-    base = baseline(results, window, exclude_errors).withColumnRenamed("dataset", "upstream")
+    # baselines only for the upstreams R4 will look at, not the whole history
+    relevant = clean.select(F.col("upstream").alias("dataset")).distinct()
+    base = baseline(results.join(relevant, "dataset", "left_semi"), window, exclude_errors)
+    base = base.withColumnRenamed("dataset", "upstream")
     r4_rows = (
         clean.join(current, ["upstream", "partition"])
         .join(base, ["upstream", "check_name", "partition"])
