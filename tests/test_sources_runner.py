@@ -126,3 +126,22 @@ def test_generate_revenue_job_and_report_bundles(spark, tmp_root):
     rr = results_report(store.results(), store.checkpoints())
     assert rr["checkpoints"].collect()[0].last_checked_partition == "2024-01-02"
     assert metrics_report(store.results())["scale"].collect()[0].total_checks == 2
+
+
+def test_new_partitions_frame_api(spark):
+    from tideline.sources.partitions import new_partitions, partitions_frame, partitions_of
+    from tideline.sources.store import CHECKPOINT_SCHEMA
+
+    parts = partitions_frame(spark, ["2024-01-01", "2024-01-02", "2024-01-03"])
+    empty = spark.createDataFrame([], CHECKPOINT_SCHEMA)
+    assert [r.dt for r in new_partitions(parts, empty, "orders").collect()] == ["2024-01-01", "2024-01-02",
+                                                                               "2024-01-03"]
+    cps = spark.createDataFrame([("orders", "2024-01-02", None), ("other", "2024-01-03", None)],
+                                "dataset string, last_checked_partition string, last_check_time timestamp_ntz")
+    assert [r.dt for r in new_partitions(parts, cps, "orders").collect()] == ["2024-01-03"]
+    checked = spark.createDataFrame([("orders", "2024-01-01"), ("orders", "2024-01-03")],
+                                    "dataset string, partition string")
+    late = new_partitions(parts, cps, "orders", mode="anti", checked=checked)
+    assert [r.dt for r in late.collect()] == ["2024-01-02"]
+    df = spark.createDataFrame([("2024-01-05",), ("2024-01-05",)], "dt string")
+    assert sorted(r.dt for r in partitions_of(df, extra=["2024-01-06"]).collect()) == ["2024-01-05", "2024-01-06"]
