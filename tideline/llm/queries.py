@@ -50,7 +50,7 @@ doc_windows as (
 hits as (
   select d.doc_id, d.i, d.n, x.item_id from doc_windows d join item_windows x on d.n = x.n and d.win = x.win),
 covered as (
-  select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(i, i + n)) as at from hits) group by doc_id),
+  select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(i, i + n)) as pos from hits) group by doc_id),
 items as (
   select doc_id, count(distinct item_id) as n_items, list_sort(list(distinct cast(item_id as varchar))) as items
   from hits group by doc_id)
@@ -59,3 +59,49 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
        sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join covered using (doc_id) left join items using (doc_id)
 """
+
+
+@query("op3_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.neardup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir)).drop("text_hash")
+
+
+ORACLE["op3_near_duplicates"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 85 * (p.n + q.n - c)),
+edges as (select x, y from links union all select y, x from links),
+reach as (select distinct x as doc_id, x as root from edges
+          union select r.doc_id, e.y from reach r join edges e on e.x = r.root),
+roots as (select doc_id, min(root) as root from reach group by doc_id)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, coalesce(root, doc_id) as component_id,
+       coalesce(root, doc_id) = doc_id as kept
+from words left join sizes using (doc_id) left join roots using (doc_id)
+"""
+
+
+@query("op9_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.mixing import mix
+
+    taken, _ = mix(documents(spark, sf_dir))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_shard")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.sharding import shard
+
+    return shard(documents(spark, sf_dir))
