@@ -105,3 +105,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.sharding import shard
 
     return shard(documents(spark, sf_dir))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.quality import quality
+
+    return quality(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")

@@ -35,11 +35,11 @@ TOP = 1 << 62  # keys are hashes of 62 bits
 
 
 def _search(rows: DataFrame, key: str, targets: list[int], below: list[int], lows: list[int], highs: list[int],
-            tolerance: int, where: list[Column]) -> list[tuple[int, int]]:
+            tolerance: int, where: list[Column], nearest: bool) -> list[tuple[int, int]]:
     """For each target a boundary b, and the bytes with ``key < b``; rows outside ``where[i]`` don't count.
 
-    ``below[i]`` are the bytes below ``lows[i]``.  A boundary that cannot meet the tolerance is the
-    least key of the single value that crosses the target.
+    ``below[i]`` are the bytes below ``lows[i]``.  A boundary that cannot meet the tolerance is
+    the key value that crosses the target, or with ``nearest`` the nearer of its two sides.
     """
     n = len(targets)
     found: list[tuple[int, int] | None] = [None] * n
@@ -74,7 +74,7 @@ def _search(rows: DataFrame, key: str, targets: list[int], below: list[int], low
             elif abs(after - targets[i]) <= tolerance:
                 found[i] = (min(b + step, hi), after)
             elif step == 1:
-                found[i] = (b, at)
+                found[i] = (b + 1, after) if nearest and after - targets[i] < targets[i] - at else (b, at)
             else:
                 lows[i], highs[i], below[i] = b, min(b + step, hi), at
     return found
@@ -89,12 +89,12 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     n = shards - 1
     targets = [total * (i + 1) // shards for i in range(n)]
     every = F.lit(True)
-    first = _search(rows, "k1", targets, [0] * n, [0] * n, [TOP] * n, slack, [every] * n)
+    first = _search(rows, "k1", targets, [0] * n, [0] * n, [TOP] * n, slack, [every] * n, False)
     out: list[tuple[int, int]] = [(b, 0) for b, _ in first]
     heavy = [i for i in range(n) if abs(first[i][1] - targets[i]) > slack]
     if heavy:
         inner = _search(rows, "k2", [targets[i] for i in heavy], [first[i][1] for i in heavy], [0] * len(heavy),
-                        [TOP] * len(heavy), slack, [F.col("k1") == first[i][0] for i in heavy])
+                        [TOP] * len(heavy), slack, [F.col("k1") == first[i][0] for i in heavy], True)
         for i, (b, _) in zip(heavy, inner):
             out[i] = (first[i][0], b)
     return sorted(out)
