@@ -113,3 +113,54 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.licenses import scan
+
+    return scan(documents(spark, sf_dir))
+
+
+def _license_sql() -> str:
+    from tideline.llm.licenses import TEMPLATES, THRESHOLD, template_bigrams
+
+    rows = ", ".join(f"('{k}', [{', '.join(repr(b) for b in template_bigrams(v))}])" for k, v in TEMPLATES.items())
+    return rf"""
+with templates(name, has) as (values {rows}),
+plain as (select doc_id, row_number() over () as r,
+                 lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\n]+', ' ', 'g')) as t from documents),
+units as (
+  select r, unnest(string_split(t, chr(10))) as u from plain
+  union all
+  select r, replace(t, chr(10), ' ') from plain where contains(t, chr(10))),
+numbered as (select r, row_number() over () as k, regexp_extract_all(u, '[a-z0-9]+') as w from units),
+sets as (
+  select r, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b
+  from numbered where len(w) > 1),
+sized as (
+  select * from sets
+  where len(b) >= (select min(ceil({THRESHOLD} * len(has) / (200.0 - {THRESHOLD}))) from templates)
+    and len(b) <= (select max(floor((200 - {THRESHOLD}) * len(has) / {THRESHOLD}.0)) from templates)),
+found as (
+  select r, k, name, 2 * len(list_intersect(b, has)) as twice, len(b) + len(has) as both_sizes
+  from sized, templates where 100 * 2 * len(list_intersect(b, has)) >= {THRESHOLD} * (len(b) + len(has))
+  qualify twice / both_sizes = max(twice / both_sizes) over (partition by r, k)),
+per_doc as (
+  select r, count(distinct k) as n_matched, array_to_string(list_sort(list(distinct name)), ',') as licenses,
+         max(round(twice / both_sizes, 6)) as best_dice from found group by r),
+n as (select r, count(*) as n_units from sized group by r)
+select doc_id, cast(coalesce(n_units, 0) as bigint) as n_units, cast(coalesce(n_matched, 0) as bigint) as n_matched,
+       coalesce(licenses, '') as licenses, coalesce(best_dice, 0.0) as best_dice
+from plain left join n using (r) left join per_doc using (r)
+"""
+
+
+ORACLE["op7_licenses"] = _license_sql()
+
+
+@query("op8_urls")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.urls import judge_urls
+
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
