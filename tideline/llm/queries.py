@@ -164,3 +164,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.urls import judge_urls
 
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op5_ctw")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.ctw import score
+
+    return score(documents(spark, sf_dir))
