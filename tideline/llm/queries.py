@@ -171,3 +171,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.ctw import score
 
     return score(documents(spark, sf_dir))
+
+
+def _of(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.pii import KINDS, find_pii
+
+    out = find_pii(documents(spark, sf_dir))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    return out.withColumn("base", base).select(
+        "doc_id", *[F.size(F.filter("base", _of(k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
