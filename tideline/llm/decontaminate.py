@@ -47,7 +47,7 @@ WINDOW = 10
 SHINGLE = 3
 MAX_BITS = 27  # the bitmap has at most 2**27 bits: 16 MB
 
-HITS_SCHEMA = ("row long, doc_id {id}, n_words long, "
+HITS_SCHEMA = ("row long, doc_id {id}, text_hash long, n_words long, "
                "found array<struct<key: long, at: long, lo: long, words: string>>")
 
 
@@ -161,18 +161,18 @@ def candidates(docs: DataFrame, bits, sizes: list[int], window: int = WINDOW, sh
                                          "words": words.joined(lo, hi).decode("utf-8", "replace")})
                 n = last - first
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n),
+                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), batch.column(2).slice(first, n),
                      pa.array(words.counts.astype(np.int64)), pa.array(found, kind)],
-                    names=["row", "doc_id", "n_words", "found"])
+                    names=["row", "doc_id", "text_hash", "n_words", "found"])
                 row += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(find, HITS_SCHEMA.format(id=kind))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(find, HITS_SCHEMA.format(id=kind))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row for each document: ``doc_id, n_words, n_hit, n_items, items, contaminated, spans``.
+    """One row for each document: ``doc_id, text_hash, n_words, n_hit, n_items, items, contaminated, spans``.
 
     ``items`` are the ids of the items with occurring windows as strings, sorted as
     strings; ``spans`` are the hit runs of words, as begin and end (exclusive).
@@ -215,9 +215,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ids = (hits.select("row", "window").distinct().join(windows.select("window", "item_id").distinct(), "window")
            .groupBy("row").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     none = F.lit(None).cast("array<struct<start: bigint, stop: bigint>>")
-    out = found.select("row", "doc_id", "n_words").join(spans, "row", "left").join(ids, "row", "left")
+    out = found.select("row", "doc_id", "text_hash", "n_words").join(spans, "row", "left").join(ids, "row", "left")
     return out.select(
-        "doc_id", "n_words",
+        "doc_id", "text_hash", "n_words",
         F.coalesce(F.expr("aggregate(spans, 0L, (n, x) -> n + x.stop - x.start)"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

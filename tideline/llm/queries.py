@@ -187,3 +187,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("base", base).select(
         "doc_id", *[F.size(F.filter("base", _of(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+@query("op2_repeats")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.repeats import dedup_repeats
+
+    rows, texts = dedup_repeats(documents(spark, sf_dir))
+    cut = texts.select("t1", "t2", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")).distinct()
+    return rows.join(cut, ["t1", "t2"], "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", "text_sha256").alias("kept_sha256"))
