@@ -9,7 +9,7 @@ The others are judged by a minimum-covariance-determinant estimate for each
 language and source, made of the documents that have not failed:
 
 1. The statistics become a vector: characters, symbols, repeated lines and
-   repeated words per word, each shrunk to the rate of the group by ``PRIOR`` words, so
+   repeated words per word, each shrunk to the median of the group by ``PRIOR`` words, so
    that a short text is not extreme by chance; the symbols' rate by log1p.
 2. Start: medians and quartiles of each coordinate.
 3. Concentration steps: the ``CORE`` share of the documents nearest by Mahalanobis
@@ -36,11 +36,11 @@ from tideline.llm.common import materialize, pick
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 WINDOW = 5
 PRIOR = 50.0
-CORE = 0.75
+CORE = 0.55  # just over one half: up to 45 % of a group may be outliers
 STEPS = 3
 LEAST = 100
 CUTOFF = 5.0
-FLOORS = (0.25, 0.06, 0.03, 0.03)  # least standard deviation of each coordinate
+FLOORS = (0.25, 0.06, 0.05, 0.05)  # least standard deviation of each coordinate
 NORMAL_MEDIAN = 3.357  # of the squared distance in four dimensions
 BINS = 50  # bins for a standard deviation, or for a factor e of squared distance
 DIMS = len(FLOORS)
@@ -95,18 +95,6 @@ def groups(rows: DataFrame) -> DataFrame:
                          .when(F.lit(everything) >= LEAST, _group()).alias("g"))
 
 
-def vectors(rows: DataFrame) -> DataFrame:
-    """``g`` and the coordinates ``v0 ..`` added to the statistics."""
-    counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    rates = rows.groupBy("g").agg(F.sum("n_words").alias("all_words"), *[F.sum(c).alias(f"all_{c}") for c in counts])
-    rows = rows.join(rates, "g")
-    out = []
-    for c in counts:
-        rate = (F.col(c) + PRIOR * F.col(f"all_{c}") / F.col("all_words")) / (F.col("n_words") + PRIOR)
-        out.append(F.log1p(rate) if c == "n_symbols" else rate)
-    return rows.select(*[c for c in rows.columns if not c.startswith("all_")], *[v.alias(f"v{i}") for i, v in enumerate(out)])
-
-
 def quantiles(binned: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Of ``g, dim, bin``: the least bin with at least each share of the rows at or below it."""
     up_to = Window.partitionBy("g", "dim").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -117,6 +105,27 @@ def quantiles(binned: DataFrame, shares: dict[str, float]) -> DataFrame:
         *[F.min(F.when(F.col("below") >= share * F.col("all"), F.col("bin"))).alias(name) for name, share in shares.items()])
 
 
+def medians(rows: DataFrame, columns: list[Column]) -> DataFrame:
+    """``g`` and the median of each column in it, ``q2_0 ..``."""
+    widths = [f / BINS for f in FLOORS]
+    binned = rows.select("g", F.posexplode(F.array(
+        *[F.floor(c / w).cast("long") for c, w in zip(columns, widths)])).alias("dim", "bin"))
+    q = quantiles(binned, {"q2": 0.5})
+    return q.groupBy("g").agg(*[F.max(F.when(F.col("dim") == i, F.col("q2") * w)).alias(f"q2_{i}") for i, w in enumerate(widths)])
+
+
+def vectors(rows: DataFrame) -> DataFrame:
+    """``g`` and the coordinates ``v0 ..`` added to the statistics."""
+    counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rates = medians(rows, [F.col(c) / F.col("n_words") for c in counts])
+    rows = rows.join(rates, "g")
+    out = []
+    for i, c in enumerate(counts):
+        rate = (F.col(c) + PRIOR * F.col(f"q2_{i}")) / (F.col("n_words") + PRIOR)
+        out.append(F.log1p(rate) if c == "n_symbols" else rate)
+    return rows.select(*[c for c in rows.columns if not c.startswith("q2_")], *[v.alias(f"v{i}") for i, v in enumerate(out)])
+
+
 def start(rows: DataFrame) -> DataFrame:
     """Medians and the variances that the quartiles tell."""
     widths = [f / BINS for f in FLOORS]
