@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import documents, materialize, small
+from tideline.llm.common import documents, materialize, small, unique
 from tideline.llm.decontaminate import decontaminate
 from tideline.llm.mixing import mix
 from tideline.llm.neardup import near_duplicates
@@ -61,9 +61,10 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = taken.select("doc_id", "text_hash", copies.cast("int").alias("copies")).groupBy("doc_id", "text_hash").agg(
         F.max("copies").alias("copies"))
     plan = materialize(plan.where("copies > 0"), "copies")
+    nth = unique("nth")  # a name that no column of the documents has
     joined = docs.alias("d").join(small(plan).alias("g"), F.expr(SAME)).select("d.*", F.explode(F.sequence(
-        F.lit(1), F.col("g.copies"))).alias("copy"))
-    return joined.drop("copy")
+        F.lit(1), F.col("g.copies"))).alias(nth))
+    return joined.drop(nth)
 
 
 def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
