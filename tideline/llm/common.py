@@ -37,6 +37,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """Broadcast ``df``, rows of a few numbers, if a count shows it to be small; else join as it is."""
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df``, rows of a few numbers (some 30 MB at most), if a count shows it to be small; else join as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import text as tx
-from tideline.llm.common import materialize, partitions, pick
+from tideline.llm.common import materialize, partitions, pick, small
 from tideline.llm.graph import components
 
 SHINGLE = 5
@@ -47,7 +47,6 @@ PER_CHUNK = 4
 ERRORS = 1
 BLOCK = 1 << 21  # shingles settled in one task
 CENTRES = 8
-BROADCAST_ROWS = 500_000  # rows of a few numbers each: at most some 40 MB
 
 
 def sets_of(data, offsets, table) -> list[np.ndarray]:
@@ -222,7 +221,7 @@ def settle(sets: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sets of the ``wanted`` class representatives, made from their texts again."""
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    side = small(wanted)
     chosen = (docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).alias("d")
               .join(side.alias("w"), F.expr("d.text_hash = w.rep_hash and d.doc_id <=> w.rep_id")))
 

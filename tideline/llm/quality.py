@@ -117,7 +117,7 @@ def medians(rows: DataFrame, columns: list[Column]) -> DataFrame:
 def vectors(rows: DataFrame) -> DataFrame:
     """``g`` and the coordinates ``v0 ..`` added to the statistics."""
     counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    rates = medians(rows, [F.col(c) / F.col("n_words") for c in counts])
+    rates = materialize(medians(rows, [F.col(c) / F.col("n_words") for c in counts]), "rates")
     rows = rows.join(rates, "g")
     out = []
     for i, c in enumerate(counts):
@@ -169,7 +169,7 @@ def _bin(d2: Column) -> Column:
 def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """The mean and covariance of the ``CORE`` share of documents nearest to ``estimate``."""
     near = distance(rows, estimate).withColumn("bin", _bin(F.col("d2")))
-    edge = quantiles(near.select("g", F.lit(0).alias("dim"), "bin"), {"edge": CORE}).select("g", "edge")
+    edge = materialize(quantiles(near.select("g", F.lit(0).alias("dim"), "bin"), {"edge": CORE}).select("g", "edge"), "edge")
     core = near.join(edge, "g").where("bin <= edge")
     out = [F.avg(f"v{i}").alias(f"m{i}") for i in range(DIMS)]
     for i in range(DIMS):

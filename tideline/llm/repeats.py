@@ -47,7 +47,7 @@ GRAM = 100
 LEFT = LENGTH - GRAM
 GRID = 20
 CROWD = 2048
-CHUNK = 1 << 20  # bytes of one text looked at at a time
+CHUNK = 1 << 18  # bytes of one text looked at at a time
 PLACE = np.uint64((1 << 32) - 1)
 
 
@@ -222,7 +222,7 @@ def context_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``gram, context, n, crowd, before, after``: the bytes of the ``wanted`` contexts, cut from one text each."""
     lists = materialize(wanted.groupBy("t1").agg(
         F.collect_list(F.struct("gram", "context", "n", "crowd")).alias("wanted")), "wanted")  # of one text each
-    rows = texts.select("t1", "text").join(small(lists, 200_000), "t1")
+    rows = texts.select("t1", "text").join(small(lists, 50_000), "t1")
 
     def cut(batches):
         for batch in batches:
@@ -370,7 +370,7 @@ def covered(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """``t1, t2, n_removed, n_spans, kept``: the bytes that stay of each text with spans."""
-    rows = texts.select("t1", "t2", "text").join(small(spans, 200_000), ["t1", "t2"])
+    rows = texts.select("t1", "t2", "text").join(small(spans, 50_000), ["t1", "t2"])
 
     def cut(batches):
         for batch in batches:
@@ -407,9 +407,10 @@ def dedup_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        F.sha2("text", 256).alias("text_sha256"))
     rows = materialize(rows, "texts")
     # one row of each text stands for its copies; rows alike in id and text all do, which changes no result
-    distinct = materialize(rows.where(F.col("n_bytes") >= LENGTH).groupBy("t1", "t2").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("rep")), "distinct")
-    texts = docs.alias("d").join(small(distinct).alias("r"), F.expr(
-        "d.t1 = r.t1 and d.t2 = r.t2 and d.doc_id <=> r.rep")).select("d.text", "d.t1", "d.t2", "r.copies")
+    copied = materialize(rows.where(F.col("n_bytes") >= LENGTH).groupBy("t1", "t2").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("rep")).where("copies > 1"), "copied")
+    texts = docs.where(F.octet_length("text") >= LENGTH).alias("d").join(
+        small(copied, 100_000).alias("r"), F.expr("d.t1 = r.t1 and d.t2 = r.t2"), "left").where(
+        "r.copies is null or d.doc_id <=> r.rep").select("d.text", "d.t1", "d.t2", F.expr("coalesce(r.copies, 1L)").alias("copies"))
     spans = materialize(covered(texts, crowd), "spans")
     return rows, cut_out(texts, spans)

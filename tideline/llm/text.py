@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 4 << 20  # bytes of text handled at a time
-SEGMENT = 1 << 20  # bytes hashed at a time
+SLICE = 2 << 20  # bytes of text handled at a time
+SEGMENT = 1 << 18  # bytes hashed at a time
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
