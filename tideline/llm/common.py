@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.session import materialize, scratch_dir  # noqa: F401
@@ -37,6 +37,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df``, rows of a few numbers (some 30 MB at most), if a count shows it to be small; else join as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, most: int = 100_000, entries: Column | None = None) -> DataFrame:
+    """Broadcast ``df`` if a count shows it to be small, else join as it is.
+
+    ``df`` is a written table with rows of a few numbers, or of ``entries`` such entries; ``most``
+    of them are some 30 MB in a hash table.
+    """
+    n = df.limit(most + 1).agg(F.count("*") if entries is None else F.coalesce(F.sum(entries + 1), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= most else df
