@@ -39,3 +39,21 @@ def test_scenarios_compose_in_order(spark):
     assert r.broken == 200 and r.nulls == 300  # the later fault wins on rows both select
     kept = inject_volume_drop(df, "x", 0.25, key="order_id", how="exact").count()
     assert kept == 250
+
+
+def test_any_key_type(spark):
+    from tideline.functions.selectors import hash_unit
+    from tideline.operators.inject import inject_null_spike, inject_referential_break
+
+    rows = [(f"6f1c-{i:04d}", i, "d1" if i < 100 else "d2") for i in range(200)]
+    df = spark.createDataFrame(rows, "order_id string, product_id long, dt string")
+    spiked = inject_null_spike(df, "d1", "product_id", 0.35, key="order_id")
+    assert spiked.where("product_id is null").groupBy("dt").count().collect()[0][1] == 35
+    assert inject_volume_drop(df, "d2", 0.25, key="order_id").count() == 125
+    broken = inject_referential_break(df, "d2", "product_id", 0.18, key="order_id", missing=-1)
+    assert broken.where("product_id = -1").count() == 18
+    near = inject_volume_drop(df, "d2", 0.25, key="order_id", how="hash").count()
+    assert 100 < near < 150
+    big = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (7,), (-7,), (None,)], "k long")
+    assert [r[0] for r in big.select(hash_unit("k")).collect()] == [
+        ((2**63 - 1) * 7919 + 13) % 1000, (-(2**63) % 1000 * 7919 + 13) % 1000, (7 * 7919 + 13) % 1000, (-7 * 7919 + 13) % 1000, None]

@@ -154,3 +154,28 @@ def test_rca_options_latest_run_and_error_free_baseline(spark):
     keep = {r.partition: r.baseline_mean for r in baseline(_res(spark, err)).collect()}
     drop = {r.partition: r.baseline_mean for r in baseline(_res(spark, err), exclude_errors=True).collect()}
     assert keep["p2"] == 2.0 and drop["p2"] == 5.0 and "p1" not in drop
+
+
+def test_lineage_from_one_document(spark, tmp_root):
+    import json
+
+    document = {"datasets": {"b": {"upstream": ["a"], "critical_columns": ["k"]}, "a": {"upstream": []}, "c": {"upstream": ["b", "a"]}}}
+    path = tmp_root.replace("file:", "") + ".json"
+    with open(path, "w") as fh:
+        json.dump(document, fh, indent=2)
+    g = LineageGraph.from_json(spark, path)
+    assert [(r.dataset, r.upstream, r.ord) for r in g.edges.orderBy("dataset", "ord").collect()] == [
+        ("b", "a", 0), ("c", "b", 0), ("c", "a", 1)]
+    assert [r.dataset for r in g.datasets.orderBy("decl_ord").collect()] == ["b", "a", "c"]
+    assert [(r.dataset, r.column) for r in g.critical.collect()] == [("b", "k")]
+
+
+def test_closure_has_no_depth_limit_and_takes_seeds(spark):
+    from tideline.operators.lineage import all_upstream
+
+    chain = [{"dataset": f"n{i}", "upstream": [f"n{i + 1}"]} for i in range(9)]
+    g = LineageGraph.from_records(spark, chain)
+    seed = spark.createDataFrame([("n2",)], "dataset string")
+    assert sorted((r.dataset, r.upstream, r.depth) for r in all_upstream(g, seed).collect()) == [
+        ("n2", f"n{i}", i - 2) for i in range(3, 10)]
+    assert all_upstream(g).count() == 45

@@ -1,12 +1,13 @@
 """Partition discovery, tolerant reads, result store and incremental runs."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators.checks import NullRateCheck, VolumeCheck
+from tideline.operators.checks import ExpressionCheck, NullRateCheck, ReferentialCheck, VolumeCheck
 from tideline.plans.runner import DatasetSpec, QualityRunner
 from tideline.sources.datasets import read_dataset
 from tideline.sources.partitions import list_partitions
-from tideline.sources.store import ResultStore
+from tideline.sources.store import RESULT_SCHEMA, ResultStore
 
 
 def _write(spark, root, rows, schema="order_id long, product_id long, amount double, dt string"):
@@ -38,7 +39,7 @@ def test_tolerant_read_unions_drifted_partitions(spark, tmp_root):
     df = read_dataset(spark, tmp_root, tolerant=True)
     got = sorted((r.order_id, r.product_id, r.dt) for r in df.collect())
     assert got == [(1, 5, "2024-01-01"), (2, None, "2024-01-02")]
-    assert df.schema["product_id"].dataType.simpleString() == "bigint"
+    assert df.schema["product_id"].dataType.simpleString() == "double"  # the wider of the two
 
 
 def test_incremental_runs_watermark_and_late_partitions(spark, tmp_root):
@@ -145,3 +146,105 @@ def test_new_partitions_frame_api(spark):
     assert [r.dt for r in late.collect()] == ["2024-01-02"]
     df = spark.createDataFrame([("2024-01-05",), ("2024-01-05",)], "dt string")
     assert sorted(r.dt for r in partitions_of(df, extra=["2024-01-06"]).collect()) == ["2024-01-05", "2024-01-06"]
+
+
+def _corrupt(spark, path):
+    spark.createDataFrame([("this is not parquet",)], "value string").write.text(path)
+
+
+def test_tolerant_read_never_narrows_or_drops(spark, tmp_root):
+    spark.createDataFrame([(1, 5)], "order_id int, product_id long").write.parquet(f"{tmp_root}/dt=2024-01-01")
+    spark.createDataFrame([(2, 1.75, 0.5)], "order_id long, product_id double, amount double").write.parquet(f"{tmp_root}/dt=2024-01-02")
+    _mkdir(spark, f"{tmp_root}/dt=2024-01-03")  # no files: an empty partition, no rows
+    df = read_dataset(spark, tmp_root, tolerant=True)
+    got = sorted((r.order_id, r.product_id, r.amount, r.dt) for r in df.collect())
+    assert got == [(1, 5.0, None, "2024-01-01"), (2, 1.75, 0.5, "2024-01-02")]
+    _corrupt(spark, f"{tmp_root}/dt=2024-01-04")
+    with pytest.raises(ValueError, match="2024-01-04"):
+        read_dataset(spark, tmp_root, tolerant=True)
+    assert read_dataset(spark, tmp_root, tolerant=True, partitions=["2024-01-01", "2024-01-02"]).count() == 2
+
+
+def test_each_partition_under_its_own_schema(spark, tmp_root):
+    """Type drift, an absent column, no files and a corrupt file, through the runner."""
+    data = f"{tmp_root}/orders"
+    spark.createDataFrame([(1, 5, 1.0)], "order_id long, product_id long, amount double").write.parquet(f"{data}/dt=2024-01-01")
+    spark.createDataFrame([(2, None, 2.0), (3, 5.0, 2.0)], "order_id long, product_id double, amount double").write.parquet(
+        f"{data}/dt=2024-01-02")
+    spark.createDataFrame([(4, 5)], "order_id long, product_id long").write.parquet(f"{data}/dt=2024-01-03")
+    _mkdir(spark, f"{data}/dt=2024-01-04")
+    _corrupt(spark, f"{data}/dt=2024-01-05")
+    ref = spark.createDataFrame([(5,)], "product_id long")
+    checks = [NullRateCheck("product_id", 0.3), NullRateCheck("amount", 0.0), VolumeCheck(1, 5), ReferentialCheck("product_id", ref)]
+    store = ResultStore(spark, f"{tmp_root}/store")
+    out = QualityRunner(spark, store).run([DatasetSpec("orders", None, checks, path=data)], run_id="r")
+    got = {(r.partition[-2:], r.check_name): (r.metric_value, r.passed) for r in out.results.collect()}
+    assert len(got) == 20
+    assert got["02", "null_rate_product_id"] == (0.5, False) and got["02", "ref_integrity_product_id"] == (0.5, False)
+    assert got["03", "null_rate_amount"] == (-1.0, False) and got["03", "null_rate_product_id"] == (0.0, True)
+    assert got["04", "volume_check"] == (0.0, False) and got["04", "null_rate_amount"] == (0.0, True)
+    assert {got["05", c.name] for c in checks} == {(-1.0, False)}  # never a pass for what was not read
+    assert {got["01", c.name][1] for c in checks} == {True}
+
+
+def test_failures_stay_with_their_check_dataset_and_partition(spark, tmp_root):
+    good = spark.createDataFrame([(1, 1, "a"), (2, None, "b")], "id long, product_id long, dt string")
+    text = F.when(F.col("dt") == "b", F.lit("x")).otherwise(F.lit("7"))
+    failing = ExpressionCheck(name="sum", check_type="custom", aggs={"s": F.sum(text.cast("bigint"))},
+                              metric=lambda agg, n: agg("s"), passes=lambda m: m > 0, needs=("dt",))
+    _corrupt(spark, f"{tmp_root}/ref")
+    unreadable = spark.read.schema("product_id long").parquet(f"{tmp_root}/ref")
+    checks = [failing, NullRateCheck("product_id", 0.5), ReferentialCheck("product_id", unreadable)]
+    store = ResultStore(spark, f"{tmp_root}/store")
+    out = QualityRunner(spark, store).run(
+        [DatasetSpec("one", good, checks), DatasetSpec("two", good, [VolumeCheck(1, 1)])], run_id="r")
+    got = {(r.dataset, r.partition, r.check_name): r.metric_value for r in out.results.collect()}
+    assert got == {("one", "a", "sum"): 7.0, ("one", "b", "sum"): -1.0, ("one", "a", "null_rate_product_id"): 0.0,
+                   ("one", "b", "null_rate_product_id"): 1.0, ("one", "a", "ref_integrity_product_id"): -1.0,
+                   ("one", "b", "ref_integrity_product_id"): -1.0, ("two", "a", "volume_check"): 1.0, ("two", "b", "volume_check"): 1.0}
+
+
+def test_check_names_must_differ(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, dt string")
+    with pytest.raises(ValueError, match="null_rate_id"):
+        QualityRunner(spark).run([DatasetSpec("d", df, [NullRateCheck("id", 0.0), NullRateCheck("id", 0.1)])])
+
+
+def test_broadcast_sides_are_bounded_together(spark, tmp_root):
+    from tideline.plans.broadcast import at_most, fitting, measure
+
+    assert fitting([(10, 100), (5, 50), (7, 900)], 20, 1000) == {1, 2}
+    assert fitting([(10, 100), (5, 950)], 20, 1000) == {1}
+    assert fitting([(1, 0)], 0, 10) == set()
+    path = f"{tmp_root}/ref"
+    spark.range(5).coalesce(1).write.parquet(path)
+    assert at_most(spark.read.parquet(path), 10)
+    spark.range(500).coalesce(1).write.mode("overwrite").parquet(path)  # rewritten in place
+    assert not at_most(spark.read.parquet(path), 10)
+    assert measure(spark.read.parquet(path), 10)[0] == 11
+
+
+def test_three_large_references_cost_one_further_scan(spark, tmp_root):
+    from tideline.plans.fused import check_results
+
+    spark.createDataFrame([(1, 2.0, "x", "a"), (5, -0.0, None, "a"), (5, 9.0, "y", None)],
+                          "k1 int, k2 double, k3 string, dt string").write.parquet(f"{tmp_root}/fact")
+    fact = spark.read.parquet(f"{tmp_root}/fact")
+    refs = [spark.createDataFrame([(v,) for v in values], f"k {kind}") for kind, values in (
+        ("long", [1, 2]), ("int", [2, 0]), ("string", ["x", "y", "y"]))]
+    checks = [ReferentialCheck(f"k{i + 1}", r, "k") for i, r in enumerate(refs)]
+    out = [check_results(fact, checks, dataset="d", run_id="r", run_ts="2024-01-01 00:00:00", broadcast_rows=n) for n in (0, None)]
+    rows = [sorted((str(r.partition), r.check_name, r.metric_value) for r in o.collect()) for o in out]
+    assert rows[0] == rows[1]
+    assert dict(((p, c), m) for p, c, m in rows[0])["a", "ref_integrity_k2"] == 0.0  # -0.0 is 0, 2.0 is 2
+    assert dict(((p, c), m) for p, c, m in rows[0])["None", "ref_integrity_k2"] == 1.0
+    plan = out[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2
+
+
+def test_batch_and_stream_versions_share_one_order(spark, tmp_root):
+    store = ResultStore(spark, f"{tmp_root}/store")
+    row = spark.createDataFrame([("r", "d", "p", "c", "t", True, 1.0, "N/A", None)], RESULT_SCHEMA)
+    store.save_results(row)
+    store.save_results(row.withColumn("metric_value", F.lit(2.0)))
+    assert [r.metric_value for r in store.results().collect()] == [2.0]

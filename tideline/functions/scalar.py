@@ -49,33 +49,31 @@ def py_float_text(x: Column | str) -> Column:
 
     Spark renders doubles like Java (``1.0E-5``, ``1.5E7``); Python switches to
     exponent form only below 1e-4 or from 1e16 on, with a two-digit exponent.
-    Digits come from the JVM's shortest-repr algorithm, which on Java 17 can
-    differ from Python's for a few subnormal values.
+    The digits are the JVM's own (shortest that read back the same); only the
+    point is moved, so no digit is lost or made up.
     """
     c = _col(x)
-    a = F.abs(c)
-    plain = F.regexp_replace(
-        F.regexp_replace(c.cast("decimal(38,18)").cast("string"), r"0+$", ""),
-        r"\.$",
-        ".0",
-    )
-    java = c.cast("string")  # d.dddE[-]n
+    java = c.cast("string")  # ddd.ddd, or d.dddE[-]n
+    sign = F.when(java.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.regexp_extract(java, r"^-?([0-9.]+)E", 1), r"\.0$|\.", "")
+    exp = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).try_cast("int")
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)  # 1e-4 <= |x| < 1e-3
+    whole = F.rpad(F.substring(digits, F.lit(1), exp + 1), exp + 1, F.lit("0"))
+    rest = F.substr(digits, exp + 2)
+    large = F.concat(sign, whole, F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest))  # 1e7 <= |x| < 1e16
     mant = F.regexp_replace(F.regexp_extract(java, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
-    exp = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).cast("int")
-    sci = F.concat(
-        mant,
-        F.lit("e"),
-        F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")),
-    )
+    size = F.abs(exp).cast("string")
+    sci = F.concat(mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size))
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(c), F.lit("nan"))
         .when(c == F.lit(float("inf")), F.lit("inf"))
         .when(c == F.lit(float("-inf")), F.lit("-inf"))
-        .when(c == 0, F.when(java.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
-        .when((a >= 1e-4) & (a < 1e16), plain)
-        .otherwise(F.when(java.contains("E"), sci).otherwise(plain))
+        .when(~java.contains("E"), java)
+        .when(exp.between(-4, -1), small)
+        .when(exp.between(0, 15), large)
+        .otherwise(sci)
     )
 
 

@@ -18,11 +18,14 @@ SELECTOR_MODULUS = 1000
 
 
 def hash_unit(key: Column | str) -> Column:
-    """``(key * 7919 + 13) % 1000`` as a bigint in ``[0, 1000)`` for a numeric key."""
+    """``(key * 7919 + 13) % 1000`` as a bigint in ``[0, 1000)`` for a whole-number key,
+    a hash of the key's text for any other."""
     k = F.col(key) if isinstance(key, str) else key
-    h = (k.cast("bigint") * F.lit(SELECTOR_MULTIPLIER) + F.lit(SELECTOR_OFFSET)) % F.lit(SELECTOR_MODULUS)
-    # keep it non-negative for negative keys, as SQL '%' keeps the dividend's sign
-    return F.when(h < 0, h + F.lit(SELECTOR_MODULUS)).otherwise(h)
+    whole = F.typeof(k).isin("tinyint", "smallint", "int", "bigint")
+    text = k.cast("string")
+    m = text.try_cast("bigint") % F.lit(SELECTOR_MODULUS)  # the remainder first: no large key overflows
+    h = F.pmod(m * F.lit(SELECTOR_MULTIPLIER) + F.lit(SELECTOR_OFFSET), F.lit(SELECTOR_MODULUS))
+    return F.when(whole, h).otherwise(F.pmod(F.xxhash64(text), F.lit(SELECTOR_MODULUS)))
 
 
 def hash_selector(key: Column | str, rate: float) -> Column:

@@ -145,6 +145,11 @@ class ReferentialCheck(Check):
     def columns(self):
         return (self.foreign_key,)
 
+    def raw_keys(self) -> DataFrame:
+        """Non-null reference keys, repeated ones included."""
+        k = F.col(self.reference_key)
+        return self.reference.select(k).where(k.isNotNull())
+
     def reference_keys(self, alias: str) -> DataFrame:
         """Distinct, non-null reference keys under ``alias``."""
         k = F.col(self.reference_key)
@@ -212,6 +217,6 @@ def orphan_rows(df: DataFrame, check: ReferentialCheck, broadcast_rows: int | No
 
     keys = check.reference_keys("__rk")
     limit = max_broadcast_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
-    if at_most(keys, limit):
+    if at_most(check.raw_keys(), limit):
         keys = F.broadcast(keys)
     return df.join(keys, df[check.foreign_key] == keys["__rk"], "left_anti")

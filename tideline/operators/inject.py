@@ -1,9 +1,10 @@
 """Fault-injection transforms.
 
 Pure DataFrame -> DataFrame functions: the input is never modified, nothing is
-backed up or restored.  Rows are chosen by a selector expression of the row
-key (``hash``, map-only) or by an exact per-partition fraction (``exact``,
-see ``tideline.operators.sampling``), never by a driver-side sample.
+backed up or restored.  Rows are chosen by an exact per-partition fraction of
+the key's text (``exact``, the default, see ``tideline.operators.sampling``), or by a
+selector expression of the row key (``hash``, map-only, about the fraction);
+keys can be of any type.  Never by a driver-side sample.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def inject_null_spike(
     *,
     key: str,
     partition_col: str = "dt",
-    how: str = "hash",
+    how: str = "exact",
 ) -> DataFrame:
     """Set ``column`` to NULL in ``null_rate`` of one partition's rows."""
     inp = F.col(partition_col) == F.lit(partition)
@@ -58,7 +59,7 @@ def inject_volume_drop(
     *,
     key: str,
     partition_col: str = "dt",
-    how: str = "hash",
+    how: str = "exact",
 ) -> DataFrame:
     """Keep only ``keep_rate`` of one partition's rows."""
     inp = F.col(partition_col) == F.lit(partition)
@@ -75,7 +76,7 @@ def inject_referential_break(
     key: str,
     missing=DEFAULT_MISSING_KEY,
     partition_col: str = "dt",
-    how: str = "hash",
+    how: str = "exact",
 ) -> DataFrame:
     """Point ``break_rate`` of one partition's foreign keys at a missing value."""
     inp = F.col(partition_col) == F.lit(partition)
@@ -96,7 +97,7 @@ class Fault:
     missing: object = DEFAULT_MISSING_KEY
 
 
-def inject_scenarios(df: DataFrame, faults: Sequence[Fault], *, key: str, partition_col: str = "dt", how: str = "hash") -> DataFrame:
+def inject_scenarios(df: DataFrame, faults: Sequence[Fault], *, key: str, partition_col: str = "dt", how: str = "exact") -> DataFrame:
     """Apply several faults in order (I4); each is a lazy projection/filter."""
     for f in faults:
         if f.kind == "null_spike":

@@ -35,7 +35,6 @@ def closure(
     g: LineageGraph,
     seeds: DataFrame | None = None,
     direction: str = "up",
-    max_rounds: int = 10_000,
     hops: int | None = None,
 ) -> DataFrame:
     """Transitive closure pairs ``(dataset, upstream, depth)``.
@@ -91,9 +90,7 @@ def closure(
         first = first.join(roots, "dataset", "left_semi")
     levels = [materialize(first.withColumn("depth", F.lit(1)), "closure")]
     frontier, depth = levels[0], 1
-    rounds = 0
-    while rounds < max_rounds:
-        rounds += 1
+    while True:  # ends: every round adds a pair, and there are finitely many
         known = levels[0].select("dataset", out)
         for lv in levels[1:]:
             known = known.unionByName(lv.select("dataset", out))
@@ -120,9 +117,9 @@ def closure(
     return result.select("dataset", out, F.col("depth").cast("int").alias("depth"))
 
 
-def all_upstream(g: LineageGraph) -> DataFrame:
-    """``(dataset, upstream, depth)`` (L2)."""
-    return closure(g)
+def all_upstream(g: LineageGraph, seeds: DataFrame | None = None) -> DataFrame:
+    """``(dataset, upstream, depth)`` (L2), of every dataset or only of the ``seeds``."""
+    return closure(g, seeds=seeds)
 
 
 def all_downstream(g: LineageGraph, seeds: DataFrame | None = None) -> DataFrame:

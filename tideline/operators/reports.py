@@ -85,13 +85,12 @@ def row_estimates(results: DataFrame) -> DataFrame:
     ``measured_rows`` column sums the volume metric of the latest result of
     each partition instead, which needs no constant.
     """
-    per = results.groupBy("dataset").agg(F.count_distinct("partition").alias("partitions"))
     const = F.create_map(*[x for k, v in ROWS_PER_PARTITION.items() for x in (F.lit(k), F.lit(v))])
-    vol = results.where(F.col("check_name") == "volume_check").groupBy("dataset", "partition").agg(
-        F.max_by("metric_value", F.struct("timestamp", "run_id")).alias("__rows")
-    )
-    measured = vol.groupBy("dataset").agg(F.sum(F.col("__rows").cast("bigint")).alias("measured_rows"))
-    out = per.join(measured, "dataset", "left")
+    volume = F.col("check_name") == "volume_check"
+    per = results.groupBy("dataset", "partition").agg(
+        F.max_by("metric_value", F.when(volume, F.struct("timestamp", "run_id"))).alias("__rows"))
+    out = per.groupBy("dataset").agg(
+        F.count("partition").alias("partitions"), F.sum(F.col("__rows").cast("bigint")).alias("measured_rows"))
     rpp = F.element_at(const, F.col("dataset"))
     return out.select(
         "dataset",
@@ -102,6 +101,13 @@ def row_estimates(results: DataFrame) -> DataFrame:
     )
 
 
+def total_rows(results: DataFrame) -> DataFrame:
+    """Estimated and measured rows over all datasets."""
+    return row_estimates(results).agg(
+        F.coalesce(F.sum("estimated_rows"), F.lit(0)).alias("estimated_rows"),
+        F.coalesce(F.sum("measured_rows"), F.lit(0)).alias("measured_rows"))
+
+
 def detection_metrics(results: DataFrame) -> DataFrame:
     """Failures, failure rate in %, distinct failed ``dataset/partition``."""
     failed = ~F.col("passed")

@@ -17,14 +17,14 @@ def revenue_rollup(
     key: str = "product_id",
     amount: str = "amount",
     order_id: str = "order_id",
-    money_type: str | None = MONEY,
+    money_type: str | None = None,
 ) -> DataFrame:
     """``sum(amount) total_revenue, count(order_id) order_count`` by (dt, key).
 
     A NULL key forms its own group and ``order_count`` counts non-null ids
-    only.  There is no join to the product table.  Amounts are summed as
-    ``money_type`` (exact, order-independent) and returned as double; pass
-    ``money_type=None`` to sum the doubles directly.  The aggregation is split
+    only.  There is no join to the product table.  Amounts are summed as they
+    are; ``money_type`` (e.g. ``MONEY``) first casts them to a decimal, whose sum
+    does not depend on the order of addition but which rounds finer amounts.  The aggregation is split
     into a map-side partial and a final step, so a hot key is combined inside
     each task before the shuffle.
     """

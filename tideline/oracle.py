@@ -1,8 +1,9 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 The fixture views are re-declared here as CTEs over the raw tables, from the
-same fixed values as ``tideline.plans.fixtures``, so the oracle never runs any
-of this package's code.
+same fixed values as ``tideline.plans.fixtures``; the texts of causes and
+recommendations are those of ``tideline.operators.rca``.  No plan of this package
+is run.
 """
 
 from __future__ import annotations
@@ -173,7 +174,10 @@ lin_edges AS (
   SELECT dataset, upstream, CAST(ord AS INTEGER) AS ord FROM (VALUES {ed}) t(dataset, upstream, ord)
   UNION ALL SELECT 'ds_' || p_partkey, 'ds_' || (p_partkey // 2), 0 FROM part WHERE p_partkey > 0),
 lin_critical AS (
-  SELECT dataset, "column", CAST(ord AS INTEGER) AS ord FROM (VALUES {cr}) t(dataset, "column", ord)),
+  SELECT dataset, "column", CAST(ord AS INTEGER) AS ord FROM (VALUES {cr}) t(dataset, "column", ord)
+  UNION ALL SELECT 'ds_' || p_partkey, 'partkey', 0 FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT 'ds_' || p_partkey, lower(replace(replace(p_brand, '#', '_'), ' ', '_')), 1 FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT 'ds_' || p_partkey, 'size_' || p_size, 2 FROM part WHERE p_partkey % 3 = 0),
 lin_nodes AS (SELECT dataset AS n FROM lin_edges UNION SELECT upstream FROM lin_edges),
 lin_walk(dataset, upstream, depth) AS (
   SELECT dataset, upstream, 1 FROM lin_edges

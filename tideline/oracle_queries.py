@@ -262,3 +262,117 @@ SQL["stream_checks"] = with_fixtures(
     f"""SELECT * REPLACE ('stream-0' AS run_id) FROM ({order_check_sql(fx.RUN_ID, fx.RUN_TS, 'bad_stats')})
         WHERE "partition" <> '{fx.EMPTY_PARTITION}'"""
 )
+
+# --- partitions under their own schema, isolation, NULL partitions ----------
+_R = "(CASE WHEN n = 0 THEN 0.0 ELSE CAST({c} AS DOUBLE) / n END)"
+
+
+def _row(name, kind, metric, passed, threshold, source, dataset=fx.ORDERS):
+    return (f"SELECT '{fx.RUN_ID}' AS run_id, '{dataset}' AS dataset, dt AS \"partition\", '{name}' AS check_name, "
+            f"'{kind}' AS check_type, {passed} AS passed, CAST({metric} AS DOUBLE) AS metric_value, '{threshold}' AS threshold, "
+            f"TIMESTAMP '{fx.RUN_TS}' AS \"timestamp\" FROM {source}")
+
+
+def _rate(col, limit):
+    r = _R.format(c=col)
+    return r, f"{r} <= {limit}"
+
+
+_VOLUME = f"{fx.BAD_VOLUME[0]}-{fx.BAD_VOLUME[1]}"
+_IN_VOLUME = f"n BETWEEN {fx.BAD_VOLUME[0]} AND {fx.BAD_VOLUME[1]}"
+SQL["check_drifted_partition"] = with_fixtures(
+    " UNION ALL ".join([
+        _row("null_rate_order_id", "null_check", "0.0", "TRUE", "0.0", "drift_stats"),
+        _row("null_rate_product_id", "null_check", *_rate("n1", 0.05), "0.05", "drift_stats"),
+        _row("null_rate_amount", "null_check", "CASE WHEN dt = '2024-01-03' THEN -1.0 ELSE 0.0 END", "dt <> '2024-01-03'", "0.05",
+             "drift_stats"),
+        _row("volume_check", "volume", "n", _IN_VOLUME, _VOLUME, "drift_stats"),
+        _row("ref_integrity_product_id", "referential", _R.format(c="n4"), f"{_R.format(c='n4')} = 0.0", "0.0", "drift_stats"),
+        *[_row(name, kind, "-1.0", "FALSE", threshold, "(SELECT '2024-01-04' AS dt)") for name, kind, threshold in (
+            ("null_rate_order_id", "null_check", "0.0"), ("null_rate_product_id", "null_check", "0.05"),
+            ("null_rate_amount", "null_check", "0.05"), ("volume_check", "volume", "N/A"),
+            ("ref_integrity_product_id", "referential", "N/A"))],
+    ]),
+    extra_ctes="""drift AS (
+      SELECT dt, CASE WHEN dt = '2024-01-02' AND order_id % 20 < 7 THEN NULL ELSE product_id END AS product_id
+      FROM raw WHERE dt BETWEEN '2024-01-01' AND '2024-01-03'),
+    drift_stats AS (
+      SELECT d.dt, COUNT(*) AS n, COUNT(*) FILTER (WHERE d.product_id IS NULL) AS n1, COUNT(*) FILTER (WHERE r.k IS NULL) AS n4
+      FROM drift d LEFT JOIN refk r ON d.product_id = r.k GROUP BY d.dt)""",
+)
+SQL["check_error_runtime"] = with_fixtures(
+    " UNION ALL ".join([
+        _row("parsed_ids", "format", "CASE WHEN dt = '2024-01-02' THEN -1.0 ELSE s END", "dt <> '2024-01-02' AND s > 0", "N/A", "ids"),
+        _row("null_rate_product_id", "null_check", "0.0", "TRUE", "0.05", "ids"),
+        _row("volume_check", "volume", "n", _IN_VOLUME, _VOLUME, "ids"),
+    ]),
+    extra_ctes="ids AS (SELECT dt, COUNT(*) AS n, CAST(SUM(order_id) AS DOUBLE) AS s FROM raw WHERE dt <= '2024-01-03' GROUP BY dt)",
+)
+_NULL_DAYS = "nd AS (SELECT order_id, product_id, CASE WHEN order_id % 4 = 0 THEN NULL ELSE dt END AS dt FROM bad)"
+SQL["check_null_partition"] = with_fixtures(
+    " UNION ALL ".join(
+        x for name in ("broadcast", "shuffled") for x in (
+            _row("ref_integrity_product_id", "referential", _R.format(c="n4"), f"{_R.format(c='n4')} = 0.0", "0.0", "nd_stats", name),
+            _row("volume_check", "volume", "n", _IN_VOLUME, _VOLUME, "nd_stats", name))),
+    extra_ctes=_NULL_DAYS + """,
+    nd_stats AS (
+      SELECT d.dt, COUNT(*) AS n, COUNT(*) FILTER (WHERE r.k IS NULL) AS n4
+      FROM nd d LEFT JOIN refk r ON d.product_id = r.k GROUP BY d.dt)""",
+)
+SQL["new_rows_null_partition"] = with_fixtures(
+    f"""SELECT w.way, nd.dt AS "partition", COUNT(*) AS n
+        FROM nd CROSS JOIN (VALUES ('inlined'), ('joined')) w(way)
+        WHERE NOT EXISTS (SELECT 1 FROM res r WHERE r.dataset = '{fx.ORDERS}' AND r."partition" = nd.dt
+                          AND r."partition" <> '2024-01-05')
+        GROUP BY w.way, nd.dt""",
+    extra_ctes=_NULL_DAYS,
+)
+SQL["check_three_references"] = (
+    """WITH refs AS (
+      SELECT strftime(l_shipdate, '%Y') AS dt, COUNT(*) AS n,
+             COUNT(*) FILTER (WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0)) AS a,
+             COUNT(*) FILTER (WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 0)) AS b,
+             COUNT(*) FILTER (WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)) AS c
+      FROM lineitem GROUP BY 1) """
+    + " UNION ALL ".join(
+        _row(f"ref_integrity_{col}", "referential", _R.format(c=c), f"{_R.format(c=c)} = 0.0", "0.0", "refs", "lineitem")
+        for c, col in (("a", "l_orderkey"), ("b", "l_partkey"), ("c", "l_suppkey")))
+)
+SQL["revenue_fine_amounts"] = with_fixtures(
+    "SELECT dt, product_id, ROUND(SUM(amount / 7000), 6) AS total_revenue, COUNT(order_id) AS order_count FROM raw GROUP BY dt, product_id"
+)
+
+
+def _chosen(day, rate, key="CAST(order_id AS VARCHAR)"):
+    return (f"(dt = '{day}' AND row_number() OVER (PARTITION BY dt ORDER BY md5({key}), order_id) "
+            f"<= round_even(CAST({rate} AS DOUBLE) * COUNT(*) OVER (PARTITION BY dt), 0))")
+
+
+SQL["inject_volume_exact"] = with_fixtures(
+    f"SELECT order_id, product_id, amount, dt FROM (SELECT *, {_chosen('2024-01-15', 0.25)} AS sel FROM raw) "
+    "WHERE sel OR dt <> '2024-01-15'"
+)
+SQL["inject_break_exact"] = with_fixtures(
+    f"SELECT order_id, CASE WHEN sel THEN {fx.MISSING_KEY} ELSE product_id END AS product_id, amount, dt "
+    f"FROM (SELECT *, {_chosen('2024-01-20', 0.18)} AS sel FROM raw)"
+)
+SQL["inject_text_key"] = with_fixtures(
+    f"""SELECT order_id, CASE WHEN a THEN NULL ELSE product_id END AS product_id, amount, dt
+        FROM (SELECT *, {_chosen('2024-01-10', 0.35, 'order_id')} AS a, {_chosen('2024-01-15', 0.25, 'order_id')} AS b FROM keyed)
+        WHERE b OR dt <> '2024-01-15'""",
+    extra_ctes="keyed AS (SELECT * REPLACE (md5('order-' || order_id) AS order_id) FROM raw)",
+)
+SQL["metrics_total_rows"] = SQL["metrics_rows"].replace(
+    "SELECT p.dataset, p.partitions,", "SELECT CAST(SUM(estimated_rows) AS BIGINT) AS estimated_rows, "
+    "CAST(SUM(measured_rows) AS BIGINT) AS measured_rows FROM (SELECT p.dataset, p.partitions,") + ")"
+SQL["checkpoint_mixed_writes"] = with_fixtures(
+    f"SELECT '{fx.ORDERS}' AS dataset, MAX(dt) AS last_checked_partition, TIMESTAMP '{fx.RUN2_TS}' AS last_check_time FROM raw"
+)
+SQL["lineage_upstream_of_some"] = with_fixtures(
+    "SELECT dataset, upstream, depth FROM lin_closure WHERE dataset IN "
+    "(SELECT 'ds_' || p_partkey FROM part WHERE p_partkey >= 100 AND p_partkey < 200)"
+)
+SQL["rca_impact_deep"] = with_fixtures(
+    "SELECT * FROM x_impact",
+    f"resx AS (SELECT * REPLACE ('ds_9' AS dataset) FROM res WHERE dataset = '{fx.ORDERS}'),\n" + rca_cte("x", "resx"),
+)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.checks import NullRateCheck, ReferentialCheck, VolumeCheck
 from tideline.operators.inject import Fault, inject_scenarios
-from tideline.operators.rollup import revenue_rollup
+from tideline.operators.rollup import MONEY, revenue_rollup
 from tideline.plans.fused import check_results
 
 # Fixed fixture values (shared with the SQL oracle).
@@ -71,11 +71,11 @@ def ref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inject_scenarios(raw(spark, sf_dir), FAULTS, key="order_id")
+    return inject_scenarios(raw(spark, sf_dir), FAULTS, key="order_id", how="hash")
 
 
 def rev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_rollup(bad(spark, sf_dir))
+    return revenue_rollup(bad(spark, sf_dir), money_type=MONEY)  # the test amounts have two decimals
 
 
 def order_checks(reference: DataFrame, volume=BAD_VOLUME):
@@ -127,7 +127,7 @@ def res_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def res_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: the faulty data, then a re-check of the clean data one day later."""
     r2 = bad_results(spark, sf_dir, RUN2_ID, RUN2_TS, source=raw(spark, sf_dir)).unionByName(
-        rev_results(spark, sf_dir, RUN2_ID, RUN2_TS, source=revenue_rollup(raw(spark, sf_dir)))
+        rev_results(spark, sf_dir, RUN2_ID, RUN2_TS, source=revenue_rollup(raw(spark, sf_dir), money_type=MONEY))
     )
     return res(spark, sf_dir).unionByName(r2)
 
@@ -151,15 +151,9 @@ def ref_big(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lineage fixtures -------------------------------------------------------
 # The reference's three datasets, a diamond and a 3-cycle.
 REFERENCE_LINEAGE = (
-    {"dataset": "orders_raw", "upstream": [], "description": "Raw order transactions from e-commerce platform"},
-    {"dataset": "products", "upstream": [], "description": "Product catalog"},
-    {
-        "dataset": "revenue_daily",
-        "upstream": ["orders_raw", "products"],
-        "description": "Daily revenue aggregated by product",
-        "transformation": "JOIN orders_raw with products ON product_id\nGROUP BY dt, product_id\nSUM(amount) as total_revenue\n",
-        "critical_columns": ["product_id", "amount"],
-    },
+    {"dataset": "orders_raw", "upstream": []},
+    {"dataset": "products", "upstream": []},
+    {"dataset": "revenue_daily", "upstream": ["orders_raw", "products"], "critical_columns": ["product_id", "amount"]},
 )
 SHAPES_LINEAGE = (
     {"dataset": "d_top", "upstream": []},
@@ -193,7 +187,9 @@ def lineage(spark: SparkSession, sf_dir: str):
         F.when(k > 0, F.array(F.concat(F.lit("ds_"), F.expr("p_partkey div 2").cast("string"))))
         .otherwise(F.array().cast("array<string>"))
         .alias("upstream"),
-        F.lit(None).cast("array<string>").alias("critical_columns"),
+        # every third part names its upstream's key and its own brand and size as critical
+        F.when(k % 3 == 0, F.array(F.lit("partkey"), F.lower(F.translate("p_brand", "# ", "__")),
+                                   F.concat(F.lit("size_"), F.col("p_size").cast("string")))).alias("critical_columns"),
         F.lit(None).cast("string").alias("description"),
         F.lit(None).cast("string").alias("transformation"),
         (k + F.lit(PART_ORD_OFFSET)).cast("long").alias("decl_ord"),

@@ -9,10 +9,13 @@ Plan shape for a dataset with null, volume and referential checks::
       -> join from the partition list (zero-row partitions get count 0)
       -> inline(array(struct(check result)...))  one row per check
 
-The fact is scanned once for all checks.  A reference whose key set is too
-large to broadcast is not joined row by row: the fact is first reduced to
-``(dt, key, count)`` by a partial aggregation (a hot key collapses to one row
-per task), and only those pairs are shuffled against the reference keys.
+The fact is scanned once for all checks.  References whose key sets are too
+large to broadcast (all broadcast sides together are bounded in rows and bytes)
+are not joined row by row: one further scan, however many they are, reduces the
+fact to ``(dt, check, key, count)`` by a partial aggregation (a hot key collapses to
+one row per task), and only those rows are shuffled against the union of the
+reference keys.  Rows with a NULL partition value form a partition of their own
+on either path.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.checks import ERROR_METRIC, Check, ReferentialCheck
-from tideline.plans.broadcast import at_most, max_broadcast_rows
+from tideline.plans.broadcast import fitting, max_broadcast_bytes, max_broadcast_rows, measure
 from tideline.sources.partitions import partitions_frame
 from tideline.sources.store import RESULT_SCHEMA
 
@@ -86,6 +89,39 @@ def _agg_name(i: int, local: str) -> str:
     return f"__c{i}_{local}"
 
 
+def _key_text(column: Column, kind: str) -> Column:
+    """A key as text that is equal exactly when the keys are."""
+    if kind in ("double", "float"):
+        return (column.cast(kind) + F.lit(0.0)).cast("string")  # -0.0 equals 0.0
+    return column.cast(kind).cast("string")
+
+
+def _common_type(spark, a: str, b: str) -> str:
+    """The type that Spark compares the two types in."""
+    try:
+        return spark.range(0).select(F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("k")).schema["k"].dataType.simpleString()
+    except Exception:  # noqa: BLE001
+        return "string"
+
+
+def _shuffled_orphans(fact: DataFrame, checks: Sequence[tuple[int, ReferentialCheck]], partition_col: str) -> DataFrame:
+    """Orphans of each partition (``__part``) for all large references, in one scan of the fact."""
+    spark = fact.sparkSession
+    cells, keys = [], None
+    for i, c in checks:
+        ref = c.raw_keys()
+        kind = _common_type(spark, fact.schema[c.foreign_key].dataType.simpleString(), ref.schema[0].dataType.simpleString())
+        cells.append(F.struct(F.lit(i).alias("__chk"), _key_text(F.col(c.foreign_key), kind).alias("__key")))
+        own = ref.select(F.lit(i).alias("__chk"), _key_text(F.col(c.reference_key), kind).alias("__key"))
+        keys = own if keys is None else keys.unionByName(own)
+    pairs = (fact.select(F.col(partition_col).alias("__part"), F.inline(F.array(*cells)))
+             .groupBy("__part", "__chk", "__key").agg(F.count(F.lit(1)).alias("__cnt")))
+    joined = pairs.join(keys.distinct().withColumn("__hit", F.lit(True)), ["__chk", "__key"], "left")
+    missing = F.when(F.col("__hit").isNull(), F.col("__cnt")).otherwise(F.lit(0))
+    return joined.groupBy("__part").agg(
+        *[F.sum(F.when(F.col("__chk") == i, missing).otherwise(F.lit(0))).alias(_agg_name(i, "orphans")) for i, _ in checks])
+
+
 def check_results(
     df: DataFrame,
     checks: Sequence[Check],
@@ -108,6 +144,9 @@ def check_results(
     Returns rows in ``RESULT_SCHEMA``.
     """
     spark = df.sparkSession
+    names = [c.name for c in checks]
+    if len(set(names)) < len(names):  # results are keyed by check name
+        raise ValueError(f"check names repeat: {sorted({n for n in names if names.count(n) > 1})}")
     run_id = run_id or str(uuid.uuid4())
     p = F.col(partition_col)
     plan = resolve(df, checks)
@@ -127,41 +166,42 @@ def check_results(
         if len(values) <= MAX_LITERAL_PARTITIONS:
             fact = df.where(p.isin(values))  # static partition pruning on file scans
         else:
-            # a long list: a broadcast semi-join (its size is the list's length,
-            # known here), which dynamic partition pruning applies to file scans
-            fact = df.join(F.broadcast(parts), partition_col, "left_semi")
+            # a long list: a semi-join, which dynamic partition pruning applies to
+            # file scans; Spark broadcasts the list if its size allows
+            fact = df.join(parts, partition_col, "left_semi")
 
     needed = {partition_col}
     for _, c in plan.ok:
         needed.update(c.columns())
     fact = fact.select(*[F.col(c) for c in df.columns if c in needed])
 
-    # --- referential checks: broadcast when proved small, else pre-aggregate
+    # --- referential checks: broadcast when measured small, else pre-aggregate
     aggs: list[Column] = [F.count(F.lit(1)).alias(N)]
-    shuffled: list[tuple[int, ReferentialCheck]] = []
     base_fact = fact
+    refs = [(i, c) for i, c in plan.ok if isinstance(c, ReferentialCheck)]
+    sizes: list[tuple[int, int]] = []
+    for i, c in list(refs):
+        try:
+            sizes.append(measure(c.raw_keys(), broadcast_rows) if broadcast_rows > 0 else (1, 0))
+        except Exception:  # noqa: BLE001 - an unreadable reference is an error of this check alone
+            refs.remove((i, c))
+            plan.ok.remove((i, c))
+            plan.errors.append((i, c))
+    small = fitting(sizes, broadcast_rows, max_broadcast_bytes(spark))
+    shuffled = [x for k, x in enumerate(refs) if k not in small]
+    for i, c in [x for k, x in enumerate(refs) if k in small]:
+        keys = c.reference_keys(f"__rk{i}").withColumn(f"__rm{i}", F.lit(True))
+        fact = fact.join(F.broadcast(keys), fact[c.foreign_key] == keys[f"__rk{i}"], "left")
+        aggs.append(F.count_if(F.col(f"__rm{i}").isNull()).alias(_agg_name(i, "orphans")))
     for i, c in plan.ok:
-        if isinstance(c, ReferentialCheck):
-            keys = c.reference_keys(f"__rk{i}")
-            if at_most(keys, broadcast_rows):
-                keys = keys.withColumn(f"__rm{i}", F.lit(True))
-                fact = fact.join(F.broadcast(keys), fact[c.foreign_key] == keys[f"__rk{i}"], "left")
-                aggs.append(F.count_if(F.col(f"__rm{i}").isNull()).alias(_agg_name(i, "orphans")))
-            else:
-                shuffled.append((i, c))
-        else:
+        if not isinstance(c, ReferentialCheck):
             for local, e in c.aggregates().items():
                 aggs.append(e.alias(_agg_name(i, local)))
 
     stats = fact.groupBy(partition_col).agg(*aggs)
-    for i, c in shuffled:
-        keys = c.reference_keys(f"__rk{i}")
-        pairs = base_fact.groupBy(partition_col, c.foreign_key).agg(F.count(F.lit(1)).alias("__cnt"))
-        joined = pairs.join(keys, pairs[c.foreign_key] == keys[f"__rk{i}"], "left")
-        orphans = joined.groupBy(partition_col).agg(
-            F.sum(F.when(F.col(f"__rk{i}").isNull(), F.col("__cnt")).otherwise(F.lit(0))).alias(_agg_name(i, "orphans"))
-        )
-        stats = stats.join(orphans, partition_col, "left")
+    if shuffled:
+        orphans = _shuffled_orphans(base_fact, shuffled, partition_col)
+        stats = stats.join(orphans, stats[partition_col].eqNullSafe(orphans["__part"]), "left").drop("__part")
 
     # zero-row partitions are absent from the aggregate: join from the list
     counters = {N}

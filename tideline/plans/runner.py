@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tideline.operators.checks import Check
 from tideline.operators.rca import Analysis, analyze
 from tideline.plans.fused import MAX_LITERAL_PARTITIONS, check_results, error_results
+from tideline.plans.partitioned import check_partitions, isolated
 from tideline.sources.lineage import LineageGraph
-from tideline.sources.partitions import new_partitions, partitions_frame
+from tideline.sources.partitions import list_partitions, partitions_frame
 from tideline.sources.store import CHECKPOINT_SCHEMA, RESULT_SCHEMA, ResultStore, checkpoints_from_results
 
 
@@ -29,17 +30,20 @@ from tideline.sources.store import CHECKPOINT_SCHEMA, RESULT_SCHEMA, ResultStore
 class DatasetSpec:
     """A dataset to check: its rows, checks and partition listing.
 
-    ``partitions``: names known to exist (e.g. from ``list_partitions`` on a
-    directory); ``None`` takes the partition values present in ``df`` plus
-    ``extra_partitions``.
+    ``path``: a partitioned directory, listed by the runner and read partition by
+    partition under each one's own schema (``df`` and ``partitions`` are not used).
+    Otherwise ``df`` are the rows; ``partitions`` are names known to exist (e.g. from
+    ``list_partitions`` on a directory), ``None`` takes the partition values present in
+    ``df`` plus ``extra_partitions``.
     """
 
     name: str
-    df: DataFrame
+    df: DataFrame | None
     checks: Sequence[Check]
     partitions: Sequence[str] | None = None
     extra_partitions: Sequence[str] = ()
     partition_col: str = "dt"
+    path: str | None = None
 
 
 @dataclass
@@ -83,7 +87,9 @@ class QualityRunner:
         lineage: LineageGraph | None = None,
         enable_diagnostics: bool = True,
         mode: str = "watermark",
+        max_literal: int = MAX_LITERAL_PARTITIONS,
     ):
+        self.max_literal = max_literal
         self.spark = spark
         self.store = store
         self.lineage = lineage
@@ -118,94 +124,98 @@ class QualityRunner:
         Only partition *names* reach the driver (the checkpoint value, or in
         ``anti`` mode the checked names).  The rows are restricted by a
         predicate on the partition column, which a file scan turns into
-        partition pruning; no extra pass lists a view's partitions.
+        partition pruning; no extra pass lists a view's partitions.  Rows
+        with a NULL partition value are never above a mark; in ``anti`` mode they
+        are a partition of their own, new until it has results.
         """
         p = F.col(spec.partition_col)
+        df = spec.df
         if self.mode == "watermark":
             mark = self._mark(checkpoints, spec.name)
             keep = (lambda v: True) if mark is None else (lambda v: v > mark)
-            df = spec.df if mark is None else spec.df.where(p > F.lit(mark))
+            if df is not None and mark is not None:
+                df = df.where(p > F.lit(mark))
         elif self.mode == "anti":
             done = set(self._checked(history, spec.name))
             keep = lambda v: v not in done
-            if not done:
-                df = spec.df
-            elif len(done) <= MAX_LITERAL_PARTITIONS:
-                df = spec.df.where(~p.isin(sorted(done)))
-            else:  # a known-size list of names: broadcast anti-join
-                names = partitions_frame(self.spark, sorted(done), spec.partition_col)
-                df = spec.df.join(F.broadcast(names), spec.partition_col, "left_anti")
+            names = sorted(v for v in done if v is not None)
+            if df is not None and names:
+                if len(names) <= self.max_literal:
+                    df = df.where(p.isNull() | ~p.isin(names))  # as the anti-join: a NULL equals no name
+                else:
+                    df = df.join(partitions_frame(self.spark, names, spec.partition_col), spec.partition_col, "left_anti")
+            if df is not None and None in done:
+                df = df.where(p.isNotNull())
         else:
             raise ValueError(f"unknown mode {self.mode!r}")
         listed = None if spec.partitions is None else [v for v in spec.partitions if keep(v)]
+        if spec.path is not None:
+            listed = [v for v in list_partitions(self.spark, spec.path, spec.partition_col) if keep(v)]
         extra = [v for v in spec.extra_partitions if keep(v)]
         return df, listed, extra
 
-    def pending(self, spec: DatasetSpec, checkpoints: DataFrame, history: DataFrame) -> DataFrame:
-        """New partition names of one dataset as a DataFrame (S3)."""
-        if spec.partitions is not None:
-            parts = partitions_frame(self.spark, list(spec.partitions), spec.partition_col)
-        else:
-            parts = spec.df.select(F.col(spec.partition_col).cast("string").alias(spec.partition_col)).distinct()
-            if spec.extra_partitions:
-                parts = parts.unionByName(
-                    partitions_frame(self.spark, list(spec.extra_partitions), spec.partition_col)
-                ).distinct()
-        return new_partitions(
-            parts, checkpoints, spec.name, partition_col=spec.partition_col, mode=self.mode, checked=history
-        )
+    def piece(self, spec: DatasetSpec, run_id: str, run_ts, checkpoints: DataFrame, history: DataFrame) -> DataFrame | None:
+        """Lazy results of one dataset; None if an explicit listing has nothing new."""
+        df, listed, extra = self.scope(spec, checkpoints, history)
+        if listed is not None and not listed:
+            return None
+        if spec.path is not None:
+            return check_partitions(self.spark, spec.path, spec.checks, dataset=spec.name, partitions=listed, run_id=run_id,
+                                    run_ts=run_ts, partition_col=spec.partition_col)
+        return check_results(df, spec.checks, dataset=spec.name, run_id=run_id, run_ts=run_ts, partitions=listed,
+                             extra_partitions=extra if listed is None else (), partition_col=spec.partition_col)
 
     def plan(
         self, specs: Sequence[DatasetSpec], run_id: str | None = None, run_ts=None
     ) -> tuple[DataFrame, list[str]]:
         """Lazy results of one run over all datasets, and the skipped ones
         (datasets with an explicit partition list and nothing new in it)."""
-        run_id = run_id or str(uuid.uuid4())
-        run_ts = run_ts or _dt.datetime.now()
+        pieces, skipped = self._pieces(specs, run_id or str(uuid.uuid4()), run_ts or _dt.datetime.now())
+        return self._union([p for _, p in pieces]), skipped
+
+    def _pieces(self, specs, run_id, run_ts):
         cps, hist = self._checkpoints(), self._history()
         pieces, skipped = [], []
         for spec in specs:
-            df, listed, extra = self.scope(spec, cps, hist)
-            if listed is not None and not listed:
+            try:
+                p = self.piece(spec, run_id, run_ts, cps, hist)
+            except ValueError:
+                raise  # a mistake in the declaration, not in the data
+            except Exception:  # noqa: BLE001 - planning may read (listing, references): an error of this dataset alone
+                p = self._isolate(spec, run_id, run_ts, cps, hist)
+            if p is None:
                 skipped.append(spec.name)
-                continue
-            pieces.append(
-                check_results(
-                    df,
-                    spec.checks,
-                    dataset=spec.name,
-                    run_id=run_id,
-                    run_ts=run_ts,
-                    partitions=listed,
-                    extra_partitions=extra if listed is None else (),
-                    partition_col=spec.partition_col,
-                )
-            )
+            else:
+                pieces.append((spec, p))
+        return pieces, skipped
+
+    def _union(self, pieces: Sequence[DataFrame]) -> DataFrame:
         if not pieces:
-            return self.spark.createDataFrame([], RESULT_SCHEMA), skipped
+            return self.spark.createDataFrame([], RESULT_SCHEMA)
         out = pieces[0]
         for p in pieces[1:]:
             out = out.unionByName(p)
-        return out, skipped
+        return out
 
     # -- execution -------------------------------------------------------
     def run(self, specs: Sequence[DatasetSpec], run_id: str | None = None, run_ts=None) -> RunOutcome:
         """Evaluate, persist, move checkpoints, diagnose.
 
         With a store, the run's results are written once and re-read, so the
-        checks are computed once however many reports follow.  A dataset
-        whose fused pass fails at execution time (e.g. an unreadable file) is
-        retried partition by partition; partitions that still fail get error
-        rows instead of aborting the run.
+        checks are computed once however many reports follow.  If a fused pass
+        fails at execution time, the failing dataset alone is narrowed down
+        (``plans.partitioned.isolated``): the checks and partitions at fault get
+        error rows, all others their results.
         """
         run_id = run_id or str(uuid.uuid4())
         run_ts = run_ts or _dt.datetime.now()
-        results, skipped = self.plan(specs, run_id, run_ts)
+        pieces, skipped = self._pieces(specs, run_id, run_ts)
+        results = self._union([p for _, p in pieces])
         if self.store is not None:
             try:
                 seq = self.store.save_results(results)
-            except Exception:  # noqa: BLE001 - isolate the failing dataset/partition
-                seq = self.store.save_results(self._salvage(specs, run_id, run_ts))
+            except Exception:  # noqa: BLE001 - isolate the failing dataset, then the failing checks and partitions
+                seq = self.store.save_results(self._union([self._settled(spec, p, run_id, run_ts) for spec, p in pieces]))
             results = self.store.written(seq)
             self.store.update_checkpoints(checkpoints_from_results(results))
         diagnose = None
@@ -218,19 +228,31 @@ class QualityRunner:
 
         return RunOutcome(run_id, results, run_summary(results), skipped, diagnose)
 
-    def _salvage(self, specs: Sequence[DatasetSpec], run_id: str, run_ts) -> DataFrame:
-        cps, hist = self._checkpoints(), self._history()
-        out = None
-        for spec in specs:
-            for part in [r[0] for r in self.pending(spec, cps, hist).collect()]:
-                one = check_results(
-                    spec.df, spec.checks, dataset=spec.name, run_id=run_id, run_ts=run_ts,
-                    partitions=[part], partition_col=spec.partition_col,
-                )
-                try:
-                    rows = self.spark.createDataFrame(one.collect(), RESULT_SCHEMA)
-                except Exception:  # noqa: BLE001
-                    rows = error_results(self.spark, spec.checks, dataset=spec.name, partitions=[part],
-                                         run_id=run_id, run_ts=run_ts)
-                out = rows if out is None else out.unionByName(rows)
-        return out if out is not None else self.spark.createDataFrame([], RESULT_SCHEMA)
+    def _settled(self, spec: DatasetSpec, piece: DataFrame, run_id: str, run_ts) -> DataFrame:
+        """The results of one dataset, kept as they are if they can be computed."""
+        try:
+            return self.spark.createDataFrame(piece.collect(), RESULT_SCHEMA)  # a row for each check and partition
+        except Exception:  # noqa: BLE001
+            return self._isolate(spec, run_id, run_ts, self._checkpoints(), self._history())
+
+    def _isolate(self, spec: DatasetSpec, run_id: str, run_ts, checkpoints: DataFrame, history: DataFrame) -> DataFrame:
+        """Results of a failing dataset with error rows for the checks and partitions at fault."""
+        options = {"dataset": spec.name, "run_id": run_id, "run_ts": run_ts}
+
+        def error(checks, values):
+            return error_results(self.spark, checks, partitions=values, **options)
+
+        try:
+            df, listed, extra = self.scope(spec, checkpoints, history)
+            if listed is None:
+                p = F.col(spec.partition_col)
+                listed = sorted({r[0] for r in df.select(p.cast("string")).distinct().collect() if r[0] is not None} | set(extra))
+        except Exception:  # noqa: BLE001 - not even the partitions can be told: one error row for each check
+            return error(spec.checks, [None])
+
+        def make(checks, values):
+            if spec.path is not None:
+                return check_partitions(self.spark, spec.path, checks, partitions=values, partition_col=spec.partition_col, **options)
+            return check_results(df, checks, partitions=values, partition_col=spec.partition_col, **options)
+
+        return self.spark.createDataFrame(isolated(make, list(spec.checks), listed, error), RESULT_SCHEMA)

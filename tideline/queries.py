@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.checks import ExpressionCheck, NullRateCheck, ReferentialCheck, VolumeCheck, orphan_rows
-from tideline.operators.rollup import revenue_rollup, write_revenue
+from tideline.operators.rollup import MONEY, revenue_rollup, write_revenue
 from tideline.plans import fixtures as fx
 from tideline.plans.fused import check_results
 from tideline.session import scratch_dir
@@ -217,7 +217,7 @@ def _specs(spark, sf_dir, bad_df=None, rev_df=None, rev_volume=fx.REV_VOLUME, ex
     from tideline.plans.runner import DatasetSpec
 
     b = fx.bad(spark, sf_dir) if bad_df is None else bad_df
-    r = revenue_rollup(b) if rev_df is None else rev_df
+    r = revenue_rollup(b, money_type=MONEY) if rev_df is None else rev_df
     return [
         DatasetSpec(fx.ORDERS, b, fx.order_checks(fx.ref(spark, sf_dir)), extra_partitions=list(extra)),
         DatasetSpec(fx.REVENUE, r, fx.revenue_checks(rev_volume)),
@@ -407,14 +407,14 @@ def rca_mttr(spark, sf_dir):
 def q_inject_null_spike(spark, sf_dir):
     from tideline.operators.inject import inject_null_spike
 
-    return inject_null_spike(fx.raw(spark, sf_dir), "2024-01-10", "product_id", 0.35, key="order_id")
+    return inject_null_spike(fx.raw(spark, sf_dir), "2024-01-10", "product_id", 0.35, key="order_id", how="hash")
 
 
 @query("inject_volume_drop")
 def q_inject_volume_drop(spark, sf_dir):
     from tideline.operators.inject import inject_volume_drop
 
-    return inject_volume_drop(fx.raw(spark, sf_dir), "2024-01-15", 0.25, key="order_id")
+    return inject_volume_drop(fx.raw(spark, sf_dir), "2024-01-15", 0.25, key="order_id", how="hash")
 
 
 @query("inject_ref_break")
@@ -422,7 +422,7 @@ def q_inject_ref_break(spark, sf_dir):
     from tideline.operators.inject import inject_referential_break
 
     return inject_referential_break(fx.raw(spark, sf_dir), "2024-01-20", "product_id", 0.18, key="order_id",
-                                    missing=fx.MISSING_KEY)
+                                    missing=fx.MISSING_KEY, how="hash")
 
 
 @query("inject_scenarios")
@@ -570,3 +570,163 @@ def q_stream_checks(spark, sf_dir):
     stream_checks(spark, root, schema, fx.order_checks(fx.ref(spark, sf_dir)), dataset=fx.ORDERS, store=store,
                   checkpoint_location=scratch_dir(spark, "stream-ckpt"), run_prefix="stream", run_ts=fx.RUN_TS)
     return store.results()
+
+
+# --------------------------------------------------------------------------
+# partitions under their own schema, isolation, NULL partitions
+def drifted_on_disk(spark: SparkSession, sf_dir: str) -> str:
+    """Four days of ``raw``: as they are, with the key as double and 35 % of it NULL, without
+    ``amount``, and one of files that are not Parquet."""
+    root = scratch_dir(spark, "drifted")
+    days = fx.raw(spark, sf_dir).where(F.col("dt").between("2024-01-01", "2024-01-03"))
+    key = F.when(F.col("order_id") % 20 >= 7, F.col("product_id")).cast("double")
+    days.where("dt = '2024-01-01'").drop("dt").write.parquet(f"{root}/dt=2024-01-01")
+    days.where("dt = '2024-01-02'").drop("dt").withColumn("product_id", key).write.parquet(f"{root}/dt=2024-01-02")
+    days.where("dt = '2024-01-03'").drop("dt", "amount").write.parquet(f"{root}/dt=2024-01-03")
+    days.select(F.col("order_id").cast("string").alias("value")).write.text(f"{root}/dt=2024-01-04")
+    return root
+
+
+@query("check_drifted_partition")
+def check_drifted_partition(spark, sf_dir):
+    from tideline.plans.runner import DatasetSpec, QualityRunner
+    from tideline.sources.store import ResultStore
+
+    spec = DatasetSpec(fx.ORDERS, None, fx.order_checks(fx.ref(spark, sf_dir)), path=drifted_on_disk(spark, sf_dir))
+    store = ResultStore(spark, scratch_dir(spark, "store"))
+    return QualityRunner(spark, store).run([spec], fx.RUN_ID, fx.RUN_TS).results
+
+
+@query("check_error_runtime")
+def check_error_runtime(spark, sf_dir):
+    """A check that fails while it runs, on one partition: an error row there, results everywhere else."""
+    from tideline.plans.runner import DatasetSpec, QualityRunner
+    from tideline.sources.store import ResultStore
+
+    digits = F.when(F.col("dt") == "2024-01-02", F.lit("no number")).otherwise(F.col("order_id").cast("string"))
+    parsed = ExpressionCheck(
+        name="parsed_ids", check_type="format", aggs={"sum": F.sum(digits.cast("bigint"))},
+        metric=lambda agg, n: agg("sum").cast("double"), passes=lambda m: m > F.lit(0.0), needs=("dt", "order_id"))
+    days = fx.raw(spark, sf_dir).where(F.col("dt") <= "2024-01-03")
+    spec = DatasetSpec(fx.ORDERS, days, [parsed, NullRateCheck("product_id", 0.05), VolumeCheck(*fx.BAD_VOLUME)])
+    store = ResultStore(spark, scratch_dir(spark, "store"))
+    return QualityRunner(spark, store).run([spec], fx.RUN_ID, fx.RUN_TS).results
+
+
+def _some_null_days(spark, sf_dir):
+    day = F.when(F.col("order_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("dt"))
+    return fx.bad(spark, sf_dir).withColumn("dt", day)
+
+
+@query("check_null_partition")
+def check_null_partition(spark, sf_dir):
+    """Rows without a partition value, on the broadcast and on the shuffled path: the same results twice."""
+    checks = [ReferentialCheck("product_id", fx.ref(spark, sf_dir), "product_id"), VolumeCheck(*fx.BAD_VOLUME)]
+    out = [check_results(_some_null_days(spark, sf_dir), checks, dataset=name, run_id=fx.RUN_ID, run_ts=fx.RUN_TS,
+                         broadcast_rows=rows) for name, rows in (("broadcast", None), ("shuffled", 0))]
+    return out[0].unionByName(out[1])
+
+
+@query("new_rows_null_partition")
+def new_rows_null_partition(spark, sf_dir):
+    """Rows that ``anti`` mode still has to check, by a short and by a long list of checked names."""
+    from tideline.plans.runner import DatasetSpec, QualityRunner
+
+    history = fx.res(spark, sf_dir).where(F.col("partition") != "2024-01-05")
+    spec = DatasetSpec(fx.ORDERS, _some_null_days(spark, sf_dir), [])
+    out = []
+    for name, most in (("inlined", 2000), ("joined", 3)):
+        df, _, _ = QualityRunner(spark, mode="anti", max_literal=most).scope(spec, None, history)
+        out.append(df.groupBy(F.col("dt").alias("partition")).agg(F.count(F.lit(1)).alias("n")).withColumn("way", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
+@query("check_three_references")
+def check_three_references(spark, sf_dir):
+    """Three foreign keys, all of them shuffled: one further scan of the fact."""
+    t = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("dt"))
+    checks = [
+        ReferentialCheck("l_orderkey", fx.table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0"), "o_orderkey"),
+        ReferentialCheck("l_partkey", fx.table(spark, sf_dir, "part").selectExpr("cast(p_partkey as double) as k").where("k % 7 <> 0"), "k"),
+        ReferentialCheck("l_suppkey", fx.table(spark, sf_dir, "supplier"), "s_suppkey"),
+    ]
+    return check_results(t, checks, dataset="lineitem", run_id=fx.RUN_ID, run_ts=fx.RUN_TS, broadcast_rows=0)
+
+
+@query("revenue_fine_amounts")
+def revenue_fine_amounts(spark, sf_dir):
+    """The roll-up with amounts of many decimals, summed as they are."""
+    fine = fx.raw(spark, sf_dir).withColumn("amount", F.col("amount") / 7000)
+    return revenue_rollup(fine).withColumn("total_revenue", F.round("total_revenue", 6))
+
+
+# exact-count injections of every kind, and on a text key
+@query("inject_volume_exact")
+def inject_volume_exact(spark, sf_dir):
+    from tideline.operators.inject import inject_volume_drop
+
+    return inject_volume_drop(fx.raw(spark, sf_dir), "2024-01-15", 0.25, key="order_id")
+
+
+@query("inject_break_exact")
+def inject_break_exact(spark, sf_dir):
+    from tideline.operators.inject import inject_referential_break
+
+    return inject_referential_break(fx.raw(spark, sf_dir), "2024-01-20", "product_id", 0.18, key="order_id", missing=fx.MISSING_KEY)
+
+
+@query("inject_text_key")
+def inject_text_key(spark, sf_dir):
+    """Two faults in a row, rows chosen by a text key as uuid-like order ids are."""
+    from tideline.operators.inject import Fault, inject_scenarios
+
+    keyed = fx.raw(spark, sf_dir).withColumn("order_id", F.md5(F.concat(F.lit("order-"), F.col("order_id").cast("string"))))
+    return inject_scenarios(keyed, [Fault("null_spike", "2024-01-10", 0.35, column="product_id"),
+                                    Fault("volume_drop", "2024-01-15", 0.25)], key="order_id")
+
+
+@query("metrics_total_rows")
+def metrics_total_rows(spark, sf_dir):
+    from tideline.operators.reports import total_rows
+
+    return total_rows(fx.res_two_runs(spark, sf_dir))
+
+
+@query("checkpoint_mixed_writes")
+def checkpoint_mixed_writes(spark, sf_dir):
+    """A batch run over the first half of the month, then a stream over the second, into one store."""
+    from pyspark.sql import types as T
+
+    from tideline.plans.runner import DatasetSpec, QualityRunner
+    from tideline.sources.store import ResultStore
+    from tideline.streaming import stream_checks
+
+    raw = fx.raw(spark, sf_dir)
+    store = ResultStore(spark, scratch_dir(spark, "mixed-store"))
+    checks = [NullRateCheck("product_id", 0.05), VolumeCheck(*fx.BAD_VOLUME)]
+    QualityRunner(spark, store).run([DatasetSpec(fx.ORDERS, raw.where("dt <= '2024-01-15'"), checks)], "batch", fx.RUN_TS)
+    root = scratch_dir(spark, "mixed-orders")
+    raw.where("dt > '2024-01-15'").write.partitionBy("dt").parquet(root)
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("product_id", T.LongType()),
+                           T.StructField("amount", T.DoubleType()), T.StructField("dt", T.StringType())])
+    stream_checks(spark, root, schema, checks, dataset=fx.ORDERS, store=store, run_prefix="stream", run_ts=fx.RUN2_TS,
+                  checkpoint_location=scratch_dir(spark, "mixed-ckpt"))
+    return store.checkpoints()
+
+
+@query("lineage_upstream_of_some")
+def lineage_upstream_of_some(spark, sf_dir):
+    """All upstream datasets of a hundred parts only."""
+    from tideline.operators.lineage import all_upstream
+
+    seeds = fx.table(spark, sf_dir, "part").where("p_partkey >= 100 and p_partkey < 200").select(
+        F.concat(F.lit("ds_"), F.col("p_partkey").cast("string")).alias("dataset"))
+    return all_upstream(fx.lineage(spark, sf_dir), seeds)
+
+
+@query("rca_impact_deep")
+def rca_impact_deep(spark, sf_dir):
+    """Impact of failures at ``ds_9``: several hops down the graph made from ``part``."""
+    res = fx.res(spark, sf_dir).where(F.col("dataset") == fx.ORDERS).withColumn("dataset", F.lit("ds_9"))
+    return _analysis(spark, sf_dir, res).impact

@@ -8,7 +8,10 @@ otherwise infer DATE from date-looking directory names.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +45,12 @@ def read_dataset(
 
     ``tolerant=True`` reads datasets whose partitions disagree on a column type
     (e.g. an integer column rewritten as double in one partition): partitions
-    are grouped by footer schema, each group is one scan cast to ``contract``
-    (default: the first partition's schema) and the groups are unioned.  The
-    number of scans is the number of distinct schemas, not of partitions.
-    Footers are read only for ``partitions`` when given (e.g. the new ones of
-    an incremental run), so the driver-side work follows the increment.
+    are grouped by schema (``schema_groups``), each group is one scan widened to
+    ``contract`` (default: the widest type of each column over all partitions) and the
+    groups are unioned.  A column that a partition lacks reads as NULL.  No
+    value is narrowed, and an unreadable partition raises instead of being
+    dropped; to check such a dataset partition by partition, with error rows,
+    use ``tideline.plans.partitioned``.
     """
     if not tolerant:
         schema = _with_string_partition(spark, path, partition_col)
@@ -61,30 +65,18 @@ def read_dataset(
     if partitions is not None:
         wanted = set(partitions)
         parts = [p for p in parts if p in wanted]
-    groups: dict[str, list[str]] = {}
-    schemas: dict[str, T.StructType] = {}
-    for value in parts:
-        leaf = f"{path.rstrip('/')}/{partition_col}={value}"
-        try:
-            s = spark.read.parquet(leaf).schema
-        except Exception:  # directory without readable files: no rows to read
-            continue
-        s = T.StructType([f for f in s.fields if f.name != partition_col])
-        key = s.json()
-        schemas[key] = s
-        groups.setdefault(key, []).append(leaf)
-    if not groups:
-        raise ValueError(f"no readable partitions under {path}")
+    found = schema_groups(spark, path, parts, partition_col)
+    if found.unreadable:
+        raise ValueError(f"unreadable partitions under {path}: {found.unreadable}")
+    if not found.groups:
+        raise ValueError(f"no partitions with files under {path}")
     if contract is None:
-        contract = next(iter(schemas.values()))
+        contract = widest([schema for schema, _ in found.groups])
     pieces = []
-    for key, leaves in groups.items():
-        schema = T.StructType(schemas[key].fields + [T.StructField(partition_col, T.StringType(), True)])
-        df = spark.read.schema(schema).option("basePath", path).parquet(*leaves)
+    for schema, values in found.groups:
+        df = read_group(spark, path, schema, values, partition_col)
         cols = [
-            (F.col(f.name).cast(f.dataType) if f.name in schemas[key].fieldNames() else F.lit(None).cast(f.dataType)).alias(
-                f.name
-            )
+            (F.col(f.name).cast(f.dataType) if f.name in schema.fieldNames() else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in contract.fields
             if f.name != partition_col
         ]
@@ -95,11 +87,88 @@ def read_dataset(
     return out
 
 
+@dataclass(frozen=True)
+class SchemaGroups:
+    """Partitions by their own schema: ``groups`` of (schema without the partition column,
+    names), ``empty`` ones without data files, and ``unreadable`` ones."""
+
+    groups: list[tuple[T.StructType, list[str]]]
+    empty: list[str]
+    unreadable: list[str]
+
+
+def schema_groups(
+    spark: SparkSession, path: str, values: Sequence[str], partition_col: str = "dt", parallel: int = 16
+) -> SchemaGroups:
+    """Group partitions by the schema of their own files.
+
+    Footers are read by Spark jobs on the executors, one for each partition and
+    ``parallel`` of them at a time; pass only the new partitions of an incremental
+    run.  Files of one partition that cannot be merged make it unreadable.
+    """
+
+    def own(value: str):
+        try:
+            s = spark.read.option("mergeSchema", "true").parquet(f"{path.rstrip('/')}/{partition_col}={value}").schema
+            return T.StructType([f for f in s.fields if f.name != partition_col])
+        except AnalysisException as e:
+            # no data files at all is an empty partition; anything else could not be read
+            return "empty" if "UNABLE_TO_INFER_SCHEMA" in str(e) else "unreadable"
+        except Exception:  # noqa: BLE001 - corrupt footer, permissions, network
+            return "unreadable"
+
+    with ThreadPoolExecutor(max(1, min(parallel, len(values)))) as pool:
+        schemas = list(pool.map(own, values))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for value, s in zip(values, schemas):
+        if not isinstance(s, str):
+            groups.setdefault(s.json(), (s, []))[1].append(value)
+    return SchemaGroups(list(groups.values()), [v for v, s in zip(values, schemas) if s == "empty"],
+                        [v for v, s in zip(values, schemas) if s == "unreadable"])
+
+
+def read_group(spark: SparkSession, path: str, schema: T.StructType, values: Sequence[str], partition_col: str = "dt") -> DataFrame:
+    """One scan of partitions that share ``schema``; only their directories are listed."""
+    full = T.StructType(schema.fields + [T.StructField(partition_col, T.StringType(), True)])
+    leaves = [f"{path.rstrip('/')}/{partition_col}={v}" for v in values]
+    return spark.read.schema(full).option("basePath", path).parquet(*leaves)
+
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    x, y = a.simpleString(), b.simpleString()
+    if x == y:
+        return a
+    if x in _WHOLE and y in _WHOLE:
+        return a if _WHOLE.index(x) > _WHOLE.index(y) else b
+    if {x, y} <= {*_WHOLE, "float", "double"}:
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    return T.StringType()
+
+
+def widest(schemas: Sequence[T.StructType]) -> T.StructType:
+    """Each column once, in order of appearance, with a type that holds all of its values."""
+    out: dict[str, T.DataType] = {}
+    for s in schemas:
+        for f in s.fields:
+            out[f.name] = _wider(out[f.name], f.dataType) if f.name in out else f.dataType
+    return T.StructType([T.StructField(k, v, True) for k, v in out.items()])
+
+
 def read_partition(
     spark: SparkSession, path: str, value: str, partition_col: str = "dt"
 ) -> DataFrame:
-    """Scan one partition (S2): the whole dataset with a pruned partition filter."""
-    return read_dataset(spark, path, partition_col).where(F.col(partition_col) == F.lit(value))
+    """Scan one partition (S2) under its own schema; only its directory is listed."""
+    leaf = f"{path.rstrip('/')}/{partition_col}={value}"
+    s = spark.read.option("basePath", path).parquet(leaf).schema
+    return read_group(spark, path, T.StructType([f for f in s.fields if f.name != partition_col]), [value], partition_col)
 
 
 def read_partitions(

@@ -70,11 +70,17 @@ class LineageGraph:
 
     @staticmethod
     def from_json(spark: SparkSession, path: str) -> "LineageGraph":
-        """JSON lines, one declaration per line, in declaration order."""
-        raw = spark.read.schema(
-            T.StructType([f for f in DECLARATION_SCHEMA.fields if f.name != "decl_ord"])
-        ).json(path)
-        decl = raw.withColumn("decl_ord", F.monotonically_increasing_id())
+        """JSON lines, one declaration per line, or one ``{"datasets": {name: {...}}}``
+        document; either in declaration order."""
+        fields = [f for f in DECLARATION_SCHEMA.fields if f.name != "decl_ord"]
+        body = T.StructType([f for f in fields if f.name != "dataset"])
+        document = T.StructType([T.StructField("datasets", T.MapType(T.StringType(), body))])
+        raw = spark.read.schema(document).option("multiLine", "true").json(path).where("datasets is not null")
+        if not raw.isEmpty():
+            decl = raw.select(F.posexplode("datasets").alias("decl_ord", "dataset", "body")).select(
+                "dataset", "body.*", F.col("decl_ord").cast("long").alias("decl_ord"))
+        else:
+            decl = spark.read.schema(T.StructType(fields)).json(path).withColumn("decl_ord", F.monotonically_increasing_id())
         return LineageGraph.from_declarations(decl)
 
     def materialized(self, with_datasets: bool = True) -> "LineageGraph":

@@ -1,8 +1,8 @@
 """Partition discovery.
 
 Only partition *names* travel to the driver (one per directory, as Spark's
-own file index does); the new-partition decision is a DataFrame join against
-the checkpoint table.
+own file index does); the new-partition decision is a comparison with the
+checkpoint table's value, or an anti-join.
 """
 
 from __future__ import annotations
@@ -85,12 +85,8 @@ def new_partitions(
     """
     p = F.col(partition_col)
     if mode == "watermark":
-        # checkpoints are keyed by dataset: an equi-join on it, at most one match
-        mark = checkpoints.where(F.col("dataset") == F.lit(dataset)).select(
-            "dataset", F.col("last_checked_partition").alias("__last")
-        )
-        joined = parts.withColumn("dataset", F.lit(dataset)).join(mark, "dataset", "left")
-        out = joined.where(F.col("__last").isNull() | (p > F.col("__last"))).select(p)
+        last = checkpoints.where(F.col("dataset") == F.lit(dataset)).agg(F.max("last_checked_partition")).scalar()
+        out = parts.where(last.isNull() | (p > last)).select(p)
     elif mode == "anti":
         if checked is None:
             raise ValueError("mode='anti' needs the checked (dataset, partition) rows")

@@ -2,7 +2,7 @@
 
 Both tables are append-only Parquet; results are partitioned by dataset.  An "upsert" is a plain append of a new
 version; readers keep the latest version per key with
-``row_number() over (partition by key order by _seq desc) = 1``.  A retried
+``max_by(row, _seq)`` per key, batch and streaming writes alike.  A retried
 write with the same key (e.g. the same ``run_id``) therefore overwrites its
 own earlier rows, and a crash between the result and checkpoint writes leaves
 a state the next run repairs.
@@ -13,7 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,10 +43,14 @@ CHECKPOINT_KEY = ("dataset",)
 SEQ = "_seq"
 
 
-def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:
-    """Keep one row per ``key``: the first by ``order`` (W2, last write wins)."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep one row per ``key``: the greatest by the columns ``order`` (W2, last write wins).
+
+    An aggregate, so versions are dropped before the shuffle and nothing is sorted by key.
+    """
+    rest = [c for c in df.columns if c not in key]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__best")
+    return df.groupBy(*key).agg(best).select(*[F.col(c) if c in key else F.col(f"__best.{c}").alias(c) for c in df.columns])
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -58,10 +62,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> Data
     cols = existing.columns
     a = existing.select(*cols, F.lit(0).alias("__src"))
     b = incoming.select(*cols, F.lit(1).alias("__src"))
-    order = [F.col("__src").desc()]
-    if SEQ in cols:
-        order.append(F.col(SEQ).desc())
-    return latest_by_key(a.unionByName(b), key, order).drop("__src")
+    return latest_by_key(a.unionByName(b), key, ["__src", SEQ] if SEQ in cols else ["__src"]).drop("__src")
 
 
 def checkpoints_from_results(results: DataFrame, when=None) -> DataFrame:
@@ -71,7 +72,7 @@ def checkpoints_from_results(results: DataFrame, when=None) -> DataFrame:
     after a run it stands at the run's greatest partition of each dataset.
     """
     ts = F.col("__ts") if when is None else F.lit(when)
-    base = results.groupBy("dataset").agg(
+    base = results.where(F.col("partition").isNotNull()).groupBy("dataset").agg(
         F.max("partition").alias("last_checked_partition"), F.max("timestamp").alias("__ts")
     )
     return base.select(
@@ -115,12 +116,12 @@ class ResultStore:
 
     def results(self) -> DataFrame:
         """Latest version of each ``(run_id, dataset, partition, check_name)``."""
-        df = latest_by_key(self.raw_results(), RESULT_KEY, [F.col(SEQ).desc()])
+        df = latest_by_key(self.raw_results(), RESULT_KEY, [SEQ])
         return df.select(*RESULT_SCHEMA.fieldNames())
 
     def checkpoints(self) -> DataFrame:
         """Latest checkpoint per dataset (S9 for all datasets at once)."""
-        df = latest_by_key(self._read(self.checkpoints_path, CHECKPOINT_SCHEMA), CHECKPOINT_KEY, [F.col(SEQ).desc()])
+        df = latest_by_key(self._read(self.checkpoints_path, CHECKPOINT_SCHEMA), CHECKPOINT_KEY, [SEQ])
         return df.select(*CHECKPOINT_SCHEMA.fieldNames())
 
     def written(self, seq: int) -> DataFrame:

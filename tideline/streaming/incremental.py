@@ -63,9 +63,10 @@ def stream_checks(
             batch, checks, dataset=dataset, run_id=f"{prefix}-{batch_id}", run_ts=run_ts,
             partition_col=partition_col,
         )
-        store.save_results(results, seq=batch_id)
-        written = store.results().where(F.col("run_id") == f"{prefix}-{batch_id}")
-        store.update_checkpoints(checkpoints_from_results(written), seq=batch_id)
+        # versions are ordered by time of writing, as those of batch runs are: a replayed
+        # batch replaces its own rows, since the run id has the batch id
+        written = store.written(store.save_results(results))
+        store.update_checkpoints(checkpoints_from_results(written))
 
     writer = src.writeStream.foreachBatch(check_batch).option("checkpointLocation", checkpoint_location)
     if trigger_available_now:
