@@ -37,8 +37,9 @@ BLOCK = 64
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 5_000
 SLOTS_PER_SHARD = 16_384
+SLOTS_PER_TASK = 400_000
 SEED = 7
 
 
@@ -79,7 +80,7 @@ def permute(index: np.ndarray, n: int, seed: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slots(plan: DataFrame, seed: int = SEED) -> DataFrame:
+def slots(plan: DataFrame, seed: int = SEED, tasks: int = 1) -> DataFrame:
     """``s, shard, slot, pass, block``: the block that each slot of each source takes.
 
     ``plan`` has ``s`` (a source's number), ``blocks``, ``slots`` and ``shards``.
@@ -116,7 +117,8 @@ def slots(plan: DataFrame, seed: int = SEED) -> DataFrame:
                     names=["s", "shard", "slot", "turn", "block"])
 
     per_shard = plan.mapInArrow(counts, "s long, shard long, lo long, n long, blocks long")
-    return (per_shard.repartition("s", "shard")
+    # dealt by what the rows become, some 16 thousand slots each, not by their own few bytes
+    return (per_shard.repartition(tasks, "s", "shard")
             .mapInArrow(draw, "s long, shard long, slot long, turn long, block long"))
 
 
@@ -166,8 +168,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     pieces = pieces.withColumn("first", F.greatest(F.lit(0), lo - F.col("start"))).withColumn(
         "n", F.least(F.col("size"), lo + block - F.col("start")) - F.col("first"))
-    wanted = slots(plan.select("s", "blocks", "slots", "shards").where("slots > 0"), seed)
-    filled = pieces.join(wanted, ["s", "block"])
+    wanted = slots(plan.select("s", "blocks", "slots", "shards").where("slots > 0"), seed,
+                   max(1, total_slots // SLOTS_PER_TASK))
+    filled = pieces.join(wanted.hint("merge"), ["s", "block"])  # as many rows as the mix has blocks: never broadcast
     blocks = filled.select("source", "shard", "slot", "turn", "block", (F.col("start") + F.col("first")).alias("place"),
                            "doc_id", "text_hash", "first", "n")
 
