@@ -248,3 +248,19 @@ def test_batch_and_stream_versions_share_one_order(spark, tmp_root):
     store.save_results(row)
     store.save_results(row.withColumn("metric_value", F.lit(2.0)))
     assert [r.metric_value for r in store.results().collect()] == [2.0]
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    from tideline.session import drop_scratch, materialize, scratch_dir
+
+    kept = scratch_dir(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    table = materialize(spark.range(5), "gone")
+    path = table.inputFiles()[0].rsplit("/", 1)[0]
+    from tideline import session
+
+    others = tuple(p for p in session._SCRATCH if "tideline-gone" not in p)
+    assert drop_scratch(spark, keep=others) == 1
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()

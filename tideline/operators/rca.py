@@ -21,6 +21,7 @@ and metric; here they are joins, anti-joins and one window, planned once.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -110,6 +111,16 @@ def _cause(df: DataFrame, cause_dataset: Column, reason: Column, conf: float, ki
     )
 
 
+def declared_order(declared: Mapping[str, Sequence[str]] | None, dataset: str, check: str) -> Column:
+    """A check's place among those declared for its dataset; the last place if it is not named."""
+    places = [(f"{d}\x1f{c}", i) for d, names in (declared or {}).items() for i, c in enumerate(names)]
+    last = F.lit(1 << 30)
+    if not places:
+        return last
+    table = F.create_map(*[F.lit(x) for place in places for x in place])
+    return F.coalesce(F.try_element_at(table, F.concat_ws("\x1f", F.col(dataset), F.col(check))), last)
+
+
 def suspected_causes(
     results: DataFrame,
     graph: LineageGraph,
@@ -117,10 +128,14 @@ def suspected_causes(
     window: int = DEFAULT_WINDOW,
     upstream_runs: str = "all",
     exclude_errors: bool = False,
+    declared: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """``(run_id, dataset, partition, cause_dataset, reason, confidence, kind,
     upstream_ord, item, cause_ord, cause_rank, band)`` (R1-R5, R9).
 
+    ``declared`` names the checks of each dataset in the order they were declared, which is
+    the order causes are found in; checks that it lacks follow by name.
+
     ``upstream_runs="all"`` (default, as the reference) counts upstream
     failures of every run of the partition; ``"latest"`` only those of the
     upstream's most recent run of it.  ``exclude_errors`` keeps error rows out
@@ -212,8 +227,9 @@ def suspected_causes(
     causes = r2.unionByName(r3).unionByName(r4).unionByName(r5)
     kind_ord = F.when(F.col("kind") == "source", 0).when(F.col("kind") == "self", 2).otherwise(1)
     g = Window.partitionBy(*GROUP)
-    insertion = g.orderBy(kind_ord, "upstream_ord", "item", "reason")
-    ranked = g.orderBy(F.col("confidence").desc(), kind_ord, "upstream_ord", "item", "reason")
+    check_ord = declared_order(declared, "cause_dataset", "item")
+    insertion = g.orderBy(kind_ord, "upstream_ord", check_ord, "item", "reason")
+    ranked = g.orderBy(F.col("confidence").desc(), kind_ord, "upstream_ord", check_ord, "item", "reason")
     return causes.select(
         "*",
         F.row_number().over(insertion).cast("bigint").alias("cause_ord"),
@@ -233,11 +249,11 @@ def downstream_impact(targets: DataFrame, graph: LineageGraph) -> DataFrame:
     return t.join(down, "dataset").select(*GROUP, "impacted_dataset", "depth")
 
 
-def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
+def recommendations(failures: DataFrame, causes: DataFrame, declared: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """``(run_id, dataset, partition, rec_no, recommendation)``.
 
-    First one line per failed check by type (none for other types), then one
-    ``Check <dataset> - <reason>`` per cause found in another dataset.
+    First one line per failed check by type (none for other types), in declared order, then
+    one ``Check <dataset> - <reason>`` per cause found in another dataset.
     """
     f = failures.select(*GROUP, "check_name", "check_type")
     name = F.col("check_name")
@@ -246,14 +262,14 @@ def recommendations(failures: DataFrame, causes: DataFrame) -> DataFrame:
         .when(F.col("check_type") == "volume", template(REC_VOLUME, dataset=F.col("dataset")))
         .when(F.col("check_type") == "referential", template(REC_REFERENTIAL, col=strip_prefix(name, REF_PREFIX)))
     )
-    per_check = f.select(*GROUP, F.lit(0).alias("__sec"), F.col("check_name").alias("__k"), F.lit(0).alias("__o"),
-                         text.alias("recommendation")).where(F.col("recommendation").isNotNull())
+    per_check = f.select(*GROUP, F.lit(0).alias("__sec"), declared_order(declared, "dataset", "check_name").alias("__d"),
+                         F.col("check_name").alias("__k"), F.lit(0).alias("__o"), text.alias("recommendation")).where(F.col("recommendation").isNotNull())
     per_cause = causes.where(F.col("cause_dataset") != F.col("dataset")).select(
-        *GROUP, F.lit(1).alias("__sec"), F.lit("").alias("__k"), F.col("cause_ord").alias("__o"),
+        *GROUP, F.lit(1).alias("__sec"), F.lit(0).alias("__d"), F.lit("").alias("__k"), F.col("cause_ord").alias("__o"),
         template(REC_CAUSE, cause_dataset=F.col("cause_dataset"), reason=F.col("reason")).alias("recommendation"),
     )
     both = per_check.unionByName(per_cause)
-    w = Window.partitionBy(*GROUP).orderBy("__sec", "__k", "__o", "recommendation")
+    w = Window.partitionBy(*GROUP).orderBy("__sec", "__d", "__k", "__o", "recommendation")
     return both.select(*GROUP, F.row_number().over(w).cast("bigint").alias("rec_no"), "recommendation")
 
 
@@ -280,28 +296,32 @@ def analyze(
     materialize: bool = True,
     upstream_runs: str = "all",
     exclude_errors: bool = False,
+    declared: Mapping[str, Sequence[str]] | None = None,
 ) -> Analysis:
     """The whole analysis for every failure group at once.
 
-    ``results`` and the lineage tables are read by several branches (failures,
-    upstream failures, current metrics, baselines); with ``materialize`` they
-    are written once to the shared checkpoint folder so an expensive upstream plan (e.g. the
-    checks themselves) runs once.  Result tables are small: one row per check
-    and partition.
+    ``results`` and the lineage tables are read by several branches (upstream
+    failures, current metrics, baselines); with ``materialize`` they are written
+    once to the shared checkpoint folder.  With ``failures`` given (those of a run, say)
+    only the history of the failed datasets' direct upstreams is read and written,
+    however old and wide the store is.
     """
     if materialize:
-        results = write_back(results, "rca-history")
+        graph = graph.materialized(with_datasets=False)
         if failures is not None:
             failures = write_back(failures, "rca-failures")
-        graph = graph.materialized(with_datasets=False)
+            looked_at = failures.select("dataset").distinct().join(graph.edges.select("dataset", "upstream"), "dataset").select(
+                F.col("upstream").alias("dataset")).distinct()
+            results = results.join(looked_at, "dataset", "left_semi")
+        results = write_back(results, "rca-history")
     fails = results.where(~F.col("passed")) if failures is None else failures
-    causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors)
+    causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors, declared)
     if materialize:  # read by causes, recommendations and MTTR
         causes = write_back(causes, "rca-causes")
     targets = fails.select(*GROUP).distinct()
     return Analysis(
         causes=causes,
         impact=downstream_impact(targets, graph),
-        recommendations=recommendations(fails, causes),
+        recommendations=recommendations(fails, causes, declared),
         mttr=mttr(targets, causes),
     )

@@ -248,6 +248,11 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
     """
     g = 'run_id, dataset, "partition"'
     kind_ord = "CASE kind WHEN 'source' THEN 0 WHEN 'self' THEN 2 ELSE 1 END"
+    # the checks in the order they are declared, stated here once more
+    orders = ["null_rate_order_id", "null_rate_product_id", "null_rate_amount", "volume_check", "ref_integrity_product_id"]
+    revenue = ["null_rate_total_revenue", "null_rate_product_id", "volume_check"]
+    names = ", ".join(f"'{d}/{c}'" for d, cs in ((fx.ORDERS, orders), (fx.REVENUE, revenue)) for c in cs)
+    place = lambda d, c: f"COALESCE(list_position([{names}], {d} || '/' || {c}), 1000000)"
     up_src = hist
     if latest:
         up_src = (f'(SELECT * FROM {hist} QUALIFY rank() OVER (PARTITION BY dataset, "partition" '
@@ -299,12 +304,12 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
   SELECT * FROM {p}_r2 UNION ALL SELECT * FROM {p}_r3 UNION ALL SELECT * FROM {p}_r4 UNION ALL SELECT * FROM {p}_r5),
 {p}_causes AS (
   SELECT *,
-    row_number() OVER (PARTITION BY {g} ORDER BY {kind_ord}, upstream_ord, item, reason) AS cause_ord,
-    row_number() OVER (PARTITION BY {g} ORDER BY confidence DESC, {kind_ord}, upstream_ord, item, reason) AS cause_rank,
+    row_number() OVER (PARTITION BY {g} ORDER BY {kind_ord}, upstream_ord, {place('cause_dataset', 'item')}, item, reason) AS cause_ord,
+    row_number() OVER (PARTITION BY {g} ORDER BY confidence DESC, {kind_ord}, upstream_ord, {place('cause_dataset', 'item')}, item, reason) AS cause_rank,
     CASE WHEN confidence > 0.85 THEN 'high' ELSE 'medium' END AS band
   FROM {p}_c0),
 {p}_rec0 AS (
-  SELECT {g}, 0 AS sec, check_name AS k, 0 AS o,
+  SELECT {g}, 0 AS sec, {place('dataset', 'check_name')} AS d, check_name AS k, 0 AS o,
     CASE check_type
       WHEN 'null_check' THEN {rec_null}
       WHEN 'volume' THEN {rec_volume}
@@ -312,10 +317,10 @@ def rca_cte(p: str, hist: str, latest: bool = False) -> str:
     END AS recommendation
   FROM {p}_fails
   UNION ALL
-  SELECT {g}, 1, '', cause_ord, {rec_cause}
+  SELECT {g}, 1, 0, '', cause_ord, {rec_cause}
   FROM {p}_causes WHERE cause_dataset <> dataset),
 {p}_recs AS (
-  SELECT {g}, row_number() OVER (PARTITION BY {g} ORDER BY sec, k, o, recommendation) AS rec_no, recommendation
+  SELECT {g}, row_number() OVER (PARTITION BY {g} ORDER BY sec, d, k, o, recommendation) AS rec_no, recommendation
   FROM {p}_rec0 WHERE recommendation IS NOT NULL),
 {p}_impact AS (
   SELECT t.run_id, t.dataset, t."partition", c.dataset AS impacted_dataset, c.depth

@@ -224,7 +224,7 @@ class QualityRunner:
             fails = results.where(~F.col("passed"))
 
             def diagnose():
-                return analyze(hist, self.lineage, failures=fails)
+                return analyze(hist, self.lineage, failures=fails, declared={x.name: [c.name for c in x.checks] for x in specs})
 
         return RunOutcome(run_id, results, run_summary(results), skipped, diagnose)
 

@@ -350,7 +350,11 @@ def _analysis(spark, sf_dir, results=None):
     from tideline.operators.rca import analyze
 
     res = fx.res(spark, sf_dir) if results is None else results
-    return analyze(res, fx.lineage(spark, sf_dir))
+    return analyze(res, fx.lineage(spark, sf_dir), declared=_declared(spark, sf_dir))
+
+
+def _declared(spark, sf_dir):
+    return {fx.ORDERS: [c.name for c in fx.order_checks(fx.ref(spark, sf_dir))], fx.REVENUE: [c.name for c in fx.revenue_checks()]}
 
 
 CAUSE_COLS = ["run_id", "dataset", "partition", "cause_dataset", "reason", "confidence", "kind", "upstream_ord",
@@ -545,7 +549,8 @@ def rca_latest_run(spark, sf_dir):
     where the re-check of clean data passed."""
     from tideline.operators.rca import analyze
 
-    a = analyze(fx.res_two_runs(spark, sf_dir), fx.lineage(spark, sf_dir), upstream_runs="latest")
+    a = analyze(fx.res_two_runs(spark, sf_dir), fx.lineage(spark, sf_dir), upstream_runs="latest",
+                declared=_declared(spark, sf_dir))
     return a.causes.select(*CAUSE_COLS)
 
 

@@ -56,7 +56,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tideline-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/tideline-{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the scratch folders that this process has named, but for those under ``keep``.
+
+    Results are lazy and read these folders: call it once they have been written
+    or collected.  Returns the number of folders deleted.
+    """
+    jvm, n = spark.sparkContext._jvm, 0
+    for path in [p for p in _SCRATCH if not any(p.startswith(k) for k in keep)]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+        _SCRATCH.remove(path)
+    return n
 
 
 def materialize(df, name: str = "table"):

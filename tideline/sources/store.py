@@ -151,9 +151,8 @@ class ResultStore:
         (
             results.select(*RESULT_SCHEMA.fieldNames())
             .withColumn(SEQ, F.lit(seq).cast("long"))
-            # one file per dataset and write; a dataset's rows in one run are
-            # bounded by checks x new partitions, never by data volume
-            .repartition("dataset")
+            # one file per dataset and write while it is small; a large one is split
+            .hint("rebalance", "dataset")
             .write.mode("append")
             .partitionBy("dataset")
             .parquet(self.results_path)
