@@ -46,7 +46,7 @@ LENGTH = 400
 GRAM = 100
 LEFT = LENGTH - GRAM
 GRID = 20
-CROWD = 2048
+CROWD = 20_000  # contexts of one gram gathered in a task: 14 MB of bytes
 CHUNK = 1 << 18  # bytes of one text looked at at a time
 PLACE = np.uint64((1 << 32) - 1)
 
@@ -222,7 +222,7 @@ def context_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``gram, context, n, crowd, before, after``: the bytes of the ``wanted`` contexts, cut from one text each."""
     lists = materialize(wanted.groupBy("t1").agg(
         F.collect_list(F.struct("gram", "context", "n", "crowd")).alias("wanted")), "wanted")  # of one text each
-    rows = texts.select("t1", "text").join(small(lists, 300_000, F.size("wanted")), "t1")
+    rows = texts.select("t1", "text").join(lists, "t1")
 
     def cut(batches):
         for batch in batches:
@@ -370,7 +370,7 @@ def covered(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """``t1, t2, n_removed, n_spans, kept``: the bytes that stay of each text with spans."""
-    rows = texts.select("t1", "t2", "text").join(small(spans, 300_000, F.size("spans")), ["t1", "t2"])
+    rows = texts.select("t1", "t2", "text").join(spans, ["t1", "t2"])
 
     def cut(batches):
         for batch in batches:
