@@ -16,12 +16,18 @@ def main() -> None:
     from tideline.operators.checks import ReferentialCheck, orphan_rows
     from tideline.plans import fixtures as fx
     from tideline.plans.fused import check_results
-    from tideline.queries import raw_on_disk
-    from tideline.session import local_session
+    from tideline.operators.lineage import all_upstream
+    from tideline.operators.rca import analyze
+    from tideline.queries import REGISTRY, raw_on_disk
+    from tideline.session import local_session, scratch_dir
     from tideline.sources.datasets import read_dataset
+    from tideline.sources.partitions import list_partitions, new_partitions, partitions_frame
+    from tideline.sources.store import ResultStore, checkpoints_from_results
 
     spark = local_session()
     root = raw_on_disk(spark, sf)
+    store = ResultStore(spark, scratch_dir(spark, "plans-store"))
+    store.update_checkpoints(checkpoints_from_results(store.written(store.save_results(fx.res(spark, sf)))))
     shown = {
         "Fused checks on an on-disk dataset after the watermark (dt > 2024-01-20)": check_results(
             read_dataset(spark, root).where("dt > '2024-01-20'"), fx.order_checks(fx.ref(spark, sf)),
@@ -29,6 +35,13 @@ def main() -> None:
         "Fused checks with the referential check forced onto the shuffle path": check_results(
             fx.bad(spark, sf), fx.order_checks(fx.ref(spark, sf)), dataset=fx.ORDERS, run_id="r", broadcast_rows=0),
         "Revenue roll-up": fx.rev(spark, sf),
+        "Three large references in one further scan": REGISTRY["check_three_references"](spark, sf),
+        "New partitions after the mark": new_partitions(
+            partitions_frame(spark, list_partitions(spark, root)), store.checkpoints(), fx.ORDERS),
+        "Latest results of the store": store.results(),
+        "Root causes of a stored run": analyze(store.results(), fx.reference_lineage(spark),
+                                               failures=store.results().where("not passed")).causes,
+        "All upstream datasets": all_upstream(fx.lineage(spark, sf)),
         "Orphan rows (C4)": orphan_rows(fx.bad(spark, sf), ReferentialCheck("product_id", fx.ref(spark, sf))),
     }
     print("# Physical plans of the headline queries\n")
@@ -40,7 +53,7 @@ def main() -> None:
         keep = [line for line in text.splitlines()
                 if not line.startswith(("Arguments:", "Input ["))]
         print(f"## {title}\n\n```")
-        print("\n".join(keep[:120]).replace(root, "<orders_raw>").replace(sf, "<sf>"))
+        print("\n".join(keep).replace(root, "<orders_raw>").replace(sf, "<sf>"))
         print("```\n")
 
 
