@@ -311,6 +311,17 @@ def test_mix(spark, docs, rows, block):
     assert by_repr(again) == sorted((tuple(r) for r in got), key=repr)
 
 
+def test_block_texts_are_the_tokens_of_the_slots(docs, rows):
+    taken, blocks = mixing.mix(docs)
+    out = mixing.block_texts(blocks, docs).collect()
+    total = sum(r["taken"] for r in taken.collect())
+    assert sum(len(r["text"].split()) for r in out) == total
+    streams = {r["source"]: " ".join(fx.space_words(" ".join(x[1] or "" for x in rows if x[3] == r["source"]))) for r in out}
+    words = {s: set(t.split()) for s, t in streams.items()}
+    assert all(set(r["text"].split()) <= words[r["source"]] for r in out)
+    assert len({(r["source"], r["shard"], r["slot"]) for r in out}) == len(out)
+
+
 def test_mix_empty(spark, no_docs):
     assert mixing.mix(no_docs)[0].count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
@@ -349,6 +360,15 @@ def test_shard_bytes_are_near_equal_with_a_hot_text(spark, no_docs, monkeypatch)
     assert len(_shards(spark.createDataFrame([(1, None), (1, None), (None, "x")], "doc_id long, text string"))) == 3
 
 
+def test_write_shards(spark, docs, rows, tmp_root):
+    sharding.write_shards(docs, f"{tmp_root}/out", shards=4, files=2)
+    back = spark.read.parquet(f"{tmp_root}/out")
+    assert set(docs.columns) <= set(back.columns)
+    assert sorted((r["doc_id"], r["text"]) for r in back.where("doc_id is not null and text is not null").collect()) == sorted(
+        (r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None)
+    assert back.count() == len(rows)
+
+
 def test_queries_are_registered():
     from tideline.llm.queries import REGISTRY
 

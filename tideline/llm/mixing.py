@@ -179,3 +179,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     out = placed.withColumn("some", F.col("size") > 0).join(taken, ["s", "start", "some"], "left")
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target",
                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), blocks
+
+
+def block_texts(blocks: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The mixed corpus itself: ``source, shard, slot, turn, block, text`` of the ``blocks`` of ``mix``.
+
+    A block's pieces are joined to their documents and put together in order; a block
+    has at most ``BLOCK`` pieces.
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    texts = pick(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), words.alias("words")).dropDuplicates(["d", "h"])
+    pieces = blocks.join(texts, blocks["doc_id"].eqNullSafe(texts["d"]) & (blocks["text_hash"] == texts["h"])).select(
+        "source", "shard", "slot", "turn", "block", "place",
+        F.array_join(F.slice("words", (F.col("first") + 1).cast("int"), F.col("n").cast("int")), " ").alias("piece"))
+    parts = F.array_sort(F.collect_list(F.struct("place", "piece")))
+    return pieces.groupBy("source", "shard", "slot", "turn", "block").agg(
+        F.array_join(F.transform(parts, lambda x: x["piece"]), " ").alias("text"))

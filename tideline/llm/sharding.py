@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import materialize, pick
+from tideline.llm.common import materialize, pick, unique
 
 SHARDS = 16
 CUTS = 64  # cells a bracket is cut into in each round
@@ -100,22 +100,44 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     return sorted(out)
 
 
+def _keys(text: Column, doc_id: Column) -> tuple[Column, Column]:
+    return F.shiftrightunsigned(F.xxhash64(text), 2), F.shiftrightunsigned(F.xxhash64(doc_id, F.lit("id")), 2)
+
+
+def _place(cuts: list[tuple[int, int]], k1: Column, k2: Column) -> Column:
+    place = F.lit(0)
+    for i, (a, b) in enumerate(cuts):
+        place = F.when((k1 > a) | ((k1 == a) & (k2 >= b)), F.lit(i + 1)).otherwise(place)
+    return place.cast("int")
+
+
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
+                 files: int = 1) -> None:
+    """Write the documents, all columns (one named ``shard`` is replaced), as ``shard=0/ ..`` folders of ``files`` files, in key order.
+
+    The splitters come from the keys alone; the documents are exchanged once.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    k1, k2 = _keys(text, F.col(f"`{id_col}`"))
+    keys = materialize(docs.select((F.octet_length(text) + 1).cast("long").alias("size"), k1.alias("k1"), k2.alias("k2")), "keys")
+    of, a, b = "shard", unique("k1"), unique("k2")
+    placed = docs.withColumn(of, _place(splitters(keys, shards), k1, k2)).withColumn(a, k1).withColumn(b, k2)
+    (placed.repartition(shards * files, of, F.pmod(F.col(a), F.lit(files))).sortWithinPartitions(of, a, b).drop(a, b)
+     .write.partitionBy(of).parquet(path))
+
+
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row for each document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``."""
     text = F.coalesce("text", F.lit(""))
+    k1, k2 = _keys(text, F.col("doc_id"))
     rows = pick(docs, doc_id=id_col, text=text_col).select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(text), 2).alias("k1"),
-        F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("id")), 2).alias("k2"))
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), k1.alias("k1"), k2.alias("k2"))
     rows = materialize(rows, "keys")
     cuts = splitters(rows, shards)
-    place = F.lit(0)
-    for i, (a, b) in enumerate(cuts):
-        place = F.when((F.col("k1") > a) | ((F.col("k1") == a) & (F.col("k2") >= b)), F.lit(i + 1)).otherwise(place)
     n = rows.count()
     ranges = max(1, n // ROWS_PER_CELL)
-    rows = rows.withColumn("shard", place.cast("int"))
+    rows = rows.withColumn("shard", _place(cuts, F.col("k1"), F.col("k2")))
     # cells follow the text hash; copies of one text are dealt over as many cells by the id's hash
     cell = F.struct(F.expr(f"k1 div {TOP // ranges + 1}L").alias("a"), F.pmod("k2", F.lit(min(ranges, 64))).alias("b"))
     rows = rows.withColumn("cell", cell)
