@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import materialize
+from tideline.llm.common import materialize, small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,15 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: link the larger neighbours of a node to its least neighbour or itself
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        least = materialize(least, "least")  # apart from the rows it is joined to, so that a hot node's can be split
+        least = small(materialize(least, "least"))  # apart from the rows it is joined to, so that a hot node's can be split
         large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
         # small star: link the smaller neighbours of a node, and itself, to the least of them
         large = materialize(large, "edges")
-        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").select(F.explode(F.array(
+        least = small(materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least"))
+        star = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = materialize(small.select("e.*").where("a <> b").distinct(), "edges")
+        edges = materialize(star.select("e.*").where("a <> b").distinct(), "edges")
         after = state(edges)
         if after == before:
             break
