@@ -62,7 +62,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.max("copies").alias("copies"))
     plan = materialize(plan.where("copies > 0"), "copies")
     nth = unique("nth")  # a name that no column of the documents has
-    joined = docs.alias("d").join(small(plan).alias("g"), F.expr(SAME)).select("d.*", F.explode(F.sequence(
+    joined = docs.alias("d").join(plan.hint("merge").alias("g"), F.expr(SAME)).select("d.*", F.explode(F.sequence(
         F.lit(1), F.col("g.copies"))).alias(nth))
     return joined.drop(nth)
 
