@@ -157,6 +157,68 @@ class Tree:
         return total
 
 
+class DeepTree(Tree):
+    """The same for contexts of up to ``depth`` bytes."""
+
+    def __init__(self, texts, depth):
+        self.nodes, self.children, self.known, self.depth = {}, {}, {}, depth
+        for t in texts:
+            b = bytes(depth) + t
+            for i in range(depth, len(b)):
+                for d in range(depth + 1):
+                    node = 1
+                    for bit in range(7, -1, -1):
+                        one = (b[i] >> bit) & 1
+                        self.nodes.setdefault((b[i - d : i], node), [0, 0])[one] += 1
+                        node = 2 * node + one
+        for ctx, node in self.nodes:
+            if ctx:
+                self.children.setdefault((ctx[1:], node), []).append((ctx, node))
+
+    def weighted(self, k):
+        if k not in self.known:
+            own = self.kt(*self.nodes[k])
+            self.known[k] = own if len(k[0]) == self.depth else np.logaddexp(own, sum(map(self.weighted, self.children[k]))) - math.log(2)
+        return self.known[k]
+
+    def score(self, data):
+        total, b = 0.0, bytes(self.depth) + data
+        for i in range(self.depth, len(b)):
+            node = 1
+            for bit in range(7, -1, -1):
+                one, p = (b[i] >> bit) & 1, 0.5
+                for d in range(self.depth, -1, -1):
+                    k = b[i - d : i], node
+                    zeros, ones = self.nodes.get(k, (0, 0))
+                    w = 1 if d == self.depth else math.exp(self.kt(zeros, ones) - math.log(2) - self.weighted(k)) if k in self.nodes else 0.5
+                    p = w * (ones + 0.5) / (zeros + ones + 1) + (1 - w) * p
+                total += math.log10(p if one else 1 - p)
+                node = 2 * node + one
+        return total
+
+
+@pytest.mark.parametrize("depth", [3, 5])
+def test_scores_of_deep_contexts(spark, monkeypatch, depth):
+    rng = random.Random(8)
+    words = ["stone", "light", "río", "a", "of the"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(60)] + [None, "", "q", "\0\0x"]
+    monkeypatch.setattr(ctw, "BLOCK", 500)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    tree = DeepTree([(t or "").encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2], depth)
+    got = ctw.score(frame, depth=depth).collect()
+    assert len(got) == len(texts)
+    assert all(math.isclose(r["score"], tree.score((texts[r["doc_id"]] or "").encode()), abs_tol=1e-3) for r in got)
+
+
+def test_the_query_learns_more_than_three_bytes(spark, tmp_root):
+    from tideline.llm.queries import REGISTRY
+
+    texts = ["abcdxe" * 20 if i % 2 else "fbcdye" * 20 for i in range(60)]  # x or y is told by the fourth byte back
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_root}/documents.parquet")
+    got = REGISTRY["op5_ctw"](spark, tmp_root).collect()
+    assert max(-r["score"] * math.log2(10) / r["n_bytes"] for r in got) < 0.15  # 0.196 by two bytes
+
+
 def test_held_out_text_is_shorter_in_code_than_shuffled_bytes(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["the", "and", "house", "river", "stone", "light"]) for _ in range(60)) for _ in range(80)]

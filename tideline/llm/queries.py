@@ -168,9 +168,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_ctw")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tideline.llm.ctw import score
+    from tideline.llm.ctw import DEPTH, score
 
-    return score(documents(spark, sf_dir))
+    return score(documents(spark, sf_dir), depth=DEPTH)
 
 
 def _of(kind: str):
