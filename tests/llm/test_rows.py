@@ -259,6 +259,19 @@ def test_quality_rejects_outliers_only(spark):
     assert [i for i, kept in sorted(first) if not kept] == list(range(500, 620))
 
 
+def test_quality_judges_small_sources_by_all_of_their_language(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    text = lambda end="": " ".join(word() + end for _ in range(150))
+    rows = [(i, text(), "en", "big") for i in range(300)] + [(300 + i, text(), "fr", "big") for i in range(60)]
+    rows += [(400, text(), "en", "rare"), (401, text("###"), "en", "rare"), (402, text("###"), "en", None)]
+    rows += [(403, text(), "xx", "rare"), (404, text("###"), "xx", "rare"), (405, text("###"), None, "lone")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.quality(frame).collect()
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got)
+    assert sorted(r["doc_id"] for r in got if not r["kept"]) == [401, 402, 404, 405]
+
+
 def test_quality_empty(no_docs):
     assert quality.quality(no_docs).count() == 0
 

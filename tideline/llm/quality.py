@@ -19,7 +19,8 @@ language and source, made of the documents that have not failed:
 
 Quantiles come from counts of fixed bins, so reruns agree and no group is gathered in one
 task.  A group of fewer than ``LEAST`` documents is judged by the estimate of its
-language, or of all documents; if these are fewer too, nothing is rejected.
+language, or of all documents, each made of all documents of that level; if these are fewer too,
+nothing is rejected.
 
 Edge cases: null or empty text has no words and fails.  Null languages and sources are
 groups like others.  Rows that repeat an id are judged one by one.  An empty table
@@ -84,15 +85,21 @@ def _group(*columns: str) -> Column:
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """``lang, source`` to the group ``g`` that judges them; null if none has enough documents."""
+    """``lang, source`` to each group ``g`` whose estimate they are part of, and if it is their ``own``, that judges them.
+
+    Groups are a language's source, a language, and all; only those that judge some documents are listed.
+    """
     counts = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     by_lang = counts.groupBy("lang").agg(F.sum("n").alias("of_lang"))
     everything = rows.count()
     same = counts["lang"].eqNullSafe(by_lang["lang"])
     counts = counts.join(by_lang, same).drop(by_lang["lang"])
-    return counts.select("lang", "source", F.when(F.col("n") >= LEAST, _group("lang", "source"))
-                         .when(F.col("of_lang") >= LEAST, _group("lang"))
-                         .when(F.lit(everything) >= LEAST, _group()).alias("g"))
+    levels = [(F.col("n"), _group("lang", "source")), (F.col("of_lang"), _group("lang")), (F.lit(everything), _group())]
+    judge = F.coalesce(*[F.when(n >= LEAST, g) for n, g in levels])
+    counts = materialize(counts.select("lang", "source", judge.alias("judge"), F.array(*[g for _, g in levels]).alias("levels")), "groups")
+    used = counts.select(F.col("judge").alias("g")).distinct()  # null if no group has enough documents
+    return (counts.select("lang", "source", "judge", F.explode("levels").alias("g")).join(used, "g")
+            .select("lang", "source", "g", F.expr("g = judge").alias("own")))
 
 
 def quantiles(binned: DataFrame, shares: dict[str, float]) -> DataFrame:
@@ -196,12 +203,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows = statistics(pick(docs, doc_id=id_col, text=text_col, lang=lang_col, source=source_col))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = materialize(rows.withColumn("base_failed", failed), "statistics")
-    judge = groups(rows.where(~F.col("base_failed"))).where("g is not null")
+    judge = groups(rows.where(~F.col("base_failed")))
     judged = (rows.alias("r").join(judge.alias("j"), F.expr("r.lang <=> j.lang and r.source <=> j.source and not r.base_failed"))
-              .select("r.*", "j.g"))
+              .select("r.*", "j.g", "j.own"))
     judged = materialize(vectors(judged), "vectors")
     est = estimates(judged)
-    far = distance(judged, est.drop("scale")).join(est.select("g", "scale"), "g").select(
+    far = distance(judged.where("own").drop("own"), est.drop("scale")).join(est.select("g", "scale"), "g").select(
         "doc_id", "text_hash", F.sqrt(F.col("d2") / F.col("scale")).alias("distance"), *[c for c in rows.columns[2:]])
     rest = (rows.alias("r").join(judge.alias("j"), F.expr("r.lang <=> j.lang and r.source <=> j.source and not r.base_failed"), "left_anti")
             .withColumn("distance", F.lit(None).cast("double")))
