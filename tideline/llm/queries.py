@@ -198,3 +198,62 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(cut, ["t1", "t2"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", "text_sha256").alias("kept_sha256"))
+
+
+@query("op11_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.manifest import manifest
+
+    return manifest(documents(spark, sf_dir)).drop("lang")
+
+
+def _field_sql(c: str) -> str:
+    return f"coalesce(cast(strlen(cast({c} as varchar)) as varchar) || ':' || cast({c} as varchar), '-')"
+
+
+ORACLE["op11_manifest"] = rf"""
+with recursive rows as (
+  select row_number() over () as r, doc_id, lang, {_field_sql('doc_id')} || {_field_sql('source')} || {_field_sql('lang')} as head,
+         n_chars, {_field_sql('text')} as tail,
+         list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::UBIGINT)),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda i: i::UBIGINT)),
+             lambda x, i: xor(x >> 1, (x & 1::UBIGINT) * 3988292384::UBIGINT))) as crc
+  from documents),
+hashed as (
+  select r, doc_id, lang, sha256(head || {_field_sql('n_chars')} || tail) as leaf,
+         sha256(head || {_field_sql('(n_chars + 1)')} || tail) as changed, coalesce(xor(crc, 4294967295::UBIGINT) % 7 = 0, false) as picked
+  from rows),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as slot from hashed),
+nodes as (
+  select lang, 0 as level, slot, leaf as h, count(*) over (partition by lang) as n from leaves
+  union all
+  select lang, level + 1, slot // 2, sha256(string_agg(h, '' order by slot)), any_value((n + 1) // 2)
+  from nodes where n > 1 group by lang, level, slot // 2),
+subroots as (
+  select lang, h as subroot, row_number() over (order by encode(lang) nulls first) - 1 as rank from nodes where n = 1),
+tops as (
+  select 0 as level, rank as slot, subroot as h, count(*) over () as n from subroots
+  union all
+  select level + 1, slot // 2, sha256(string_agg(h, '' order by slot)), any_value((n + 1) // 2) from tops where n > 1 group by level, slot // 2),
+places as (
+  select l.*, s.rank, s.subroot from leaves l join subroots s on l.lang is not distinct from s.lang),
+runs as (
+  select p.r, 0 as part, n.level, p.slot >> n.level as mine, n.slot as spot, n.h
+  from places p join nodes n on n.lang is not distinct from p.lang and n.n > 1 and n.slot // 2 = (p.slot >> n.level) // 2
+  union all
+  select p.r, 1, t.level, p.rank >> t.level, t.slot, t.h
+  from places p join tops t on t.n > 1 and t.slot // 2 = (p.rank >> t.level) // 2),
+steps as (
+  select r, row_number() over (partition by r order by part, level) as k, max(h) filter (where spot <> mine) as sibling, any_value(mine % 2) as odd
+  from runs group by r, part, level),
+folds as (
+  select r, 0 as k, case when picked and n_chars is not null then changed else leaf end as h from places join rows using (r)
+  union all
+  select f.r, f.k + 1, sha256(case when sibling is null then f.h when odd = 1 then sibling || f.h else f.h || sibling end)
+  from folds f join steps s on s.r = f.r and s.k = f.k + 1),
+proofs as (select r, sha256(coalesce(string_agg(sibling, '' order by k), '')) as proof_sha256, max(k) as steps from steps group by r)
+select p.doc_id, p.slot, leaf, subroot, t.h as root, coalesce(proof_sha256, sha256('')) as proof_sha256,
+       f.h as folded_root, f.h = t.h as verified
+from places p left join proofs q using (r) join tops t on t.n = 1 join folds f on f.r = p.r and f.k = coalesce(q.steps, 0)
+"""
