@@ -257,3 +257,10 @@ select p.doc_id, p.slot, leaf, subroot, t.h as root, coalesce(proof_sha256, sha2
        f.h as folded_root, f.h = t.h as verified
 from places p left join proofs q using (r) join tops t on t.n = 1 join folds f on f.r = p.r and f.k = coalesce(q.steps, 0)
 """
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
