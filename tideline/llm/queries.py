@@ -264,3 +264,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.whitening import whiten
 
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_extraction")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tideline.llm.extraction import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
