@@ -251,16 +251,15 @@ def test_batch_and_stream_versions_share_one_order(spark, tmp_root):
 
 
 def test_scratch_folders_can_be_dropped(spark):
-    from tideline.session import drop_scratch, materialize, scratch_dir
+    from tideline.session import drop_scratch, materialize, scratch_dir, scratch_folders
 
+    others = tuple(scratch_folders(spark))  # tables of other tests in this session
     kept = scratch_dir(spark, "kept")
     spark.range(3).write.parquet(kept)
     table = materialize(spark.range(5), "gone")
     path = table.inputFiles()[0].rsplit("/", 1)[0]
-    from tideline import session
-
-    others = tuple(p for p in session._SCRATCH if "tideline-gone" not in p)
-    assert drop_scratch(spark, keep=others) == 1
+    assert drop_scratch(spark, keep=(*others, kept)) == 1
     assert spark.read.parquet(kept).count() == 3
+    assert set(scratch_folders(spark)) == {*others, kept}
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path).count()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from weakref import WeakKeyDictionary
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -56,24 +58,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    _SCRATCH.append(f"{base}/tideline-{name}-{uuid.uuid4().hex[:12]}")
-    return _SCRATCH[-1]
+    path = f"{base}/tideline-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext, []).append(path)
+    return path
 
 
-_SCRATCH: list[str] = []
+_SCRATCH: WeakKeyDictionary[SparkContext, list[str]] = WeakKeyDictionary()
+
+
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """The scratch folders named in this application and not dropped since."""
+    return list(_SCRATCH.get(spark.sparkContext, ()))
 
 
 def drop_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
-    """Delete the scratch folders that this process has named, but for those under ``keep``.
+    """Delete the scratch folders that this application has named, but for those under ``keep``.
 
     Results are lazy and read these folders: call it once they have been written
     or collected.  Returns the number of folders deleted.
     """
     jvm, n = spark.sparkContext._jvm, 0
-    for path in [p for p in _SCRATCH if not any(p.startswith(k) for k in keep)]:
+    for path in scratch_folders(spark):
+        if any(path == k or path.startswith(k.rstrip("/") + "/") for k in keep):
+            continue
         p = jvm.org.apache.hadoop.fs.Path(path)
         n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
-        _SCRATCH.remove(path)
+        _SCRATCH[spark.sparkContext].remove(path)
     return n
 
 

@@ -1,9 +1,9 @@
 """Result and checkpoint tables.
 
-Both tables are append-only Parquet; results are partitioned by dataset.  An "upsert" is a plain append of a new
-version; readers keep the latest version per key with
-``max_by(row, _seq)`` per key, batch and streaming writes alike.  A retried
-write with the same key (e.g. the same ``run_id``) therefore overwrites its
+Both are ``SegmentTable``s: immutable Parquet segments under a manifest, compacted by
+size, results partitioned by dataset.  An "upsert" appends a new version; readers keep
+the latest one per key, ``max_by(row, _seq)``, batch and streaming writes alike.  A
+retried write with the same key (e.g. the same ``run_id``) therefore overwrites its
 own earlier rows, and a crash between the result and checkpoint writes leaves
 a state the next run repairs.
 """
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.sources.segments import SegmentTable
+
 RESULT_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), True),
@@ -88,6 +90,8 @@ class ResultStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._results = SegmentTable(spark, self.results_path, RESULT_SCHEMA, RESULT_KEY, SEQ, partition_by="dataset")
+        self._checkpoints = SegmentTable(spark, self.checkpoints_path, CHECKPOINT_SCHEMA, CHECKPOINT_KEY, SEQ)
 
     @property
     def results_path(self) -> str:
@@ -97,47 +101,31 @@ class ResultStore:
     def checkpoints_path(self) -> str:
         return f"{self.root}/partition_checkpoints"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p)
-
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType(schema.fields + [T.StructField(SEQ, T.LongType(), True)])
-        if not self._exists(path):  # S8: create-if-absent is an empty table
-            return self.spark.createDataFrame([], full)
-        # results are laid out as dataset=<name>/ directories: a filter on
-        # ``dataset`` prunes them
-        return self.spark.read.schema(full).parquet(path).select(*full.fieldNames())
-
-    def raw_results(self) -> DataFrame:
-        return self._read(self.results_path, RESULT_SCHEMA)
+    def raw_results(self, datasets: Sequence[str] | None = None) -> DataFrame:
+        """All versions of all rows, or of some datasets (only their files are opened)."""
+        return self._results.read(values=datasets)
 
-    def results(self) -> DataFrame:
+    def results(self, datasets: Sequence[str] | None = None) -> DataFrame:
         """Latest version of each ``(run_id, dataset, partition, check_name)``."""
-        df = latest_by_key(self.raw_results(), RESULT_KEY, [SEQ])
+        df = latest_by_key(self.raw_results(datasets), RESULT_KEY, [SEQ])
         return df.select(*RESULT_SCHEMA.fieldNames())
 
     def checkpoints(self) -> DataFrame:
         """Latest checkpoint per dataset (S9 for all datasets at once)."""
-        df = latest_by_key(self._read(self.checkpoints_path, CHECKPOINT_SCHEMA), CHECKPOINT_KEY, [SEQ])
+        df = latest_by_key(self._checkpoints.read(), CHECKPOINT_KEY, [SEQ])
         return df.select(*CHECKPOINT_SCHEMA.fieldNames())
 
     def written(self, seq: int) -> DataFrame:
-        """The rows of one ``save_results`` call (unique keys, no dedupe needed)."""
-        return self.raw_results().where(F.col(SEQ) == F.lit(seq)).select(*RESULT_SCHEMA.fieldNames())
+        """The rows of one ``save_results`` call (unique keys, no dedupe needed), from the segments that hold it."""
+        return self._results.read(seq=seq).select(*RESULT_SCHEMA.fieldNames())
 
     def last_checkpoint(self, dataset: str) -> DataFrame:
         return self.checkpoints().where(F.col("dataset") == F.lit(dataset))
 
     def checkpoint_value(self, dataset: str) -> str | None:
         """The dataset's last checked partition (S9): a top-1 read, no shuffle."""
-        if not self._exists(self.checkpoints_path):
-            return None
         rows = (
-            self._read(self.checkpoints_path, CHECKPOINT_SCHEMA)
-            .where(F.col("dataset") == F.lit(dataset))
+            self._checkpoints.read(values=[dataset])
             .orderBy(F.col(SEQ).desc())
             .select("last_checked_partition")
             .limit(1)
@@ -148,25 +136,11 @@ class ResultStore:
     def save_results(self, results: DataFrame, seq: int | None = None) -> int:
         """Append one version of ``results`` (S7); returns its sequence number."""
         seq = time.time_ns() if seq is None else seq
-        (
-            results.select(*RESULT_SCHEMA.fieldNames())
-            .withColumn(SEQ, F.lit(seq).cast("long"))
-            # one file per dataset and write while it is small; a large one is split
-            .hint("rebalance", "dataset")
-            .write.mode("append")
-            .partitionBy("dataset")
-            .parquet(self.results_path)
-        )
+        self._results.append(results, seq)
         return seq
 
     def update_checkpoints(self, checkpoints: DataFrame, seq: int | None = None) -> int:
         """Append checkpoint versions (S10); no max guard, like the reference."""
         seq = time.time_ns() if seq is None else seq
-        (
-            checkpoints.select(*CHECKPOINT_SCHEMA.fieldNames())
-            .withColumn(SEQ, F.lit(seq).cast("long"))
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self.checkpoints_path)
-        )
+        self._checkpoints.append(checkpoints, seq)
         return seq
