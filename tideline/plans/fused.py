@@ -85,7 +85,7 @@ def resolve(df: DataFrame, checks: Sequence[Check]) -> _Plan:
     return _Plan(ok, errors)
 
 
-def _agg_name(i: int, local: str) -> str:
+def agg_name(i: int, local: str) -> str:
     return f"__c{i}_{local}"
 
 
@@ -119,7 +119,7 @@ def _shuffled_orphans(fact: DataFrame, checks: Sequence[tuple[int, ReferentialCh
     joined = pairs.join(keys.distinct().withColumn("__hit", F.lit(True)), ["__chk", "__key"], "left")
     missing = F.when(F.col("__hit").isNull(), F.col("__cnt")).otherwise(F.lit(0))
     return joined.groupBy("__part").agg(
-        *[F.sum(F.when(F.col("__chk") == i, missing).otherwise(F.lit(0))).alias(_agg_name(i, "orphans")) for i, _ in checks])
+        *[F.sum(F.when(F.col("__chk") == i, missing).otherwise(F.lit(0))).alias(agg_name(i, "orphans")) for i, _ in checks])
 
 
 def check_results(
@@ -133,6 +133,7 @@ def check_results(
     extra_partitions: Sequence[str] = (),
     partition_col: str = "dt",
     broadcast_rows: int | None = None,
+    aggregated: DataFrame | None = None,
 ) -> DataFrame:
     """Results of every check on every requested partition of ``df``.
 
@@ -141,6 +142,8 @@ def check_results(
     without rows; a list of names = exactly those (names without rows still
     get results, as empty partitions); a one-column DataFrame = the same,
     computed lazily (a small list: it is joined, and the fact semi-joined).
+    ``aggregated``: the row count (``__n``) and the checks' aggregates (``agg_name``) of
+    each partition, if they are known without a scan; then ``df`` only gives the schema.
     Returns rows in ``RESULT_SCHEMA``.
     """
     spark = df.sparkSession
@@ -192,13 +195,13 @@ def check_results(
     for i, c in [x for k, x in enumerate(refs) if k in small]:
         keys = c.reference_keys(f"__rk{i}").withColumn(f"__rm{i}", F.lit(True))
         fact = fact.join(F.broadcast(keys), fact[c.foreign_key] == keys[f"__rk{i}"], "left")
-        aggs.append(F.count_if(F.col(f"__rm{i}").isNull()).alias(_agg_name(i, "orphans")))
+        aggs.append(F.count_if(F.col(f"__rm{i}").isNull()).alias(agg_name(i, "orphans")))
     for i, c in plan.ok:
         if not isinstance(c, ReferentialCheck):
             for local, e in c.aggregates().items():
-                aggs.append(e.alias(_agg_name(i, local)))
+                aggs.append(e.alias(agg_name(i, local)))
 
-    stats = fact.groupBy(partition_col).agg(*aggs)
+    stats = fact.groupBy(partition_col).agg(*aggs) if aggregated is None else aggregated
     if shuffled:
         orphans = _shuffled_orphans(base_fact, shuffled, partition_col)
         stats = stats.join(orphans, stats[partition_col].eqNullSafe(orphans["__part"]), "left").drop("__part")
@@ -207,9 +210,9 @@ def check_results(
     counters = {N}
     for i, c in plan.ok:
         if isinstance(c, ReferentialCheck):
-            counters.add(_agg_name(i, "orphans"))
+            counters.add(agg_name(i, "orphans"))
         else:
-            counters.update(_agg_name(i, local) for local in c.count_aggregates())
+            counters.update(agg_name(i, local) for local in c.count_aggregates())
     if parts is None:
         full = stats
         if extra_partitions:
@@ -230,7 +233,7 @@ def check_results(
         if i in failed:
             passed, metric, thr = F.lit(False), F.lit(ERROR_METRIC), c.error_threshold_text
         else:
-            passed, metric = c.outcome(lambda local, i=i: F.col(_agg_name(i, local)), n)
+            passed, metric = c.outcome(lambda local, i=i: F.col(agg_name(i, local)), n)
             passed = F.coalesce(passed, F.lit(False))
             thr = c.threshold_text
         structs.append(

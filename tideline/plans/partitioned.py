@@ -6,6 +6,10 @@ lacks a column, is checked with what it has: a check on a column that it lacks
 becomes an error row there and nowhere else.  A partition that cannot be read gets
 error rows for all checks; it is never treated as empty.
 
+Null-rate and volume checks take row and null counts from the footers that the grouping has read
+(``tideline.sources.footers``), and read no data; only partitions with a file that lacks the
+statistics, and the other checks, scan the columns they need.
+
 ``isolated`` evaluates a plan that failed at run time piece by piece, until
 only the (check, partition) pairs at fault are left; these become error rows.
 For b bad partitions of n and k checks it takes some ``2 * b * (k + 1) * log2(n)`` jobs.
@@ -16,11 +20,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.checks import Check
-from tideline.plans.fused import check_results, error_results
+from tideline.operators.checks import Check, NullRateCheck, VolumeCheck
+from tideline.plans.fused import N, agg_name, check_results, error_results
 from tideline.sources.datasets import read_group, schema_groups, widest
+from tideline.sources.footers import counts
 from tideline.sources.store import RESULT_SCHEMA
 
 
@@ -30,9 +36,20 @@ def check_partitions(
 ) -> DataFrame:
     """Results of every check on every named partition of the directory ``path``."""
     found = schema_groups(spark, path, list(partitions), partition_col)
+    quick = [c for c in checks if type(c) in (NullRateCheck, VolumeCheck)]  # row and null counts say it all
     options = {"dataset": dataset, "run_id": run_id, "run_ts": run_ts, "partition_col": partition_col}
-    pieces = [check_results(read_group(spark, path, schema, values, partition_col), checks, partitions=values, **options)
-              for schema, values in found.groups]
+    pieces = []
+    for schema, values in found.groups:
+        known = _from_footers(found.footers, schema, quick, values) if quick else None
+        scanned = [(checks, values)]
+        if known is not None:
+            stats, told = known
+            df = read_group(spark, path, schema, told, partition_col)  # for its schema
+            pieces.append(check_results(df, quick, partitions=told, aggregated=stats.withColumnRenamed("partition", partition_col), **options))
+            left = [v for v in values if v not in set(told)]
+            scanned = [([c for c in checks if c not in quick], told), (checks, left)]
+        pieces += [check_results(read_group(spark, path, schema, some, partition_col), which, partitions=some, **options)
+                   for which, some in scanned if which and some]
     if found.empty:  # no files: the columns are those of the other partitions, or else those that the checks name
         schema = widest([s for s, _ in found.groups])
         fields = schema.fields or [T.StructField(c, T.StringType()) for c in sorted({c for x in checks for c in x.columns()})]
@@ -48,6 +65,20 @@ def check_partitions(
     return out
 
 
+def _from_footers(footers: DataFrame | None, schema: T.StructType, checks: Sequence[Check], values: Sequence[str]):
+    """The aggregates of ``checks`` from the statistics in the footers, and the partitions that have them all."""
+    if footers is None:
+        return None
+    columns = sorted({c.column for c in checks if isinstance(c, NullRateCheck) and c.column in schema.fieldNames()})
+    stats = counts(footers.where(F.col("partition").isin(list(values))), columns)
+    told = {r[0] for r in stats.dropna().select("partition").collect()}  # partition names
+    if not told:
+        return None
+    nulls = [F.col(f"nulls_{columns.index(c.column)}").alias(agg_name(i, "nulls")) for i, c in enumerate(checks)
+             if isinstance(c, NullRateCheck) and c.column in columns]
+    return stats.select("partition", F.col("rows").alias(N), *nulls), [v for v in values if v in told]
+
+
 def isolated(
     make: Callable[[Sequence[Check], Sequence[str]], DataFrame], checks: Sequence[Check], values: Sequence[str],
     error: Callable[[Sequence[Check], Sequence[str]], DataFrame],

@@ -571,15 +571,16 @@ def q_stream_checks(spark, sf_dir):
 # --------------------------------------------------------------------------
 # partitions under their own schema, isolation, NULL partitions
 def drifted_on_disk(spark: SparkSession, sf_dir: str) -> str:
-    """Four days of ``raw``: as they are, with the key as double and 35 % of it NULL, without
+    """All days of ``raw``; of these, one with the key as double and 35 % of it NULL, one without
     ``amount``, and one of files that are not Parquet."""
     root = scratch_dir(spark, "drifted")
-    days = fx.raw(spark, sf_dir).where(F.col("dt").between("2024-01-01", "2024-01-03"))
+    days = fx.raw(spark, sf_dir)
     key = F.when(F.col("order_id") % 20 >= 7, F.col("product_id")).cast("double")
-    days.where("dt = '2024-01-01'").drop("dt").write.parquet(f"{root}/dt=2024-01-01")
+    odd = ["2024-01-02", "2024-01-03", "2024-01-04"]
+    days.where(~F.col("dt").isin(odd)).write.partitionBy("dt").parquet(root)
     days.where("dt = '2024-01-02'").drop("dt").withColumn("product_id", key).write.parquet(f"{root}/dt=2024-01-02")
     days.where("dt = '2024-01-03'").drop("dt", "amount").write.parquet(f"{root}/dt=2024-01-03")
-    days.select(F.col("order_id").cast("string").alias("value")).write.text(f"{root}/dt=2024-01-04")
+    days.where("dt = '2024-01-04'").select(F.col("order_id").cast("string").alias("value")).write.text(f"{root}/dt=2024-01-04")
     return root
 
 
@@ -603,8 +604,7 @@ def check_error_runtime(spark, sf_dir):
     parsed = ExpressionCheck(
         name="parsed_ids", check_type="format", aggs={"sum": F.sum(digits.cast("bigint"))},
         metric=lambda agg, n: agg("sum").cast("double"), passes=lambda m: m > F.lit(0.0), needs=("dt", "order_id"))
-    days = fx.raw(spark, sf_dir).where(F.col("dt") <= "2024-01-03")
-    spec = DatasetSpec(fx.ORDERS, days, [parsed, NullRateCheck("product_id", 0.05), VolumeCheck(*fx.BAD_VOLUME)])
+    spec = DatasetSpec(fx.ORDERS, fx.raw(spark, sf_dir), [parsed, NullRateCheck("product_id", 0.05), VolumeCheck(*fx.BAD_VOLUME)])
     store = ResultStore(spark, scratch_dir(spark, "store"))
     return QualityRunner(spark, store).run([spec], fx.RUN_ID, fx.RUN_TS).results
 
@@ -639,12 +639,15 @@ def new_rows_null_partition(spark, sf_dir):
 
 @query("check_three_references")
 def check_three_references(spark, sf_dir):
-    """Three foreign keys, all of them shuffled: one further scan of the fact."""
+    """Three foreign keys, all of them shuffled: one further scan of the fact, in which keys without a match are planted."""
+    planted = F.col("l_linenumber") == 7
     t = fx.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("dt"))
+        F.when(planted, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("l_orderkey"),
+        F.when(planted & (F.col("l_quantity") > 25), -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("l_partkey"),
+        "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("dt"))
     checks = [
-        ReferentialCheck("l_orderkey", fx.table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0"), "o_orderkey"),
-        ReferentialCheck("l_partkey", fx.table(spark, sf_dir, "part").selectExpr("cast(p_partkey as double) as k").where("k % 7 <> 0"), "k"),
+        ReferentialCheck("l_orderkey", fx.table(spark, sf_dir, "orders"), "o_orderkey"),
+        ReferentialCheck("l_partkey", fx.table(spark, sf_dir, "part").selectExpr("cast(p_partkey as double) as k"), "k"),
         ReferentialCheck("l_suppkey", fx.table(spark, sf_dir, "supplier"), "s_suppkey"),
     ]
     return check_results(t, checks, dataset="lineitem", run_id=fx.RUN_ID, run_ts=fx.RUN_TS, broadcast_rows=0)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.sources.footers import footers
 from tideline.sources.partitions import DATE_PATTERN, list_partitions
 
 
@@ -95,6 +96,7 @@ class SchemaGroups:
     groups: list[tuple[T.StructType, list[str]]]
     empty: list[str]
     unreadable: list[str]
+    footers: DataFrame | None = None
 
 
 def schema_groups(
@@ -102,9 +104,10 @@ def schema_groups(
 ) -> SchemaGroups:
     """Group partitions by the schema of their own files.
 
-    Footers are read by Spark jobs on the executors, one for each partition and
-    ``parallel`` of them at a time; pass only the new partitions of an incremental
-    run.  Files of one partition that cannot be merged make it unreadable.
+    One Spark job reads all footers on the executors (``tideline.sources.footers``); Spark is
+    then asked for the schema of one partition of each group, ``parallel`` at a time.  On
+    file systems that Python workers cannot open, it is asked for each partition.  Pass only the new
+    partitions of an incremental run.  Files of one partition that cannot be merged make it unreadable.
     """
 
     def own(value: str):
@@ -117,14 +120,23 @@ def schema_groups(
         except Exception:  # noqa: BLE001 - corrupt footer, permissions, network
             return "unreadable"
 
-    with ThreadPoolExecutor(max(1, min(parallel, len(values)))) as pool:
-        schemas = list(pool.map(own, values))
+    values, like = list(values), {}
+    found = footers(spark, path, values, partition_col)
+    if found is not None:
+        rows = found.groupBy("partition").agg(
+            F.count("file").alias("files"), F.count("error").alias("errors"), F.sort_array(F.collect_set("fingerprint")).alias("prints"))
+        for row in rows.collect():  # a row for each partition
+            like[row["partition"]] = "unreadable" if row["errors"] else "empty" if not row["files"] else tuple(row["prints"])
+    asked = {like.get(v, v): v for v in reversed(values) if not isinstance(like.get(v), str)}  # the first of each kind
+    with ThreadPoolExecutor(max(1, min(parallel, len(asked)))) as pool:
+        schemas = dict(zip(asked, pool.map(own, asked.values())))
+    schemas = [like[v] if isinstance(like.get(v), str) else schemas[like.get(v, v)] for v in values]
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for value, s in zip(values, schemas):
         if not isinstance(s, str):
             groups.setdefault(s.json(), (s, []))[1].append(value)
     return SchemaGroups(list(groups.values()), [v for v, s in zip(values, schemas) if s == "empty"],
-                        [v for v, s in zip(values, schemas) if s == "unreadable"])
+                        [v for v, s in zip(values, schemas) if s == "unreadable"], found)
 
 
 def read_group(spark: SparkSession, path: str, schema: T.StructType, values: Sequence[str], partition_col: str = "dt") -> DataFrame:
