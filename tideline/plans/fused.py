@@ -89,6 +89,11 @@ def agg_name(i: int, local: str) -> str:
     return f"__c{i}_{local}"
 
 
+def locals_of(c: Check) -> list[str]:
+    """Names of the aggregates that a check is computed from, besides the row count."""
+    return ["orphans"] if isinstance(c, ReferentialCheck) else list(c.aggregates())
+
+
 def _key_text(column: Column, kind: str) -> Column:
     """A key as text that is equal exactly when the keys are."""
     if kind in ("double", "float"):
@@ -134,6 +139,7 @@ def check_results(
     partition_col: str = "dt",
     broadcast_rows: int | None = None,
     aggregated: DataFrame | None = None,
+    raw: bool = False,
 ) -> DataFrame:
     """Results of every check on every requested partition of ``df``.
 
@@ -143,7 +149,9 @@ def check_results(
     get results, as empty partitions); a one-column DataFrame = the same,
     computed lazily (a small list: it is joined, and the fact semi-joined).
     ``aggregated``: the row count (``__n``) and the checks' aggregates (``agg_name``) of
-    each partition, if they are known without a scan; then ``df`` only gives the schema.
+    each partition, if they are known without a scan; then ``df`` only gives the schema,
+    and a check whose aggregates are not among them gets error rows.  ``raw`` returns these
+    columns themselves instead of results.
     Returns rows in ``RESULT_SCHEMA``.
     """
     spark = df.sparkSession
@@ -181,7 +189,11 @@ def check_results(
     # --- referential checks: broadcast when measured small, else pre-aggregate
     aggs: list[Column] = [F.count(F.lit(1)).alias(N)]
     base_fact = fact
-    refs = [(i, c) for i, c in plan.ok if isinstance(c, ReferentialCheck)]
+    if aggregated is not None:
+        have = set(aggregated.columns)
+        lost = [(i, c) for i, c in plan.ok if not {agg_name(i, x) for x in locals_of(c)} <= have]
+        plan = _Plan([x for x in plan.ok if x not in lost], plan.errors + lost)
+    refs = [(i, c) for i, c in plan.ok if isinstance(c, ReferentialCheck)] if aggregated is None else []
     sizes: list[tuple[int, int]] = []
     for i, c in list(refs):
         try:
@@ -225,6 +237,9 @@ def check_results(
         *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x) if x in counters else F.col(x) for x in stats.columns if x != partition_col],
     )
 
+    if raw:
+        return full
+
     # --- one struct per check, then long rows ------------------------------
     n = F.col(N)
     structs = []
