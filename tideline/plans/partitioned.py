@@ -12,19 +12,22 @@ statistics, and the other checks, scan the columns they need.
 
 ``isolated`` evaluates a plan that failed at run time piece by piece, until
 only the (check, partition) pairs at fault are left; these become error rows.
-For b bad partitions of n and k checks it takes some ``2 * b * (k + 1) * log2(n)`` jobs.
+For b bad pairs of n partitions and k checks it takes some ``k + 2 * b * log2(n)`` jobs, in ``2 + log2(n)`` rounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.checks import Check, NullRateCheck, VolumeCheck
+from tideline.plans.failures import DataError, tried
 from tideline.plans.fused import N, agg_name, check_results, error_results
+from tideline.session import materialize
 from tideline.sources.datasets import read_group, schema_groups, widest
 from tideline.sources.footers import counts
 from tideline.sources.store import RESULT_SCHEMA
@@ -81,31 +84,42 @@ def _from_footers(footers: DataFrame | None, schema: T.StructType, checks: Seque
 
 def isolated(
     make: Callable[[Sequence[Check], Sequence[str]], DataFrame], checks: Sequence[Check], values: Sequence[str],
-    error: Callable[[Sequence[Check], Sequence[str]], DataFrame],
-) -> list:
-    """Result rows of ``make(checks, values)``, with error rows for the pairs that fail."""
+    error: Callable[[Sequence[Check], Sequence[str]], DataFrame], parallel: int = 8,
+) -> list[DataFrame]:
+    """Written results of ``make(checks, values)`` in pieces, with error rows for the pairs that fail.
+
+    Group testing: what fails is cut by check, then by halves of its partitions; the
+    pieces of a round are tested at a time, in a scheduler pool of their own.  A failure
+    of the cluster is tried again and then raised (``plans.failures``); it makes no error rows.
+    """
+
+    def test(piece) -> DataFrame | None:
+        which, some = piece
+
+        def write():
+            df = make(which, some)
+            df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", "isolation")
+            return materialize(df, "isolated")
 
-    def rows(some_checks, some_values) -> list | None:
         try:
-            return make(some_checks, some_values).collect()  # a row for each check and partition
-        except Exception:  # noqa: BLE001 - whatever fails is narrowed down below
+            return tried(write)
+        except DataError:
             return None
 
-    if not checks or not values:
-        return []
-    out = rows(checks, values)
-    if out is not None:
-        return out
-    out, bad = [], list(checks)
-    if len(checks) > 1:
-        bad = []
-        for c in checks:
-            got = rows([c], values)
-            bad += [c] if got is None else []
-            out += got or []
-    if not bad:
-        return out
-    if len(values) == 1:
-        return out + error(bad, values).collect()
-    half = len(values) // 2
-    return out + isolated(make, bad, values[:half], error) + isolated(make, bad, values[half:], error)
+    out: list[DataFrame] = []
+    todo = [(list(checks), list(values))] if checks and values else []
+    with ThreadPoolExecutor(parallel) as pool:
+        while todo:
+            cut = []
+            for (which, some), got in zip(todo, pool.map(test, todo)):
+                if got is not None:
+                    out.append(got)
+                elif len(which) > 1:
+                    cut += [([c], some) for c in which]
+                elif len(some) > 1:
+                    half = len(some) // 2
+                    cut += [(which, some[:half]), (which, some[half:])]
+                else:
+                    out.append(error(which, some))
+            todo = cut
+    return out

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from tideline.operators.checks import Check
 from tideline.operators.rca import Analysis, analyze
+from tideline.plans.failures import DataError, tried
 from tideline.plans.fused import MAX_LITERAL_PARTITIONS, check_results, error_results
 from tideline.plans.partitioned import check_partitions, isolated
+from tideline.session import materialize
 from tideline.sources.lineage import LineageGraph
 from tideline.sources.partitions import list_partitions, partitions_frame
 from tideline.sources.store import CHECKPOINT_SCHEMA, RESULT_SCHEMA, ResultStore, checkpoints_from_results
@@ -165,6 +167,12 @@ class QualityRunner:
         return check_results(df, spec.checks, dataset=spec.name, run_id=run_id, run_ts=run_ts, partitions=listed,
                              extra_partitions=extra if listed is None else (), partition_col=spec.partition_col)
 
+    def _declared(self, *args):
+        try:
+            return self.piece(*args)
+        except ValueError as e:
+            return e
+
     def plan(
         self, specs: Sequence[DatasetSpec], run_id: str | None = None, run_ts=None
     ) -> tuple[DataFrame, list[str]]:
@@ -178,10 +186,10 @@ class QualityRunner:
         pieces, skipped = [], []
         for spec in specs:
             try:
-                p = self.piece(spec, run_id, run_ts, cps, hist)
-            except ValueError:
-                raise  # a mistake in the declaration, not in the data
-            except Exception:  # noqa: BLE001 - planning may read (listing, references): an error of this dataset alone
+                p = tried(lambda spec=spec: self._declared(spec, run_id, run_ts, cps, hist))
+                if isinstance(p, ValueError):
+                    raise p  # a mistake in the declaration, not in the data
+            except DataError:  # planning may read (listing, references): an error of this dataset alone
                 p = self._isolate(spec, run_id, run_ts, cps, hist)
             if p is None:
                 skipped.append(spec.name)
@@ -202,8 +210,9 @@ class QualityRunner:
         """Evaluate, persist, move checkpoints, diagnose.
 
         With a store, the run's results are written once and re-read, so the
-        checks are computed once however many reports follow.  If a fused pass
-        fails at execution time, the failing dataset alone is narrowed down
+        checks are computed once however many reports follow.  A failure of the cluster is
+        tried again, and then fails the run before any checkpoint moves.  If a fused pass
+        fails by its data, the failing dataset alone is narrowed down
         (``plans.partitioned.isolated``): the checks and partitions at fault get
         error rows, all others their results.
         """
@@ -213,8 +222,8 @@ class QualityRunner:
         results = self._union([p for _, p in pieces])
         if self.store is not None:
             try:
-                seq = self.store.save_results(results)
-            except Exception:  # noqa: BLE001 - isolate the failing dataset, then the failing checks and partitions
+                seq = tried(lambda: self.store.save_results(results))
+            except DataError:  # isolate the failing dataset, then the failing checks and partitions
                 seq = self.store.save_results(self._union([self._settled(spec, p, run_id, run_ts) for spec, p in pieces]))
             results = self.store.written(seq)
             self.store.update_checkpoints(checkpoints_from_results(results))
@@ -231,8 +240,8 @@ class QualityRunner:
     def _settled(self, spec: DatasetSpec, piece: DataFrame, run_id: str, run_ts) -> DataFrame:
         """The results of one dataset, kept as they are if they can be computed."""
         try:
-            return self.spark.createDataFrame(piece.collect(), RESULT_SCHEMA)  # a row for each check and partition
-        except Exception:  # noqa: BLE001
+            return tried(lambda: materialize(piece, "settled"))
+        except DataError:
             return self._isolate(spec, run_id, run_ts, self._checkpoints(), self._history())
 
     def _isolate(self, spec: DatasetSpec, run_id: str, run_ts, checkpoints: DataFrame, history: DataFrame) -> DataFrame:
@@ -242,12 +251,16 @@ class QualityRunner:
         def error(checks, values):
             return error_results(self.spark, checks, partitions=values, **options)
 
-        try:
+        def named():
             df, listed, extra = self.scope(spec, checkpoints, history)
             if listed is None:
                 p = F.col(spec.partition_col)
                 listed = sorted({r[0] for r in df.select(p.cast("string")).distinct().collect() if r[0] is not None} | set(extra))
-        except Exception:  # noqa: BLE001 - not even the partitions can be told: one error row for each check
+            return df, listed
+
+        try:
+            df, listed = tried(named)
+        except DataError:  # not even the partitions can be told: one error row for each check
             return error(spec.checks, [None])
 
         def make(checks, values):
@@ -255,4 +268,4 @@ class QualityRunner:
                 return check_partitions(self.spark, spec.path, checks, partitions=values, partition_col=spec.partition_col, **options)
             return check_results(df, checks, partitions=values, partition_col=spec.partition_col, **options)
 
-        return self.spark.createDataFrame(isolated(make, list(spec.checks), listed, error), RESULT_SCHEMA)
+        return self._union(isolated(make, list(spec.checks), listed, error))
