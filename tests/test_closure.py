@@ -78,3 +78,18 @@ def test_known_pairs_are_not_moved(spark):
     assert re.search(r"FileScan parquet .*closure_buckets.*Bucketed: true", plan)
     assert plan.count("Exchange hashpartitioning") == 1  # the new pairs, for their smallest depth
     every.close()
+
+
+def test_pages_of_a_hub_are_its_list(spark):
+    """A hub of 5,000 neighbours: pages of at most 100 names that join to the one-row listing."""
+    ups = {"hub": [f"u{i}" for i in range(250)]} | {f"d{i}": ["hub"] for i in range(5000)} | {"alone": []}
+    g = graph(spark, ups)
+    pages = lineage.listing_pages(g, size=100).collect()
+    assert max(p.n_names for p in pages) <= 100
+    joined = {}
+    for p in sorted(pages, key=lambda p: (p.dataset, p.list, p.page)):
+        joined.setdefault((p.dataset, p.list), []).append(p.names)
+    assert [p.page for p in sorted(pages, key=lambda p: p.page) if (p.dataset, p.list) == ("hub", "feeds_into")] == list(range(1, 52))
+    for row in lineage.listing(g).collect():
+        assert ", ".join(joined.get((row.dataset, "depends_on"), [])) == row.depends_on
+        assert ", ".join(joined.get((row.dataset, "feeds_into"), [])) == row.feeds_into

@@ -6,7 +6,7 @@ dataset's answer is a filter on them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.session import ensure_checkpoint_dir, materialize, scratch_dir
@@ -180,7 +180,8 @@ def all_downstream(g: LineageGraph, seeds: DataFrame | None = None) -> DataFrame
 def listing(g: LineageGraph) -> DataFrame:
     """One row per declared dataset (L6): source flag, depends-on, feeds-into.
 
-    Lists are rendered as ``", "``-joined text in declaration order.
+    Lists are rendered as ``", "``-joined text in declaration order; ``listing_pages``
+    gives the same lists without a giant row for a hub.
     """
     up = g.edges.groupBy("dataset").agg(
         F.array_join(
@@ -203,3 +204,25 @@ def listing(g: LineageGraph) -> DataFrame:
         F.coalesce("depends_on", F.lit("")).alias("depends_on"),
         F.coalesce("feeds_into", F.lit("")).alias("feeds_into"),
     )
+
+
+PAGE = 1000  # names on a page
+
+
+def listing_pages(g: LineageGraph, size: int = PAGE) -> DataFrame:
+    """``(dataset, list, page, n_names, names)``: the neighbours of each dataset in pages of at most ``size`` names.
+
+    ``list`` is ``depends_on`` or ``feeds_into``; pages count from 1 in declaration order, and
+    joined in that order their names are the text of ``listing``.  A page is a range of
+    ``size`` places in the declaration (of the upstreams, or of all datasets), so no
+    neighbour list is ever sorted or held as a whole; only its pages are numbered.
+    """
+    up = direct_upstream(g).select("dataset", F.lit("depends_on").alias("list"), "ord", F.col("upstream").alias("name"))
+    down = direct_downstream(g).select("dataset", F.lit("feeds_into").alias("list"), "ord", F.col("downstream").alias("name"))
+    declared = g.datasets.select("dataset").distinct()
+    both = up.unionByName(down).join(declared, "dataset", "left_semi").withColumn("__range", F.floor(F.col("ord") / size))
+    pages = both.groupBy("dataset", "list", "__range").agg(
+        F.count(F.lit(1)).alias("n_names"), F.array_sort(F.collect_list(F.struct("ord", "name"))).alias("__names"))
+    number = F.row_number().over(Window.partitionBy("dataset", "list").orderBy("__range"))
+    return pages.select("dataset", "list", number.cast("bigint").alias("page"), "n_names",
+                        F.array_join(F.transform("__names", lambda x: x["name"]), ", ").alias("names"))

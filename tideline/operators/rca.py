@@ -111,14 +111,15 @@ def _cause(df: DataFrame, cause_dataset: Column, reason: Column, conf: float, ki
     )
 
 
-def declared_order(declared: Mapping[str, Sequence[str]] | None, dataset: str, check: str) -> Column:
-    """A check's place among those declared for its dataset; the last place if it is not named."""
-    places = [(f"{d}\x1f{c}", i) for d, names in (declared or {}).items() for i, c in enumerate(names)]
+def with_declared_order(df: DataFrame, declared: Mapping[str, Sequence[str]] | None, dataset: str, check: str) -> DataFrame:
+    """``df`` and ``__declared``: a check's place among those declared for its dataset; the last place if it is not named."""
     last = F.lit(1 << 30)
+    places = [(d, c, i) for d, names in (declared or {}).items() for i, c in enumerate(dict.fromkeys(names))]
     if not places:
-        return last
-    table = F.create_map(*[F.lit(x) for place in places for x in place])
-    return F.coalesce(F.try_element_at(table, F.concat_ws("\x1f", F.col(dataset), F.col(check))), last)
+        return df.withColumn("__declared", last)
+    table = df.sparkSession.createDataFrame(places, "__of string, __check string, __place int")  # a row for each declared check
+    on = (F.col(dataset) == F.col("__of")) & (F.col(check) == F.col("__check"))
+    return df.join(table, on, "left").withColumn("__declared", F.coalesce("__place", last)).drop("__of", "__check", "__place")
 
 
 def suspected_causes(
@@ -227,11 +228,10 @@ def suspected_causes(
     causes = r2.unionByName(r3).unionByName(r4).unionByName(r5)
     kind_ord = F.when(F.col("kind") == "source", 0).when(F.col("kind") == "self", 2).otherwise(1)
     g = Window.partitionBy(*GROUP)
-    check_ord = declared_order(declared, "cause_dataset", "item")
-    insertion = g.orderBy(kind_ord, "upstream_ord", check_ord, "item", "reason")
-    ranked = g.orderBy(F.col("confidence").desc(), kind_ord, "upstream_ord", check_ord, "item", "reason")
-    return causes.select(
-        "*",
+    insertion = g.orderBy(kind_ord, "upstream_ord", "__declared", "item", "reason")
+    ranked = g.orderBy(F.col("confidence").desc(), kind_ord, "upstream_ord", "__declared", "item", "reason")
+    return with_declared_order(causes, declared, "cause_dataset", "item").select(
+        *causes.columns,
         F.row_number().over(insertion).cast("bigint").alias("cause_ord"),
         F.row_number().over(ranked).cast("bigint").alias("cause_rank"),
         F.when(F.col("confidence") > HIGH_CONFIDENCE, F.lit("high")).otherwise(F.lit("medium")).alias("band"),
@@ -262,7 +262,8 @@ def recommendations(failures: DataFrame, causes: DataFrame, declared: Mapping[st
         .when(F.col("check_type") == "volume", template(REC_VOLUME, dataset=F.col("dataset")))
         .when(F.col("check_type") == "referential", template(REC_REFERENTIAL, col=strip_prefix(name, REF_PREFIX)))
     )
-    per_check = f.select(*GROUP, F.lit(0).alias("__sec"), declared_order(declared, "dataset", "check_name").alias("__d"),
+    f = with_declared_order(f, declared, "dataset", "check_name")
+    per_check = f.select(*GROUP, F.lit(0).alias("__sec"), F.col("__declared").alias("__d"),
                          F.col("check_name").alias("__k"), F.lit(0).alias("__o"), text.alias("recommendation")).where(F.col("recommendation").isNotNull())
     per_cause = causes.where(F.col("cause_dataset") != F.col("dataset")).select(
         *GROUP, F.lit(1).alias("__sec"), F.lit(0).alias("__d"), F.lit("").alias("__k"), F.col("cause_ord").alias("__o"),

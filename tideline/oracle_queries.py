@@ -120,6 +120,15 @@ SQL["lineage_listing"] = with_fixtures(
          ON w.dataset = d.dataset"""
 )
 
+SQL["lineage_listing_pages"] = with_fixtures(
+    """SELECT dataset, list, row_number() OVER (PARTITION BY dataset, list ORDER BY place) AS page, n_names, names
+       FROM (SELECT n.dataset, list, n.ord // 1000 AS place, COUNT(*) AS n_names, string_agg(name, ', ' ORDER BY n.ord, name) AS names
+             FROM (SELECT dataset, 'depends_on' AS list, CAST(ord AS BIGINT) AS ord, upstream AS name FROM lin_edges
+                   UNION ALL
+                   SELECT e.upstream, 'feeds_into', x.decl_ord, e.dataset FROM lin_edges e JOIN lin_datasets x ON x.dataset = e.dataset) n
+             WHERE n.dataset IN (SELECT dataset FROM lin_datasets) GROUP BY ALL)"""
+)
+
 # --- baselines ------------------------------------------------------------
 _B = 'dataset, check_name, "partition", ROUND(baseline_mean, 9) AS baseline_mean, baseline_max, baseline_rows'
 SQL["baseline_window"] = with_fixtures(f"SELECT {_B} FROM b1", baseline_cte("b1", "res"))

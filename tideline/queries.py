@@ -315,6 +315,13 @@ def lineage_listing(spark, sf_dir):
     return listing(fx.lineage(spark, sf_dir))
 
 
+@query("lineage_listing_pages")
+def lineage_listing_pages(spark, sf_dir):
+    from tideline.operators.lineage import listing_pages
+
+    return listing_pages(fx.lineage(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------
 # baselines
 def _rounded(b):
