@@ -121,3 +121,37 @@ def test_long_partition_lists_use_a_semi_join(spark, monkeypatch):
     a = sorted((r.partition, r.metric_value) for r in short.collect())
     b = sorted((r.partition, r.metric_value) for r in long_.collect())
     assert a == b == [("d1", 10.0), ("d2", 10.0), ("zz", 0.0)]
+
+
+def test_integer_references_beyond_the_broadcast_bound_become_bitmaps(spark):
+    """Dense and negative keys, nulls and keys of other blocks; no exchange of the fact, same results as when shuffled."""
+    edges = [-(2**63), 2**63 - 1, -1, 0, 63, 64, 32767, 32768]
+    ref = spark.range(-70_000, 200_000, 3).selectExpr("cast(id as int) as k").union(spark.createDataFrame([(None,), (0,)], "k int"))
+    big = spark.createDataFrame([(e,) for e in edges], "k long")
+    fact = spark.range(-100_000, 300_000, 7).selectExpr("id as a", "if(id % 5 = 0, null, id) as b", "'p' || (id % 3) as dt")
+    fact = fact.union(spark.createDataFrame([(e + d, None, "x") for e in edges for d in (-1, 0, 1) if -(2**63) <= e + d < 2**63], fact.schema))
+    checks = [ReferentialCheck("a", ref, "k"), ReferentialCheck("b", big, "k"), VolumeCheck(1, 2)]
+
+    def rows(**kw):
+        df = check_results(fact, checks, dataset="d", run_id="r", run_ts="2024-01-01 00:00:00", **kw)
+        return sorted(map(tuple, df.collect())), df._jdf.queryExecution().optimizedPlan().toString()
+
+    got, plan = rows(broadcast_rows=5)
+    assert plan.count("words#") and "__key" not in plan
+    assert got == rows(broadcast_rows=0)[0] == rows()[0]
+    from tideline.operators.checks import orphan_rows
+
+    ways = [orphan_rows(fact, checks[0], n) for n in (0, 5, None)]
+    assert len({df.count() for df in ways}) == 1 and ways[1].exceptAll(ways[0]).isEmpty()
+    assert "words#" in ways[1]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_bitmap_is_counted_before_it_is_built(spark):
+    from tideline.plans.bitmaps import BLOCK_BYTES, key_blocks
+
+    dense = spark.range(1_000_000)
+    assert key_blocks(dense, 31 * BLOCK_BYTES).count() == 31
+    assert key_blocks(dense, 30 * BLOCK_BYTES) is None
+    sparse = spark.range(1000).selectExpr("id * 1000003 as id")
+    assert key_blocks(sparse, 900 * BLOCK_BYTES) is None
+    assert key_blocks(spark.range(0), BLOCK_BYTES).count() == 0

@@ -209,14 +209,23 @@ def orphan_rows(df: DataFrame, check: ReferentialCheck, broadcast_rows: int | No
 
     The reference side is reduced to its distinct non-null keys.  When an
     action has proved that set small it is broadcast, so the fact is never
-    shuffled and a hot key costs nothing extra; otherwise it is a shuffled
+    shuffled and a hot key costs nothing extra; a larger set of integers is broadcast as a
+    bitmap if that fits (``plans.bitmaps``); otherwise it is a shuffled
     ``left_anti`` join, where AQE splits a fact partition made large by one
     hot key across several tasks.
     """
-    from tideline.plans.broadcast import at_most, max_broadcast_rows
+    from tideline.plans import bitmaps
+    from tideline.plans.broadcast import at_most, max_broadcast_bytes, max_broadcast_rows
 
     keys = check.reference_keys("__rk")
     limit = max_broadcast_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
     if at_most(check.raw_keys(), limit):
         keys = F.broadcast(keys)
+    elif limit > 0 and bitmaps.is_integral(df, check.foreign_key) and bitmaps.is_integral(check.reference, check.reference_key):
+        blocks = bitmaps.key_blocks(check.raw_keys(), max_broadcast_bytes(df.sparkSession))
+        if blocks is not None:
+            blocks = F.broadcast(blocks.select(F.col("block").alias("__rk"), F.col("words").alias("__rw")))
+            key = df[check.foreign_key]
+            return df.join(blocks, bitmaps.block_of(key) == blocks["__rk"], "left").where(
+                ~bitmaps.has_key(key, F.col("__rw"))).select(*[df[c] for c in df.columns])
     return df.join(keys, df[check.foreign_key] == keys["__rk"], "left_anti")

@@ -11,7 +11,8 @@ Plan shape for a dataset with null, volume and referential checks::
 
 The fact is scanned once for all checks.  References whose key sets are too
 large to broadcast (all broadcast sides together are bounded in rows and bytes)
-are not joined row by row: one further scan, however many they are, reduces the
+become bitmaps if their keys are integers and the bitmap fits (``plans.bitmaps``).
+The others are not joined row by row: one further scan, however many they are, reduces the
 fact to ``(dt, check, key, count)`` by a partial aggregation (a hot key collapses to
 one row per task), and only those rows are shuffled against the union of the
 reference keys.  Rows with a NULL partition value form a partition of their own
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.checks import ERROR_METRIC, Check, ReferentialCheck
+from tideline.plans.bitmaps import BLOCK_BYTES, block_of, has_key, is_integral, key_blocks
 from tideline.plans.broadcast import fitting, max_broadcast_bytes, max_broadcast_rows, measure
 from tideline.sources.partitions import partitions_frame
 from tideline.sources.store import RESULT_SCHEMA
@@ -203,7 +205,18 @@ def check_results(
             plan.ok.remove((i, c))
             plan.errors.append((i, c))
     small = fitting(sizes, broadcast_rows, max_broadcast_bytes(spark))
-    shuffled = [x for k, x in enumerate(refs) if k not in small]
+    shuffled = []
+    room = max_broadcast_bytes(spark) - sum(sizes[k][1] for k in small)
+    for i, c in [x for k, x in enumerate(refs) if k not in small]:
+        whole = broadcast_rows > 0 and is_integral(fact, c.foreign_key) and is_integral(c.reference, c.reference_key)
+        blocks = key_blocks(c.raw_keys(), room) if whole else None
+        if blocks is None:
+            shuffled.append((i, c))
+            continue
+        room -= blocks.count() * BLOCK_BYTES
+        blocks = blocks.select(F.col("block").alias(f"__rk{i}"), F.col("words").alias(f"__rw{i}"))
+        fact = fact.join(F.broadcast(blocks), block_of(fact[c.foreign_key]) == blocks[f"__rk{i}"], "left")  # counted: within ``room``
+        aggs.append(F.count_if(~has_key(F.col(c.foreign_key), F.col(f"__rw{i}"))).alias(agg_name(i, "orphans")))
     for i, c in [x for k, x in enumerate(refs) if k in small]:
         keys = c.reference_keys(f"__rk{i}").withColumn(f"__rm{i}", F.lit(True))
         fact = fact.join(F.broadcast(keys), fact[c.foreign_key] == keys[f"__rk{i}"], "left")
