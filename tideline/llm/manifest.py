@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import importable, materialize, partitions, small
+from tideline.llm.common import importable, materialize, ranked, small
 
 LEVELS = 10  # levels of one slot array
 BLOCK = 1 << LEVELS
@@ -99,20 +99,6 @@ def word_of(column: str) -> Column:
     return F.coalesce(F.shiftright(F.col(column), 6), F.lit(NO_ID))
 
 
-def ranked(rows: DataFrame, *order: str) -> DataFrame:
-    """``rows`` and their rank from 0 in this order, in as many parts as they need; ties may span parts."""
-    tie = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1024))
-    keys = [*order, "tie"]
-    ranged = materialize(
-        rows.withColumn("tie", tie).repartitionByRange(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-        .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "ranked")
-    parts = ranged.groupBy("part").agg(F.count("*").alias("rows"), F.min("at").alias("first"))
-    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", "first", F.coalesce(F.sum("rows").over(w), F.lit(0)).alias("earlier"))
-    return ranged.join(F.broadcast(parts), "part").select(  # a row for each part
-        *rows.columns, (F.col("earlier") + F.col("at") - F.col("first")).alias("rank"))
-
-
 def coordinates(leaves: DataFrame) -> DataFrame:
     """``leaves`` (a written table) and the ``slot`` of each in its language, by rank queries."""
     words = materialize(directory(leaves), "directory")

@@ -11,9 +11,9 @@ If the cell of a splitter has come down to a single text hash (copies of one tex
 that are heavier than the tolerance), the search goes on over the id hashes in it;
 rows that agree in both are told apart no further.
 
-Slots are gapless from 0 in each shard: cells of a shard have at most some
-``ROWS_PER_CELL`` rows (copies of one text are dealt over several), their row counts are
-summed up, and rows are numbered inside a cell.
+Slots are gapless from 0 in each shard and follow (text hash, id hash, id), at every size
+and as ``write_shards`` writes: the keys are dealt by range into sorted parts (copies of one
+text span as many as they need), and a row's rank is that of its part's first row plus its place there.
 
 Edge cases: a null text has no bytes (size 1, checksum 0).  Null and repeated ids are
 rows like others.  Fewer rows than shards leave shards empty; an empty table
@@ -22,15 +22,14 @@ gives an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import materialize, pick, unique
+from tideline.llm.common import materialize, pick, ranked, unique
 
 SHARDS = 16
 CUTS = 64  # cells a bracket is cut into in each round
 TOLERANCE = 0.002  # of a shard's bytes
-ROWS_PER_CELL = 50_000
 TOP = 1 << 62  # keys are hashes of 62 bits
 
 
@@ -122,7 +121,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     keys = materialize(docs.select((F.octet_length(text) + 1).cast("long").alias("size"), k1.alias("k1"), k2.alias("k2")), "keys")
     of, a, b = "shard", unique("k1"), unique("k2")
     placed = docs.withColumn(of, _place(splitters(keys, shards), k1, k2)).withColumn(a, k1).withColumn(b, k2)
-    (placed.repartition(shards * files, of, F.pmod(F.col(a), F.lit(files))).sortWithinPartitions(of, a, b).drop(a, b)
+    (placed.repartition(shards * files, of, F.pmod(F.col(a), F.lit(files))).sortWithinPartitions(of, a, b, f"`{id_col}`").drop(a, b)
      .write.partitionBy(of).parquet(path))
 
 
@@ -135,17 +134,10 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), k1.alias("k1"), k2.alias("k2"))
     rows = materialize(rows, "keys")
     cuts = splitters(rows, shards)
-    n = rows.count()
-    ranges = max(1, n // ROWS_PER_CELL)
-    rows = rows.withColumn("shard", _place(cuts, F.col("k1"), F.col("k2")))
-    # cells follow the text hash; copies of one text are dealt over as many cells by the id's hash
-    cell = F.struct(F.expr(f"k1 div {TOP // ranges + 1}L").alias("a"), F.pmod("k2", F.lit(min(ranges, 64))).alias("b"))
-    rows = rows.withColumn("cell", cell)
-    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("shard", "cell").count().select(
-        "shard", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "cell").orderBy("k1", "k2", "doc_id")
-    numbered = rows.withColumn("at", F.row_number().over(inside) - 1).join(starts, ["shard", "cell"])
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                           (F.col("start") + F.col("at")).cast("long").alias("slot"),
-                           F.lit(None).cast("int").alias("grown_shard"))
+    placed = rows.withColumn("shard", _place(cuts, F.col("k1"), F.col("k2")))
+    # the shard grows with the keys, so the rank over all rows less that of the shard's first row is the slot
+    numbered = materialize(ranked(placed, "k1", "k2", "doc_id"), "ranked-keys")
+    starts = numbered.groupBy("shard").agg(F.min("rank").alias("start"))
+    return numbered.join(F.broadcast(starts), "shard").select(  # a row for each shard
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        (F.col("rank") - F.col("start")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
