@@ -48,6 +48,23 @@ def test_stages(spark, docs, rows, tmp_root):
         assert ids(out) == sorted((r[0] for r in left), key=repr), name
 
 
+def test_one_of_each_group_stays_under_repeated_and_null_ids(spark):
+    """Near-copies of different text that share an id, or have none, are one group of which one stays."""
+    words = [f"w{i}" for i in range(60)]
+    copies = [" ".join([*words, f"end{k}"]) for k in range(4)]
+    other = " ".join(f"x{i}" for i in range(40))
+    rows = [(7, copies[0]), (7, copies[1]), (7, copies[1]), (None, copies[2]), (9, copies[3])]
+    rows += [(None, other), (None, other + " y"), (None, " ".join(f"z{i}" for i in range(30))), (7, "no copy of any " * 5), (8, None), (8, None)]
+    docs = fx.frame(spark, [(i, t, "en", "s") for i, t in rows])
+    out = cp.near_duplicate_stage(spark, docs, SF)
+    left = [(r["doc_id"], r["text"]) for r in out.collect()]
+    group = [r for r in left if r[1] in copies]
+    assert len(group) == 1 and group[0] in ((7, copies[0]), (7, copies[1]))
+    assert len([r for r in left if r[1] in (other, other + " y")]) == 1
+    assert len(left) == 6 and left.count((8, None)) == 2
+    assert out.columns == docs.columns
+
+
 def test_stages_on_an_empty_table(spark, no_docs, tmp_root):
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{tmp_root}/benchmark.parquet")
     for _, stage in cp.STAGES:

@@ -223,7 +223,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sets of the ``wanted`` class representatives, made from their texts again."""
     side = small(wanted)
     chosen = (docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).alias("d")
-              .join(side.alias("w"), F.expr("d.text_hash = w.rep_hash and d.doc_id <=> w.rep_id")))
+              .join(side.alias("w"), F.expr("d.text_hash = w.rep.text_hash and d.doc_id <=> w.rep.doc_id")))
 
     def build(batches):
         table = tx.space_words()
@@ -265,14 +265,18 @@ def settle_blocks(sets: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row for each document: ``doc_id, text_hash, n_shingles, component_id, kept``."""
+    """One row for each document: ``doc_id, text_hash, n_shingles, component_id, kept, chosen``.
+
+    ``chosen`` marks one document of each component by (doc_id, null last, and text hash), so also where ids repeat or
+    are null; rows alike in both are all marked, and so are texts without words.
+    """
     docs = pick(docs, doc_id=id_col, text=text_col)
     signed = materialize(signatures(docs), "signatures")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     classes = materialize(
         signed.where("n > 0").groupBy("fp").agg(rep.alias("rep"), F.first("sig").alias("sig"), F.first("n").alias("n"))
         .select("fp", F.conv(F.hex(F.substring("fp", 1, 7)), 16, 10).cast("long").alias("node"), "sig", "n",
-                F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")), "classes")
+                F.col("rep").alias("rep")), "classes")
 
     bucketed = keys(classes)
     heads = bucketed.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("rows")).where("rows > 1")
@@ -289,12 +293,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = found.unionByName(settle_blocks(full_sets(docs, wanted.join(blocks, "root", "left_semi")), blocks))
     parts = components(found)
 
-    of_class = (classes.select("fp", "rep_id").join(parts, F.col("fp") == F.col("node"), "left")
-                .select("fp", "rep_id", F.coalesce("root", "fp").alias("root")))
-    named = of_class.groupBy("root").agg(F.min("rep_id").alias("component_id"))
-    of_class = of_class.join(named, "root").select("fp", "component_id")
-    linked = signed.where("n > 0").join(of_class, "fp").select("doc_id", "text_hash", "n", "component_id")
-    alone = signed.where("n = 0").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
+    of_class = (classes.select("fp", "rep").join(parts, F.col("fp") == F.col("node"), "left")
+                .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    named = of_class.groupBy("root").agg(F.min("rep").alias("first"))
+    of_class = of_class.join(named, "root").select("fp", "first")
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
+    linked = signed.where("n > 0").join(of_class, "fp").select(
+        "doc_id", "text_hash", "n", F.col("first.doc_id").alias("component_id"), chosen.alias("chosen"))
+    alone = signed.where("n = 0").select(
+        "doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("chosen"))
     return linked.unionByName(alone).select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "chosen")

@@ -65,7 +65,7 @@ from words left join covered using (doc_id) left join items using (doc_id)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.neardup import near_duplicates
 
-    return near_duplicates(documents(spark, sf_dir)).drop("text_hash")
+    return near_duplicates(documents(spark, sf_dir)).drop("text_hash", "chosen")
 
 
 ORACLE["op3_near_duplicates"] = r"""
