@@ -36,10 +36,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; of rows alike in id and text, one."""
+    """One document of each group of near-duplicates, also where ids repeat or are null; of rows alike in id and text, one."""
     judged = materialize(near_duplicates(docs), "near")
-    kept = without(docs, judged.where(~F.col("kept")))
-    again = materialize(judged.where("kept and n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1"), "again")
+    kept = without(docs, judged.where(~F.col("chosen")))
+    again = materialize(judged.where("chosen and n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1"), "again")
     if again.isEmpty():
         return kept
     repeated = kept.alias("d").join(small(again).alias("g"), F.expr(SAME), "left_semi")
