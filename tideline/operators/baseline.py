@@ -29,17 +29,21 @@ ORDER = ("partition", "timestamp", "run_id", "metric_value")
 
 
 def baseline(
-    history: DataFrame, window: int = DEFAULT_WINDOW, exclude_errors: bool = False, block_rows: int = BLOCK_ROWS
+    history: DataFrame, window: int = DEFAULT_WINDOW, exclude_errors: bool = False, block_rows: int = BLOCK_ROWS,
+    counted: int | None = None,
 ) -> DataFrame:
     """``(dataset, check_name, partition, baseline_mean, baseline_max, baseline_rows)``.
 
     Partitions with no earlier rows get ``baseline_rows = 0`` and NULL stats.
     ``exclude_errors`` leaves error rows (metric -1.0) out of the window (by
     default they count, as in the reference); a partition with nothing but
-    error rows then has no baseline row.
+    error rows then has no baseline row.  ``counted`` is a number of rows that the caller has
+    counted and that ``history`` does not exceed; a small one saves the write.
     """
     if exclude_errors:
         history = history.where(F.col("metric_value") != F.lit(ERROR_METRIC))
+    if counted is not None and counted <= block_rows:
+        return _at_first_rows(history.select(*KEY, *ORDER), list(KEY), window)
     seen = Observation()
     h = materialize(history.select(*KEY, *ORDER).observe(seen, F.count(F.lit(1)).alias("rows")), "baseline-history")
     rows = seen.get["rows"]

@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalar import fixed, percent, py_float_text, strip_prefix, template
@@ -130,6 +130,7 @@ def suspected_causes(
     upstream_runs: str = "all",
     exclude_errors: bool = False,
     declared: Mapping[str, Sequence[str]] | None = None,
+    counted: int | None = None,
 ) -> DataFrame:
     """``(run_id, dataset, partition, cause_dataset, reason, confidence, kind,
     upstream_ord, item, cause_ord, cause_rank, band)`` (R1-R5, R9).
@@ -140,7 +141,7 @@ def suspected_causes(
     ``upstream_runs="all"`` (default, as the reference) counts upstream
     failures of every run of the partition; ``"latest"`` only those of the
     upstream's most recent run of it.  ``exclude_errors`` keeps error rows out
-    of the baselines.
+    of the baselines.  ``counted``: the rows of ``results``, if they have been counted.
     """
     fails = results.where(~F.col("passed")) if failures is None else failures
     fails = fails.select(*GROUP, "check_name", "check_type", "metric_value", "threshold")
@@ -196,7 +197,7 @@ def suspected_causes(
     )
     # baselines only for the upstreams R4 will look at, not the whole history
     relevant = clean.select(F.col("upstream").alias("dataset")).distinct()
-    base = baseline(results.join(relevant, "dataset", "left_semi"), window, exclude_errors)
+    base = baseline(results.join(relevant, "dataset", "left_semi"), window, exclude_errors, counted=counted)
     base = base.withColumnRenamed("dataset", "upstream")
     r4_rows = (
         clean.join(current, ["upstream", "partition"])
@@ -314,9 +315,11 @@ def analyze(
             looked_at = failures.select("dataset").distinct().join(graph.edges.select("dataset", "upstream"), "dataset").select(
                 F.col("upstream").alias("dataset")).distinct()
             results = results.join(looked_at, "dataset", "left_semi")
-        results = write_back(results, "rca-history")
+        seen = Observation()
+        results = write_back(results.observe(seen, F.count(F.lit(1)).alias("rows")), "rca-history")
     fails = results.where(~F.col("passed")) if failures is None else failures
-    causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors, declared)
+    causes = suspected_causes(results, graph, fails, window, upstream_runs, exclude_errors, declared,
+                              seen.get["rows"] if materialize else None)
     if materialize:  # read by causes, recommendations and MTTR
         causes = write_back(causes, "rca-causes")
     targets = fails.select(*GROUP).distinct()
