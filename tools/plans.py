@@ -13,10 +13,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    from pyspark.sql import functions as F
+
+    from tideline.operators.baseline import baseline
     from tideline.operators.checks import ReferentialCheck, orphan_rows
     from tideline.plans import fixtures as fx
     from tideline.plans.fused import check_results
-    from tideline.operators.lineage import all_upstream
+    from tideline.plans.partitioned import check_partitions
+    from tideline.operators.lineage import _Levels, all_upstream
     from tideline.operators.rca import analyze
     from tideline.queries import REGISTRY, raw_on_disk
     from tideline.session import local_session, scratch_dir
@@ -28,6 +32,10 @@ def main() -> None:
     root = raw_on_disk(spark, sf)
     store = ResultStore(spark, scratch_dir(spark, "plans-store"))
     store.update_checkpoints(checkpoints_from_results(store.written(store.save_results(fx.res(spark, sf)))))
+    graph = fx.lineage(spark, sf)
+    rounds = _Levels(spark, bucket_pairs=1)
+    rounds.add(graph.edges.selectExpr("dataset as __a", "upstream as __b", "1 as __d").distinct(), 1)
+    onward = rounds.files[0].alias("x").join(rounds.steps[0].alias("y"), F.expr("x.__b = y.__a")).selectExpr("x.__a", "y.__b", "2 as __d")
     shown = {
         "Fused checks on an on-disk dataset after the watermark (dt > 2024-01-20)": check_results(
             read_dataset(spark, root).where("dt > '2024-01-20'"), fx.order_checks(fx.ref(spark, sf)),
@@ -41,7 +49,12 @@ def main() -> None:
         "Latest results of the store": store.results(),
         "Root causes of a stored run": analyze(store.results(), fx.reference_lineage(spark),
                                                failures=store.results().where("not passed")).causes,
-        "All upstream datasets": all_upstream(fx.lineage(spark, sf)),
+        "All upstream datasets": all_upstream(graph),
+        "A closure round on bucketed pairs: nothing is exchanged under the known sides": rounds.unknown(onward),
+        "Null-rate and volume checks from footers": check_partitions(
+            spark, root, [c for c in fx.order_checks(fx.ref(spark, sf)) if c.check_type in ("null_check", "volume")],
+            dataset=fx.ORDERS, partitions=list_partitions(spark, root), run_id="r"),
+        "Baselines of a long history, in blocks with halo rows": baseline(store.results(), block_rows=50),
         "Orphan rows (C4)": orphan_rows(fx.bad(spark, sf), ReferentialCheck("product_id", fx.ref(spark, sf))),
     }
     print("# Physical plans of the headline queries\n")
