@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import fixture_docs as fx
 import numpy as np
@@ -277,26 +278,70 @@ def test_quality_empty(no_docs):
 
 
 # ---- licenses
+def plain_scan(text, templates=None):
+    """Every window that begins at a bigram of the template, counted by itself."""
+    w = re.findall("[a-z0-9]+", re.sub("[^A-Za-z0-9]", " ", text or "").lower())
+    b = [f"{x} {y}" for x, y in zip(w, w[1:])]
+    best = []
+    for t, (name, has) in enumerate(licenses.known_templates(templates or licenses.TEMPLATES)):
+        size, total = min(has.total(), len(b)), has.total()
+        starts = sorted({min(p, len(b) - size) for p, x in enumerate(b) if x in has})
+        hits = [(s, (Counter(b[s : s + size]) & has).total()) for s in starts]
+        chains = []
+        for s, shared in hits:
+            if 200 * shared >= licenses.THRESHOLD * (size + total):
+                if not chains or s - chains[-1][-1][0] >= size:
+                    chains.append([])
+                chains[-1].append((s, shared))
+        for chain in chains:
+            s, shared = max(chain, key=lambda x: (x[1], -x[0]))
+            best.append((Fraction(2 * shared, size + total), s, s + size, name))
+    found = [x for x in best if not any(y[1] <= x[1] + (x[2] - x[1] - 1) // 2 < y[2] and y[0] > x[0] for y in best)]
+    return (len(w), len(found), ",".join(sorted({x[3] for x in found})), max((round(float(x[0]), 6) for x in found), default=0.0),
+            sorted({(x[3], x[1], x[2] + 1) for x in found}))
+
+
+def scanned(frame):
+    return sorted(((*r[:5], [tuple(s) for s in r["spans"]]) for r in frame.collect()), key=repr)
+
+
 def test_licenses(docs, rows):
-    def scan(text):
-        lines = (text or "").split("\n")
-        units = lines + ([" ".join(lines)] if len(lines) > 1 else [])
-        names, best, matched = set(), 0.0, 0
-        for u in units:
-            w = re.findall("[a-z0-9]+", re.sub("[^A-Za-z0-9]", " ", u).lower())
-            b = {f"{x} {y}" for x, y in zip(w, w[1:])}
-            dice = {k: 2 * len(b & set(licenses.template_bigrams(t))) / (len(b) + len(licenses.template_bigrams(t)))
-                    for k, t in licenses.TEMPLATES.items()}
-            top = max(dice.values())
-            if top >= licenses.THRESHOLD / 100:
-                matched += 1
-                names |= {k for k, v in dice.items() if v == top}
-                best = max(best, round(top, 6))
-        return matched, ",".join(sorted(names)), best
-
-    got = by_repr(licenses.scan(docs).select("doc_id", "n_matched", "licenses", "best_dice"))
-    assert got == sorted(((r[0], *scan(r[1])) for r in rows), key=repr)
-    assert any("Apache-2.0" in r[2] for r in got)
+    got = scanned(licenses.scan(docs))
+    assert got == sorted(((r[0], *plain_scan(r[1])) for r in rows), key=repr)
+    assert any("Apache-2.0" in r[3] for r in got)
+
+
+def test_licenses_stand_anywhere_in_a_text(spark):
+    rng = random.Random(11)
+    prose = lambda n: " ".join(rng.choice(["the", "of", "this", "software", "river", "is", "and", "old", "in", "any"]) for _ in range(n))
+    texts = licenses.TEMPLATES
+    mit, apache, gpl = texts["MIT"][1], texts["Apache-2.0"][1], texts["GPL-3.0"][1]
+    changed = mit.replace("sublicense, and/or sell", "and sell").replace("THE AUTHORS OR", "ACME OR")
+    wrapped = " # " + "\n # ".join(gpl.split(" "))
+    cases = [
+        ("MIT", "Copyright 2020 someone\n" + mit), ("MIT", prose(300) + changed + prose(500)),
+        ("MIT", f"{prose(30)} released under the MIT License. {prose(20)}"),
+        ("GPL-3.0", prose(10) + "\n" + wrapped + prose(90)),
+        ("GPL-3.0", "x This work is licensed under the GNU General\nPublic License,\n  version 3 " + prose(9)),
+        ("Apache-2.0,MIT", mit + apache), ("Apache-2.0,MIT", prose(5) + apache + prose(2) + mit + apache + mit),
+        ("MIT", "Released under the MIT License\n" * 40),
+        *[(name, prose(40) + " " + text + " " + prose(40)) for name, all_of in texts.items() for text in all_of],
+        ("", prose(4000)), ("", mit[:300]), ("", None), ("", "MIT"), ("MIT", "Released under the MIT License")]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = scanned(licenses.scan(frame))
+    assert got == sorted(((i, *plain_scan(t)) for i, (_, t) in enumerate(cases)), key=repr)
+    assert [r[3] for r in sorted(got)] == [name for name, _ in cases]
+
+
+def test_licenses_windows_on_few_words(spark):
+    """Words that repeat within templates and texts, templates longer than a text, and some without a bigram."""
+    rng = random.Random(5)
+    some = lambda most: " ".join(rng.choice("aabc") for _ in range(rng.randint(0, most)))
+    templates = {f"t{i}": (some(12), some(5)) for i in range(12)}
+    texts = [(i, some(rng.choice([4, 12, 60]))) for i in range(400)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    assert scanned(licenses.scan(frame, templates=templates)) == sorted(((i, *plain_scan(t, templates)) for i, t in texts), key=repr)
+    assert {r[2] for r in scanned(licenses.scan(frame, templates={"one": "word", "none": ()}))} == {0}
 
 
 def test_licenses_near_match(spark, no_docs):

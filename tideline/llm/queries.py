@@ -119,40 +119,36 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.llm.licenses import scan
 
-    return scan(documents(spark, sf_dir))
+    return scan(documents(spark, sf_dir)).drop("spans")
 
 
 def _license_sql() -> str:
-    from tideline.llm.licenses import TEMPLATES, THRESHOLD, template_bigrams
+    from tideline.llm.licenses import TEMPLATES, THRESHOLD, known_templates
 
-    rows = ", ".join(f"('{k}', [{', '.join(repr(b) for b in template_bigrams(v))}])" for k, v in TEMPLATES.items())
+    rows = ", ".join(f"({t}, '{name}', '{b}', {c}, {has.total()})"
+                     for t, (name, has) in enumerate(known_templates(TEMPLATES)) for b, c in has.items())
     return rf"""
-with templates(name, has) as (values {rows}),
-plain as (select doc_id, row_number() over () as r,
-                 lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\n]+', ' ', 'g')) as t from documents),
-units as (
-  select r, unnest(string_split(t, chr(10))) as u from plain
-  union all
-  select r, replace(t, chr(10), ' ') from plain where contains(t, chr(10))),
-numbered as (select r, row_number() over () as k, regexp_extract_all(u, '[a-z0-9]+') as w from units),
-sets as (
-  select r, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b
-  from numbered where len(w) > 1),
-sized as (
-  select * from sets
-  where len(b) >= (select min(ceil({THRESHOLD} * len(has) / (200.0 - {THRESHOLD}))) from templates)
-    and len(b) <= (select max(floor((200 - {THRESHOLD}) * len(has) / {THRESHOLD}.0)) from templates)),
-found as (
-  select r, k, name, 2 * len(list_intersect(b, has)) as twice, len(b) + len(has) as both_sizes
-  from sized, templates where 100 * 2 * len(list_intersect(b, has)) >= {THRESHOLD} * (len(b) + len(has))
-  qualify twice / both_sizes = max(twice / both_sizes) over (partition by r, k)),
-per_doc as (
-  select r, count(distinct k) as n_matched, array_to_string(list_sort(list(distinct name)), ',') as licenses,
-         max(round(twice / both_sizes, 6)) as best_dice from found group by r),
-n as (select r, count(*) as n_units from sized group by r)
-select doc_id, cast(coalesce(n_units, 0) as bigint) as n_units, cast(coalesce(n_matched, 0) as bigint) as n_matched,
+with templates(t, name, b, c, l) as (values {rows}),
+words as (select doc_id, row_number() over () as r,
+                 regexp_extract_all(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]', ' ', 'g')), '[a-z0-9]+') as w from documents),
+bigrams as (select r, len(w) - 1 as n, unnest(range(0, len(w) - 1)) as p,
+                   unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from words where len(w) > 1),
+hits as (select r, n, t, l, p, b, c, least(l, n) as z from bigrams join templates using (b)),
+starts as (select distinct r, t, l, z, least(p, n - z) as s from hits),
+counted as (select x.r, x.t, x.l, x.z, x.s, h.b, least(count(*), any_value(h.c)) as k
+            from starts x join hits h on h.r = x.r and h.t = x.t and h.p >= x.s and h.p < x.s + x.z group by all),
+matches as (select r, t, l, z, s, cast(sum(k) as bigint) as k from counted group by all having 200 * sum(k) >= {THRESHOLD} * (z + l)),
+chains as (select *, sum(apart) over (partition by r, t order by s) as chain from (
+  select *, case when s - lag(s) over (partition by r, t order by s) < z then 0 else 1 end as apart from matches)),
+best as (select * from chains qualify row_number() over (partition by r, t, chain order by k desc, s) = 1),
+found as (select r, t, 2 * k / (z + l) as dice from best a where not exists (
+  select 1 from best b where b.r = a.r and b.s <= a.s + (a.z - 1) // 2 and a.s + (a.z - 1) // 2 < b.s + b.z
+                         and b.k * (a.z + a.l) > a.k * (b.z + b.l))),
+per_doc as (select r, count(*) as n_matched, array_to_string(list_sort(list(distinct name)), ',') as licenses,
+                   max(round(dice, 6)) as best_dice from found join (select distinct t, name from templates) using (t) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_matched, 0) as bigint) as n_matched,
        coalesce(licenses, '') as licenses, coalesce(best_dice, 0.0) as best_dice
-from plain left join n using (r) left join per_doc using (r)
+from words left join per_doc using (r)
 """
 
 
