@@ -59,3 +59,17 @@ def ranked(rows: DataFrame, *order: str) -> DataFrame:
     parts = parts.select("part", "first", F.coalesce(F.sum("rows").over(w), F.lit(0)).alias("earlier"))
     return ranged.join(F.broadcast(parts), "part").select(  # a row for each part
         *rows.columns, (F.col("earlier") + F.col("at") - F.col("first")).alias("rank"))
+
+
+def merged_spans(spans: DataFrame, *key: str) -> DataFrame:
+    """``spans`` (``start, stop``) of each ``key`` as one sorted array; those that overlap or touch become one.
+
+    One pass along the sorted spans, so the time does not depend on how many stay apart.
+    """
+    along = Window.partitionBy(*key).orderBy("start")
+    reach = F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("start") > reach, F.lit(True)).cast("long")
+    runs = spans.select(*key, "start", "stop", apart.alias("apart")).withColumn("run", F.sum("apart").over(
+        along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return runs.groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import text as tx
-from tideline.llm.common import materialize, pick
+from tideline.llm.common import materialize, merged_spans, pick
 
 WINDOW = 10
 SHINGLE = 3
@@ -202,16 +202,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .select("row", "start", "w", "window"))
     hits = materialize(hits, "hits")
 
-    spans = hits.groupBy("row").agg(F.sort_array(F.collect_set(
-        F.struct("start", (F.col("start") + F.col("w")).alias("stop")))).alias("all"))
-    merged = F.expr("""
-        aggregate(all, cast(array() as array<struct<start: bigint, stop: bigint>>), (got, x) ->
-            case when size(got) > 0 and element_at(got, -1).stop >= x.start
-                 then concat(slice(got, 1, size(got) - 1),
-                             array(named_struct('start', element_at(got, -1).start,
-                                                'stop', greatest(element_at(got, -1).stop, x.stop))))
-                 else concat(got, array(x)) end)""")
-    spans = spans.select("row", merged.alias("spans"))
+    spans = merged_spans(hits.select("row", "start", (F.col("start") + F.col("w")).alias("stop")), "row")
     ids = (hits.select("row", "window").distinct().join(windows.select("window", "item_id").distinct(), "window")
            .groupBy("row").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     none = F.lit(None).cast("array<struct<start: bigint, stop: bigint>>")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import text as tx
-from tideline.llm.common import materialize, partitions, pick, small
+from tideline.llm.common import materialize, merged_spans, partitions, pick, small
 
 LENGTH = 400
 GRAM = 100
@@ -357,15 +357,7 @@ def covered(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
         reach = reach.unionByName(scan_crowds(crowds))
     spans = found.join(reach, ["gram", "context"]).select(
         "t1", "t2", (F.col("place") - F.col("lo")).alias("start"), (F.col("place") + F.col("hi")).alias("stop"))
-    merged = F.expr("""
-        aggregate(all, cast(array() as array<struct<start: int, stop: int>>), (got, x) ->
-            case when size(got) > 0 and element_at(got, -1).stop >= x.start
-                 then concat(slice(got, 1, size(got) - 1),
-                             array(named_struct('start', element_at(got, -1).start,
-                                                'stop', greatest(element_at(got, -1).stop, x.stop))))
-                 else concat(got, array(x)) end)""")
-    return spans.groupBy("t1", "t2").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("all")).select(
-        "t1", "t2", merged.alias("spans"))
+    return merged_spans(spans, "t1", "t2")
 
 
 def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
