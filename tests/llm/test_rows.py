@@ -273,6 +273,47 @@ def test_quality_judges_small_sources_by_all_of_their_language(spark):
     assert sorted(r["doc_id"] for r in got if not r["kept"]) == [401, 402, 404, 405]
 
 
+def test_quality_estimate_has_the_least_determinant(spark):
+    """Against concentration from many random starts, by sorting."""
+    rng = np.random.default_rng(4)
+    groups = {}
+    for g in range(3):
+        clean = np.abs(rng.multivariate_normal([5, 1, 0.1, 0.2], np.diag([0.3, 0.04, 0.0004, 0.002]) + 0.002, 300))
+        near = np.abs(rng.normal([7, 2, 0.3, 0.1], [0.05, 0.02, 0.01, 0.01], (120 if g else 0, 4)))  # tight outliers draw a start in
+        far = rng.uniform(0, 30, (60 if g == 2 else 0, 4))
+        groups[g] = np.concatenate([clean, near, far])
+    frame = spark.createDataFrame([(g, *map(float, v)) for g, x in groups.items() for v in x], "g long, v0 double, v1 double, v2 double, v3 double")
+    got = {r["g"]: r for r in quality.estimates(frame).collect()}
+    floor = np.diag(np.square(quality.FLOORS))
+    for g, x in groups.items():
+        h, best = math.ceil(quality.CORE * len(x)), math.inf
+        for _ in range(150):
+            core = x[rng.choice(len(x), 6, replace=False)]
+            for _ in range(60):
+                away = x - core.mean(0)
+                d = np.einsum("ij,jk,ik->i", away, np.linalg.inv(np.cov(core.T, bias=True) + floor), away)
+                core = x[np.argsort(d, kind="stable")[:h]]
+            best = min(best, np.linalg.slogdet(np.cov(core.T, bias=True) + floor)[1])
+        assert abs(got[g]["log_det"] - best) < 0.15, (g, got[g]["log_det"], best)
+        assert abs(got[g]["m0"] - 5) < 0.2 and abs(got[g]["m2"] - 0.1) < 0.02
+
+
+def test_quality_rejects_by_each_coordinate_alone(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    lines = lambda n: [" ".join(word() for _ in range(8)) for _ in range(n)]
+    rows = [(i, "\n".join(lines(40)), "en", "a") for i in range(300)]
+    rows.append((300, "\n".join(x + "\n" + " ".join(word() for _ in range(3)) + "\n" + "the end" for x in lines(25)), "en", "a"))  # lines
+    repeated = " ".join(lines(7))
+    rows.append((301, "\n".join([*lines(70)[:64], repeated, repeated]), "en", "a"))  # 18 % of the words in repeated windows
+    rows.append((302, " ".join(word() + "|" for _ in range(200)), "en", "a"))
+    rows.append((303, " ".join(word() * 3 for _ in range(200)), "en", "a"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.quality(frame).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert sorted(r["doc_id"] for r in got if not r["kept"]) == [300, 301, 302, 303]
+
+
 def test_quality_empty(no_docs):
     assert quality.quality(no_docs).count() == 0
 

@@ -11,13 +11,15 @@ language and source, made of the documents that have not failed:
 1. The statistics become a vector: characters, symbols, repeated lines and
    repeated words per word, each shrunk to the median of the group by ``PRIOR`` words, so
    that a short text is not extreme by chance; the symbols' rate by log1p.
-2. Start: medians and quartiles of each coordinate.
-3. Concentration steps: the ``CORE`` share of the documents nearest by Mahalanobis
-   distance gives the next mean and covariance (never below ``FLOORS`` on the diagonal).
+2. Starts: medians with quartiles of each coordinate; mean and covariance of all; the spatial signs'
+   covariance; the correlations of the coordinates' hyperbolic tangents.
+3. Concentration steps from each start: the ``CORE`` share of the documents nearest by Mahalanobis
+   distance gives the next mean and covariance (``FLOORS`` squared added on the diagonal), as long as a step lowers
+   the logarithm of the determinant by more than ``DROP``.  The estimate of the least determinant of all stands.
 4. The covariance is scaled so that the median distance is that of a normal law.
    A document farther than ``CUTOFF`` is rejected.
 
-Quantiles come from counts of fixed bins, so reruns agree and no group is gathered in one
+Quantiles come from counts of fixed bins, a fiftieth of a floor wide near zero and 2 % of the value far from it, so reruns agree and no group is gathered in one
 task.  A group of fewer than ``LEAST`` documents is judged by the estimate of its
 language, or of all documents, each made of all documents of that level; if these are fewer too,
 nothing is rejected.
@@ -38,10 +40,10 @@ SEPARATORS = "[\\x20\\x09-\\x0D]+"
 WINDOW = 5
 PRIOR = 50.0
 CORE = 0.55  # just over one half: up to 45 % of a group may be outliers
-STEPS = 3
+DROP = 0.001
 LEAST = 100
 CUTOFF = 5.0
-FLOORS = (0.25, 0.06, 0.05, 0.05)  # least standard deviation of each coordinate
+FLOORS = (0.25, 0.06, 0.01, 0.025)  # least standard deviation of each coordinate; CUTOFF of them lie within its range
 NORMAL_MEDIAN = 3.357  # of the squared distance in four dimensions
 BINS = 50  # bins for a standard deviation, or for a factor e of squared distance
 DIMS = len(FLOORS)
@@ -112,13 +114,23 @@ def quantiles(binned: DataFrame, shares: dict[str, float]) -> DataFrame:
         *[F.min(F.when(F.col("below") >= share * F.col("all"), F.col("bin"))).alias(name) for name, share in shares.items()])
 
 
+def _level(value: Column, floor: float) -> Column:
+    """The bin of a value from 0 on; their number grows with the logarithm of the greatest."""
+    return F.floor(F.log1p(value / floor) * BINS).cast("long")
+
+
+def _value(level: Column, floor: float) -> Column:
+    return F.expm1(level / BINS) * floor
+
+
+def levels(rows: DataFrame, columns: list[Column]) -> DataFrame:
+    return rows.select("g", F.posexplode(F.array(*[_level(c, f) for c, f in zip(columns, FLOORS)])).alias("dim", "bin"))
+
+
 def medians(rows: DataFrame, columns: list[Column]) -> DataFrame:
     """``g`` and the median of each column in it, ``q2_0 ..``."""
-    widths = [f / BINS for f in FLOORS]
-    binned = rows.select("g", F.posexplode(F.array(
-        *[F.floor(c / w).cast("long") for c, w in zip(columns, widths)])).alias("dim", "bin"))
-    q = quantiles(binned, {"q2": 0.5})
-    return q.groupBy("g").agg(*[F.max(F.when(F.col("dim") == i, F.col("q2") * w)).alias(f"q2_{i}") for i, w in enumerate(widths)])
+    q = quantiles(levels(rows, columns), {"q2": 0.5})
+    return q.groupBy("g").agg(*[F.max(F.when(F.col("dim") == i, _value(F.col("q2"), f))).alias(f"q2_{i}") for i, f in enumerate(FLOORS)])
 
 
 def vectors(rows: DataFrame) -> DataFrame:
@@ -133,34 +145,57 @@ def vectors(rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if not c.startswith("q2_")], *[v.alias(f"v{i}") for i, v in enumerate(out)])
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Medians and the variances that the quartiles tell."""
-    widths = [f / BINS for f in FLOORS]
-    binned = rows.select("g", F.posexplode(F.array(
-        *[F.floor(F.col(f"v{i}") / w).cast("long") for i, w in enumerate(widths)])).alias("dim", "bin"))
-    q = quantiles(binned, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    out = []
-    for i, w in enumerate(widths):
+def starts(rows: DataFrame) -> DataFrame:
+    """Four estimates ``k`` of location and covariance for each ``g``."""
+    q = quantiles(levels(rows, [F.col(f"v{i}") for i in range(DIMS)]), {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    middle = []
+    for i, f in enumerate(FLOORS):
         of = F.col("dim") == i
-        out.append(F.max(F.when(of, (F.col("q2") + 0.5) * w)).alias(f"m{i}"))
-        sd = F.greatest((F.col("q3") - F.col("q1")) * w / 1.349, F.lit(FLOORS[i]))
+        middle.append(F.max(F.when(of, _value(F.col("q2") + 0.5, f))).alias(f"m{i}"))
+        sd = F.greatest((_value(F.col("q3") + 0.5, f) - _value(F.col("q1") + 0.5, f)) / 1.349, F.lit(f))
+        middle.append(F.max(F.when(of, sd)).alias(f"s{i}"))
+    middle = materialize(q.groupBy("g").agg(*middle), "estimate")  # a row for each group
+    scaled = rows.join(middle, "g").select("g", *[f"v{i}" for i in range(DIMS)], *[
+        ((F.col(f"v{i}") - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(DIMS)])
+    norm = F.greatest(F.sqrt(sum((F.col(f"z{i}") ** 2 for i in range(DIMS)), F.lit(0.0))), F.lit(1e-9))
+    out = [F.avg(f"v{i}").alias(f"a{i}") for i in range(DIMS)]
+    for i in range(DIMS):
         for j in range(i + 1):
-            out.append((F.max(F.when(of, sd * sd)) if i == j else F.lit(0.0)).alias(f"c{i}{j}"))
-    return q.groupBy("g").agg(*out)
+            out.append(F.covar_pop(f"v{i}", f"v{j}").alias(f"all{i}{j}"))
+            out.append((DIMS * F.avg(F.col(f"z{i}") * F.col(f"z{j}") / norm / norm)).alias(f"sign{i}{j}"))
+            spread = F.stddev_pop(F.tanh(f"z{i}")) * F.stddev_pop(F.tanh(f"z{j}"))
+            tanh = F.covar_pop(F.tanh(f"z{i}"), F.tanh(f"z{j}"))
+            out.append((F.lit(1.0) if i == j else F.when(spread > 1e-12, tanh / spread).otherwise(0.0)).alias(f"tanh{i}{j}"))
+    every = scaled.groupBy("g").agg(*out).join(middle, "g")
 
+    def one(k: int, mean: str, cov) -> Column:
+        return F.struct(F.lit(k).alias("k"), *[F.col(f"{mean}{i}").alias(f"m{i}") for i in range(DIMS)], *[
+            (cov(i, j) + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in range(DIMS) for j in range(i + 1)])
 
-def distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Adds the squared Mahalanobis distance ``d2``, by Cholesky factors of the covariance."""
-    low: dict[tuple[int, int], Column] = {}
+    def sized(name: str):
+        return lambda i, j: F.col(f"{name}{i}{j}") * F.col(f"s{i}") * F.col(f"s{j}")
+
+    return every.select("g", F.inline(F.array(
+        one(0, "m", lambda i, j: F.col(f"s{i}") ** 2 if i == j else F.lit(0.0)), one(1, "a", lambda i, j: F.col(f"all{i}{j}")),
+        one(2, "m", sized("sign")), one(3, "m", sized("tanh")))))
+
+
+def factors(estimate: DataFrame) -> DataFrame:
+    """Adds the Cholesky factors ``l00 ..`` of the covariance."""
     for i in range(DIMS):
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            low[i, j] = F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2 / 100))) if i == j else rest / F.col(f"l{j}{j}")
-            estimate = estimate.withColumn(f"l{i}{j}", low[i, j])
-    columns = list(rows.columns)
-    rows = rows.join(estimate, "g")
+            low = F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2 / 100))) if i == j else rest / F.col(f"l{j}{j}")
+            estimate = estimate.withColumn(f"l{i}{j}", low)
+    return estimate
+
+
+def distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Adds the squared Mahalanobis distance ``d2`` (and ``k``) for each estimate of the row's group."""
+    columns = [*rows.columns, *(c for c in estimate.columns if c == "k")]
+    rows = rows.join(factors(estimate), "g")
     for i in range(DIMS):
         y = F.col(f"v{i}") - F.col(f"m{i}")
         for j in range(i):
@@ -174,27 +209,38 @@ def _bin(d2: Column) -> Column:
 
 
 def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """The mean and covariance of the ``CORE`` share of documents nearest to ``estimate``."""
-    near = distance(rows, estimate).withColumn("bin", _bin(F.col("d2")))
-    edge = materialize(quantiles(near.select("g", F.lit(0).alias("dim"), "bin"), {"edge": CORE}).select("g", "edge"), "edge")
-    core = near.join(edge, "g").where("bin <= edge")
+    """For each ``g, k``: mean and covariance of the ``CORE`` share of documents nearest to the
+    estimate, and ``log_det``, the logarithm of the covariance's determinant."""
+    near = distance(rows.select("g", *[f"v{i}" for i in range(DIMS)]), estimate).withColumn("bin", _bin(F.col("d2")))
+    edge = materialize(quantiles(near.select("g", F.col("k").alias("dim"), "bin"), {"edge": CORE}).select(
+        "g", F.col("dim").alias("k"), "edge"), "edge")
+    core = near.join(edge, ["g", "k"]).where("bin <= edge")
     out = [F.avg(f"v{i}").alias(f"m{i}") for i in range(DIMS)]
     for i in range(DIMS):
         for j in range(i + 1):
             c = F.covar_pop(f"v{i}", f"v{j}")
             out.append((c + F.lit(FLOORS[i] ** 2) if i == j else c).alias(f"c{i}{j}"))
-    return core.groupBy("g").agg(*out)
+    after = core.groupBy("g", "k").agg(*out)
+    return factors(after).select(*after.columns, (2 * sum((F.log(f"l{i}{i}") for i in range(DIMS)), F.lit(0.0))).alias("log_det"))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Location, covariance and ``scale`` of each group ``g``."""
-    estimate = materialize(start(rows), "estimate")  # a row for each group
-    for _ in range(STEPS):
-        estimate = materialize(concentrate(rows, estimate), "estimate")
-    near = distance(rows, estimate)
+    """Location, covariance, ``log_det`` and ``scale`` of each group ``g``: the least determinant that the starts lead to."""
+    now = materialize(concentrate(rows, materialize(starts(rows), "estimate")), "estimate")
+    found = now
+    while True:  # each round lowers a determinant by a fixed factor, and the floors bound it from below
+        after = concentrate(rows, now).alias("a").join(now.select("g", "k", "log_det").alias("b"), ["g", "k"])
+        now = materialize(after.where(f"a.log_det < b.log_det - {DROP}").drop(F.col("b.log_det")), "estimate")
+        if now.isEmpty():
+            break
+        found = found.unionByName(now)
+    rest = [c for c in found.columns if c not in ("g", "k", "log_det")]
+    best = materialize(found.groupBy("g").agg(F.min(F.struct("log_det", "k", *rest)).alias("e")).select(
+        "g", "e.log_det", *[f"e.{c}" for c in rest]), "estimate")
+    near = distance(rows.select("g", *[f"v{i}" for i in range(DIMS)]), best)
     middle = quantiles(near.select("g", F.lit(0).alias("dim"), _bin(F.col("d2")).alias("bin")), {"q2": 0.5})
     scale = F.greatest(F.exp((F.col("q2") + 0.5) / BINS) / NORMAL_MEDIAN, F.lit(1.0))
-    return materialize(estimate.join(middle.select("g", scale.alias("scale")), "g"), "estimate")
+    return materialize(best.join(middle.select("g", scale.alias("scale")), "g"), "estimate")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -208,7 +254,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
               .select("r.*", "j.g", "j.own"))
     judged = materialize(vectors(judged), "vectors")
     est = estimates(judged)
-    far = distance(judged.where("own").drop("own"), est.drop("scale")).join(est.select("g", "scale"), "g").select(
+    far = distance(judged.where("own").drop("own"), est.drop("scale", "log_det")).join(est.select("g", "scale"), "g").select(
         "doc_id", "text_hash", F.sqrt(F.col("d2") / F.col("scale")).alias("distance"), *[c for c in rows.columns[2:]])
     rest = (rows.alias("r").join(judge.alias("j"), F.expr("r.lang <=> j.lang and r.source <=> j.source and not r.base_failed"), "left_anti")
             .withColumn("distance", F.lit(None).cast("double")))
