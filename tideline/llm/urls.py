@@ -15,7 +15,8 @@ rule's; the longest rule that fits decides.  Other urls are judged by their host
 * a host with ``distrust / (distrust + trust) >= THRESHOLD`` is blocked, any other is allowed.
 
 The rules are a short list, made into an expression.  Ranks are tables of hosts, written to the
-shared folder each round, until a round moves less than ``EPSILON`` in all.
+shared folder each round, until a round moves less than ``EPSILON`` in all; the damping bounds the rounds (some 90) and with
+them the reach: a host is judged by seeds up to that many links away.
 
 Edge cases: null urls and html are empty: no rule, no link, allowed.  Repeated rows count again.
 Without allowed or blocked pages that rank is zero everywhere.  Other columns are not read.
@@ -33,7 +34,6 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 DAMPING = 0.85
 THRESHOLD = 0.9
 EPSILON = 1e-6
-ROUNDS = 50  # 0.85 ** 50 < 0.0003 bounds what is left to move
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = "://([^/?#]*)([^?#]*)"
 HREF = "(?i)href\\s*=\\s*[\"']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\\s<>]+)"
@@ -62,8 +62,9 @@ def ranks(links: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataF
 
     ``links`` has ``kind, a, b, weight``, the weights of each ``(kind, a)`` summing up to 1.
     """
-    now = materialize(seeds.select("kind", "host", F.col("start").alias("rank")), "ranks")
-    for _ in range(ROUNDS):
+    seeds = materialize(seeds, "ranks")
+    now = seeds.select("kind", "host", F.col("start").alias("rank"))
+    while True:  # a round moves at most DAMPING times what the one before did
         sent = (now.join(links, (links["kind"] == now["kind"]) & (links["a"] == now["host"]))
                 .groupBy(links["kind"], F.col("b").alias("host")).agg(F.sum(F.col("rank") * F.col("weight")).alias("got")))
         sent = materialize(sent, "ranks")
@@ -79,8 +80,7 @@ def ranks(links: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataF
                   .groupBy("kind", "host").agg(F.abs(F.sum("rank")).alias("d")).agg(F.sum("d")).first()[0])
         now = after
         if (change or 0.0) < EPSILON:
-            break
-    return now
+            return now
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
