@@ -58,11 +58,16 @@ def fewest(bigrams: Counter, threshold: int) -> int:
 
 def places(words: Column, vocabulary: list[str]) -> Column:
     """Where the bigrams of ``vocabulary`` stand: structs of ``p`` (from 0) and ``b``."""
+    pairs = [b.split(" ") for b in vocabulary]
+    firsts, seconds = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
+
     def found(w: Column) -> Column:
         def two(i: Column) -> Column:
-            return F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))
+            return F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1))
 
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 2), lambda i: two(i).isin(vocabulary))
+        # most words of a text begin no bigram of a template, so few are put together
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 2),
+                      lambda i: F.get(w, i).isin(firsts) & F.get(w, i + 1).isin(seconds) & two(i).isin(vocabulary))
         return F.transform(at, lambda i: F.struct(i.alias("p"), two(i).alias("b")))
 
     return F.when(F.size(words) > 1, F.get(F.transform(F.array(words), found), F.lit(0)))
@@ -118,8 +123,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     known = known_templates(TEMPLATES if templates is None else templates)
     plain = F.trim(F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z0-9]+", " ")))
-    rows = pick(docs, doc_id=id_col, text=text_col).select(
-        "doc_id", F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ")).alias("words"))
+    rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", plain.alias("plain")).select(  # a column, so it is made once
+        "doc_id", F.when(F.col("plain") == "", F.array().cast("array<string>")).otherwise(F.split("plain", " ")).alias("words"))
     none = F.array().cast("array<struct<name: string, start: bigint, stop: bigint>>")
     if not known:
         return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_matched"),
