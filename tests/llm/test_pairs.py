@@ -15,6 +15,7 @@ from tideline.llm import text as tx
 from tideline.llm.common import merged_spans
 from tideline.llm.decontaminate import decontaminate
 from tideline.llm.graph import components
+from tideline.session import scratch_folders
 
 
 @pytest.mark.parametrize("table", [tx.space_words(), tx.letter_words()], ids=["space", "letter"])
@@ -82,6 +83,63 @@ def test_repeats_empty(no_docs):
     assert _repeats(no_docs) == []
 
 
+def test_repeats_cut_contexts_in_small_batches(monkeypatch):
+    """A batch of contexts is as large as a chunk of text needs, however many texts Spark hands over at once."""
+    monkeypatch.setattr(repeats, "CHUNK", 5_000)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef") for _ in range(2_000)) for _ in range(40)]
+    asked, expected = [], set()
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        _, place, gram, context, left, right = repeats.anchors(data, np.array([0, len(data)]))
+        asked.append([{"gram": g, "context": c, "n": 1, "crowd": 2} for g, c in zip(gram.tolist(), context.tolist())])
+        for p, g, x, y in zip(place.tolist(), gram.tolist(), left.tolist(), right.tolist()):
+            expected.add((g, t[p - x : p][::-1].encode(), t[p : p + y].encode()))
+    batch = pa.RecordBatch.from_pydict({"text": texts, "wanted": asked})
+    got = list(repeats._cut_contexts(iter([batch])))
+    assert {(r["gram"], r["before"], r["after"]) for b in got for r in b.to_pylist()} == expected
+    assert max(b.num_rows for b in got) < len(expected) / 5
+
+
+@pytest.mark.parametrize("todo", [None, list(range(1, 300))])
+def test_repeats_hash_runs_in_small_batches(todo):
+    """The run hashes of a batch of contexts are not held all at once."""
+    rng = random.Random(7)
+    n = 4 * repeats.ROWS + 1
+    rows = {"gram": [5] * n, "context": list(range(n)), "before": [rng.randbytes(repeats.LEFT) for _ in range(n)],
+            "after": [rng.randbytes(repeats.LENGTH) for _ in range(n)]} | ({"todo": [todo] * n} if todo else {})
+    got = list(repeats._cut_runs(iter([pa.RecordBatch.from_pydict(rows)])))
+    keys = [k for b in got for k in zip(b["context"].to_pylist(), b["kind"].to_pylist(), b["d"].to_pylist())]
+    each = [(0, d) for d in todo] if todo else [(0, d) for d in range(0, 301, 20)] + [(1, d) for d in range(0, 300, 20)]
+    assert sorted(keys) == sorted((i, *k) for i in range(n) for k in each)
+    assert max(b.num_rows for b in got) <= repeats.ROWS * len(each)
+
+
+def test_repeats_write_few_files(spark, docs):
+    """Small tables between the steps are not dealt over as many files as the session has shuffle partitions."""
+    before, kept = set(scratch_folders(spark)), {}
+    for key, value in {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
+        kept[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+    try:
+        repeats.dedup_repeats(docs, crowd=2)
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    files = {f: len(spark.read.parquet(f).inputFiles()) for f in scratch_folders(spark) if f not in before}
+    assert len(files) >= 6
+    small = {f: n for f, n in files.items() if not any(x in f for x in ("-texts-", "-anchors-"))}  # as many as the input has
+    assert max(small.values()) == 1, files
+
+
+def test_repeats_context_listed_twice_is_no_repeat(spark):
+    rng = random.Random(8)
+    rows = [(5, i, 1, rng.randbytes(repeats.LEFT), rng.randbytes(repeats.LENGTH)) for i in (1, 1, 2)]
+    rows[1] = rows[0]
+    contexts = spark.createDataFrame(rows, "gram long, context long, n long, before binary, after binary")
+    assert repeats.scan_crowds(contexts).count() == 0
+
+
 def test_maximal_repeats_have_all_occurrences():
     after = [b"b" * 300 + x for x in (b"1", b"2", b"2", b"")]
     before = [b"a" * 200 + x for x in (b"7", b"8", b"8x", b"9")]
